@@ -34,12 +34,27 @@ TRAFFIC = (("organic", "google"), ("(none)", "(direct)"), ("referral", "partner.
 # Browsers per driver user: user_pseudo_id = user_id || '.' || (k mod BROWSERS).
 BROWSERS = 10
 PAGE_PREFIX = "/p/"
+PROPS_K_PATTERN = r'"k"\s*:\s*(-?\d+)'
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has task
+    slots (one small, unsplittable file) so the per-row work runs on every
+    slot; a no-op for a large input, whose file splits outnumber the slots."""
+    import os
+
+    if os.environ.get("SESSIONLENS_NO_SPREAD"):
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
+
+
 def _pick(values: tuple, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
@@ -62,8 +77,13 @@ def raw_events(
         ev = ev.where(
             (F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
         )
-
-    k = F.get_json_object("props", "$.k").cast("long")
+    # props is a one-key JSON object {"k": <int>}; the key is extracted once
+    # (a separate projection keeps it from being re-evaluated per use).
+    ev = spread(ev, "event_id").select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        F.regexp_extract("props", PROPS_K_PATTERN, 1).try_cast("long").alias("k"),
+    )
+    k = F.col("k")
     sub = k % BROWSERS
     uid = F.col("user_id")
     traffic = F.element_at(
