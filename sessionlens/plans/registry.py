@@ -46,3 +46,439 @@ def q_rfm_segments(b: Build) -> DataFrame:
 def q_session_quality_flags(b: Build) -> DataFrame:
     """M6: four flags per session, no row dropped."""
     return b.flags
+
+
+# ---------------------------------------------------------------- sources
+
+from sessionlens.plans import checks as CK  # noqa: E402
+from sessionlens.plans import governance as GV  # noqa: E402
+from sessionlens.plans import monitors as MN  # noqa: E402
+from sessionlens.plans import reports as RP  # noqa: E402
+from sessionlens.functions import (  # noqa: E402
+    micros_to_ts,
+    param_value,
+    parse_event_day,
+    week_start,
+    week_start_iso,
+    weeks_between,
+)
+from sessionlens.config import PARAM_PAGE_LOCATION, PARAM_SESSION_ID  # noqa: E402
+from sessionlens.runtime import materialize, table_path  # noqa: E402
+from sessionlens.sources import driver_tables, event_days, json_io  # noqa: E402
+
+_RAW_SCALARS = ("event_id", "event_date", "event_timestamp", "event_name", "user_pseudo_id")
+
+
+@query("scan_event_days")
+def q_scan_event_days(b: Build) -> DataFrame:
+    """Write the raw export partitioned by day, then scan it with a
+    day range that becomes a partition filter."""
+    path = table_path(b.spark, "raw_events_by_day")
+    event_days.write_event_days(driver_tables.raw_events(b.spark, b.sf_dir), path)
+    days = event_days.read_event_days(b.spark, path, b.params.start_day, b.params.end_day)
+    return days.select("event_day", *_RAW_SCALARS, F.col("device.category").alias("device_category"))
+
+
+@query("export_events_json")
+def q_export_events_json(b: Build) -> DataFrame:
+    """Gzip NDJSON shards with real nesting; read back as text and
+    parsed with the declared schema."""
+    path = table_path(b.spark, "export_ndjson")
+    json_io.export_ndjson(b.raw, path)
+    lines = b.spark.read.text(path)
+    parsed = lines.select(F.from_json("value", json_io.RAW_EVENT, {"mode": "FAILFAST"}).alias("e")).select("e.*")
+    return parsed.select(
+        *_RAW_SCALARS,
+        F.size("event_params").alias("n_params"),
+        F.col("device.category").alias("device_category"),
+        F.col("ecommerce.purchase_revenue_in_usd").alias("purchase_revenue_usd"),
+    )
+
+
+@query("load_raw_events")
+def q_load_raw_events(b: Build) -> DataFrame:
+    """Bulk load of the NDJSON shards (declared schema, FAILFAST),
+    written as the day-partitioned table (dynamic overwrite = idempotent
+    reload of those days), then staged from that table."""
+    src = table_path(b.spark, "export_ndjson")
+    json_io.export_ndjson(b.raw, src)
+    loaded = json_io.load_ndjson(b.spark, src)
+    dst = table_path(b.spark, "raw_events_loaded")
+    event_days.write_event_days(loaded, dst)
+    days = event_days.read_event_days(b.spark, dst)
+    p = b.params
+    return staging.stage_events(days, p.start_day, p.end_day, day_col="event_day")
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(b: Build) -> DataFrame:
+    """Nested columns to JSON text and back; NULL stays NULL."""
+    back = json_io.from_json_columns(json_io.to_json_columns(b.raw))
+    return back.select(
+        "event_id",
+        param_value(PARAM_SESSION_ID, "int_value").alias("ga_session_id"),
+        param_value(PARAM_PAGE_LOCATION, "string_value").alias("page_location"),
+        F.col("device.category").alias("device_category"),
+        F.col("geo.country").alias("country"),
+        F.col("traffic_source.medium").alias("traffic_medium"),
+        F.col("ecommerce.purchase_revenue_in_usd").alias("purchase_revenue_usd"),
+        F.size("items").alias("n_items"),
+    )
+
+
+@query("raw_row_count")
+def q_raw_row_count(b: Build) -> DataFrame:
+    """Rows in the raw window."""
+    return event_days.row_count(b.raw)
+
+
+@query("preview_rows")
+def q_preview_rows(b: Build) -> DataFrame:
+    """First five events by time (a limit that is the feature)."""
+    return event_days.preview(b.raw, 5)
+
+
+@query("sessions_table")
+def q_sessions_table(b: Build) -> DataFrame:
+    """Sessions materialised once as a Parquet table, read back."""
+    return materialize(b.sessions, "fct_sessions")
+
+
+# ---------------------------------------------------------------- projections (P)
+
+
+@query("variant_paths")
+def q_variant_paths(b: Build) -> DataFrame:
+    """VARIANT columns and typed path access."""
+    return json_io.variant_fields(json_io.as_variant(b.raw))
+
+
+@query("flatten_params_variant")
+def q_flatten_params_variant(b: Build) -> DataFrame:
+    """J2/F16 on VARIANT: lateral variant_explode + conditional max."""
+    return json_io.variant_params(json_io.as_variant(b.raw))
+
+
+@query("param_lookup")
+def q_param_lookup(b: Build) -> DataFrame:
+    """Keyed lookup in the params array."""
+    return b.raw.select(
+        "event_id",
+        param_value(PARAM_SESSION_ID, "int_value").alias("ga_session_id"),
+        param_value(PARAM_PAGE_LOCATION, "string_value").alias("page_location"),
+    )
+
+
+@query("null_session_guard")
+def q_null_session_guard(b: Build) -> DataFrame:
+    """Events before and after the session-id guard."""
+    tagged = b.raw.select(param_value(PARAM_SESSION_ID, "int_value").isNotNull().alias("kept"))
+    return tagged.agg(
+        F.count(F.lit(1)).alias("raw_events"),
+        F.count_if(F.col("kept")).alias("staged_events"),
+        F.count_if(~F.col("kept")).alias("dropped_events"),
+    )
+
+
+@query("rfm_scored")
+def q_rfm_scored(b: Build) -> DataFrame:
+    """The three quintile scores."""
+    return b.rfm_scored
+
+
+@query("rfm_purchases")
+def q_rfm_purchases(b: Build) -> DataFrame:
+    """Purchasing sessions with revenue."""
+    return rfm.rfm_purchases(b.sessions)
+
+
+@query("volume_monitor")
+def q_volume_monitor(b: Build) -> DataFrame:
+    """A row when the session count is out of band."""
+    return CK.volume_violations(b.sessions, b.params.volume_min, b.params.volume_max)
+
+
+@query("dq_flag_count")
+def q_dq_flag_count(b: Build) -> DataFrame:
+    """Sessions by number of rules broken."""
+    return b.flags.groupBy("dq_flag_count", "has_dq_flag").agg(F.count(F.lit(1)).alias("sessions"))
+
+
+@query("funnel_steps")
+def q_funnel_steps(b: Build) -> DataFrame:
+    """The four counts as four rows."""
+    return funnel.funnel_steps(b.sessions)
+
+
+# ---------------------------------------------------------------- joins / lateral (J)
+
+
+@query("cohort_activity")
+def q_cohort_activity(b: Build) -> DataFrame:
+    """Every active (user, week) with the user's cohort."""
+    return retention.cohort_activity(b.sessions).select(
+        "user_pseudo_id", "cohort_week", "active_week", "weeks_since"
+    )
+
+
+@query("flatten_params")
+def q_flatten_params(b: Build) -> DataFrame:
+    """Explode + GROUP BY ALL + conditional max."""
+    p = b.params
+    return staging.flatten_params(b.raw, p.start_day, p.end_day)
+
+
+def _checked(b: Build) -> tuple[DataFrame, dict]:
+    mat = Build(b.spark, b.sf_dir, b.params, materialize_sessions=True)
+    p = b.params
+    suite = CK.default_suite(p.flag_rate_max, p.volume_min, p.volume_max)
+    return CK.check_results(mat.models(), suite, p.run_id, raw=mat.raw), mat
+
+
+@query("owner_alerts")
+def q_owner_alerts(b: Build) -> DataFrame:
+    """Failing and warning checks attributed to the model owner."""
+    results, _ = _checked(b)
+    return GV.owner_alerts(results, GV.model_registry(b.spark))
+
+
+@query("governance_gaps")
+def q_governance_gaps(b: Build) -> DataFrame:
+    """Governed models and what each misses."""
+    results, _ = _checked(b)
+    return GV.governance_gaps(GV.model_registry(b.spark), results)
+
+
+# ---------------------------------------------------------------- aggregates (A)
+
+
+@query("session_attributes")
+def q_session_attributes(b: Build) -> DataFrame:
+    """A5: deterministic any_value per session."""
+    return sessions.session_attributes(b.staged)
+
+
+@query("funnel_per_user")
+def q_funnel_per_user(b: Build) -> DataFrame:
+    """Steps reached per user."""
+    return funnel.funnel_per_user(b.sessions)
+
+
+@query("rfm_user")
+def q_rfm_user(b: Build) -> DataFrame:
+    """Recency, frequency, monetary per user."""
+    return rfm.rfm_user(b.sessions, b.params.as_of)
+
+
+@query("funnel_counts")
+def q_funnel_counts(b: Build) -> DataFrame:
+    """Users per step, one row."""
+    return funnel.funnel_counts(b.sessions)
+
+
+@query("dq_flag_rate")
+def q_dq_flag_rate(b: Build) -> DataFrame:
+    """Share of flagged sessions."""
+    return CK.flag_rate(b.flags)
+
+
+@query("segment_summary")
+def q_segment_summary(b: Build) -> DataFrame:
+    """Users and mean revenue per segment."""
+    return RP.segment_summary(b.rfm)
+
+
+@query("weekly_activity")
+def q_weekly_activity(b: Build) -> DataFrame:
+    """Distinct (user, active week)."""
+    return retention.weekly_activity(b.sessions)
+
+
+# ---------------------------------------------------------------- scalar functions (F)
+
+
+@query("session_key")
+def q_session_key(b: Build) -> DataFrame:
+    """NULL-propagating concat of user and cast session id."""
+    return b.sessions.select("user_pseudo_id", "ga_session_id", "session_key")
+
+
+@query("event_time")
+def q_event_time(b: Build) -> DataFrame:
+    """micros to timestamp, yyyyMMdd to date."""
+    return b.raw.select(
+        "event_id",
+        "event_timestamp",
+        micros_to_ts("event_timestamp").alias("event_ts"),
+        "event_date",
+        parse_event_day("event_date").alias("event_day"),
+    )
+
+
+@query("week_start")
+def q_week_start(b: Build) -> DataFrame:
+    """Monday of the week, by truncation and by ISO weekday."""
+    days = b.sessions.select("session_date").distinct()
+    return days.select(
+        "session_date",
+        week_start("session_date").alias("week_trunc"),
+        week_start_iso("session_date").alias("week_iso"),
+    )
+
+
+@query("weeks_between")
+def q_weeks_between(b: Build) -> DataFrame:
+    """whole weeks between a user's first and last active Monday."""
+    per_user = b.sessions.groupBy("user_pseudo_id").agg(
+        week_start(F.min("session_date")).alias("first_week"), week_start(F.max("session_date")).alias("last_week")
+    )
+    return per_user.withColumn("weeks_span", weeks_between("last_week", "first_week"))
+
+
+@query("retention_matrix")
+def q_retention_matrix(b: Build) -> DataFrame:
+    """Cohort x week matrix; missing cells NULL."""
+    return RP.retention_matrix(b.retention, b.params.retention_weeks)
+
+
+# ---------------------------------------------------------------- checks (Q)
+
+
+def _suite(b: Build, kind: str):
+    p = b.params
+    return tuple(c for c in CK.default_suite(p.flag_rate_max, p.volume_min, p.volume_max) if c.kind == kind)
+
+
+def _kind_results(b: Build, kind: str) -> DataFrame:
+    mat = Build(b.spark, b.sf_dir, b.params, materialize_sessions=True)
+    res = CK.check_results(mat.models(), _suite(b, kind), b.params.run_id)
+    return res.select("check", "model", "column", "failures", "status")
+
+
+@query("check_unique")
+def q_check_unique(b: Build) -> DataFrame:
+    """Q1: unique(column) tests of the suite."""
+    return _kind_results(b, "unique")
+
+
+@query("check_not_null")
+def q_check_not_null(b: Build) -> DataFrame:
+    """Q2: not_null(column) tests of the suite."""
+    return _kind_results(b, "not_null")
+
+
+@query("check_accepted_values")
+def q_check_accepted_values(b: Build) -> DataFrame:
+    """Q3: accepted_values(column, list) tests of the suite."""
+    return _kind_results(b, "accepted_values")
+
+
+@query("flag_rate_monitor")
+def q_flag_rate_monitor(b: Build) -> DataFrame:
+    """Q4: a row when the flagged share exceeds the threshold."""
+    return CK.flag_rate_violations(b.flags, b.params.flag_rate_max)
+
+
+@query("check_results")
+def q_check_results(b: Build) -> DataFrame:
+    """Q6: one result row per check of the run."""
+    results, _ = _checked(b)
+    return results
+
+
+@query("flags_keep_rows")
+def q_flags_keep_rows(b: Build) -> DataFrame:
+    """Q9: the flags model keeps every session."""
+    return CK.flags_keep_rows(b.sessions, b.flags)
+
+
+@query("duplicate_param_keys")
+def q_duplicate_param_keys(b: Build) -> DataFrame:
+    """Q10: events in which a looked-up param key repeats."""
+    from sessionlens.functions import param_key_count
+
+    n = F.greatest(param_key_count(PARAM_SESSION_ID), param_key_count(PARAM_PAGE_LOCATION))
+    return b.raw.select(n.alias("n")).agg(
+        F.count(F.lit(1)).alias("events_checked"), F.count_if(F.col("n") > 1).alias("events_with_duplicate_keys")
+    )
+
+
+@query("model_registry")
+def q_model_registry(b: Build) -> DataFrame:
+    """Q11: model metadata with current row counts and documented columns."""
+    mat = Build(b.spark, b.sf_dir, b.params, materialize_sessions=True)
+    return GV.registry_with_volume(GV.model_registry(b.spark), mat.models())
+
+
+# ---------------------------------------------------------------- reports (R)
+
+
+@query("retention_pct")
+def q_retention_pct(b: Build) -> DataFrame:
+    """Retention as % of the cohort's week-0 users."""
+    return RP.retention_pct(b.retention)
+
+
+@query("funnel_kpi")
+def q_funnel_kpi(b: Build) -> DataFrame:
+    """Overall view-to-purchase conversion."""
+    return RP.funnel_kpi(b.funnel)
+
+
+@query("segment_table")
+def q_segment_table(b: Build) -> DataFrame:
+    """Count, mean monetary, mean frequency per segment."""
+    return RP.segment_table(b.rfm)
+
+
+@query("rfm_scatter")
+def q_rfm_scatter(b: Build) -> DataFrame:
+    """Scatter data per user."""
+    return RP.rfm_scatter(b.rfm)
+
+
+@query("biggest_leak")
+def q_biggest_leak(b: Build) -> DataFrame:
+    """Lowest step-over-step conversion."""
+    return RP.biggest_leak(b.funnel)
+
+
+@query("week1_retention")
+def q_week1_retention(b: Build) -> DataFrame:
+    """Week-1 retention per cohort, steepest drop first."""
+    return RP.week1_retention(b.retention)
+
+
+# ---------------------------------------------------------------- monitors (D)
+
+
+@query("build_reconciliation")
+def q_build_reconciliation(b: Build) -> DataFrame:
+    """Sessions from the keyed lookup vs. from explode + GROUP BY ALL."""
+    p = b.params
+    other = sessions.build_sessions(staging.flatten_params(b.raw, p.start_day, p.end_day).drop("event_id"))
+    return MN.build_reconciliation(b.sessions, other)
+
+
+@query("funnel_monotonic")
+def q_funnel_monotonic(b: Build) -> DataFrame:
+    """Funnel steps larger than the previous step."""
+    return RP.funnel_monotonic(b.funnel)
+
+
+@query("daily_volume_anomaly")
+def q_daily_volume_anomaly(b: Build) -> DataFrame:
+    """D3: daily sessions vs. the trailing 14-day mean and deviation."""
+    return MN.daily_volume_anomaly(b.sessions)
+
+
+@query("freshness_check")
+def q_freshness_check(b: Build) -> DataFrame:
+    """Latest session start per day against the run time."""
+    return MN.freshness_check(b.sessions, MN.run_time_after(b.params.as_of))
+
+
+@query("schema_drift")
+def q_schema_drift(b: Build) -> DataFrame:
+    """Param keys present in the data vs. the declared keys."""
+    return MN.param_key_drift(b.raw)
