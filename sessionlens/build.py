@@ -9,6 +9,7 @@ table) and every consumer then scans that table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,13 +77,32 @@ class Build:
     def flags(self) -> DataFrame:
         return quality_flags.session_quality_flags(self.sessions)
 
-    def models(self) -> dict[str, DataFrame]:
-        """The governed models by name."""
-        return {
-            "stg_ga4__events": self.staged,
-            "fct_sessions": self.sessions,
-            "funnel_conversion": self.funnel,
-            "retention_cohorts": self.retention,
-            "rfm_segments": self.rfm,
-            "session_quality_flags": self.flags,
-        }
+    def models(self) -> "Models":
+        """The models by name; each is built on first access only."""
+        return Models(self)
+
+
+class Models(Mapping):
+    """Read-only name -> DataFrame view of a build, built on first access
+    (a check suite over two models does not build the other four)."""
+
+    _ATTR = {
+        "stg_ga4__events": "staged",
+        "fct_sessions": "sessions",
+        "funnel_conversion": "funnel",
+        "retention_cohorts": "retention",
+        "rfm_segments": "rfm",
+        "session_quality_flags": "flags",
+    }
+
+    def __init__(self, build: Build) -> None:
+        self._build = build
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self._build, self._ATTR[name])
+
+    def __iter__(self):
+        return iter(self._ATTR)
+
+    def __len__(self) -> int:
+        return len(self._ATTR)

@@ -170,10 +170,9 @@ def suite_frame(spark, suite: tuple[Check, ...]) -> DataFrame:
 
 def check_results(models: dict[str, DataFrame], suite: tuple[Check, ...], run_id: str,
                   raw: DataFrame | None = None) -> DataFrame:
-    any_df = next(iter(models.values()))
     failures = check_failures(models, suite, raw)
     # The suite table has one row per declared check: a bounded broadcast.
-    specs = F.broadcast(suite_frame(any_df.sparkSession, suite))
+    specs = F.broadcast(suite_frame(failures.sparkSession, suite))
     joined = failures.join(specs, "check")
     out = joined.select(
         F.lit(run_id).alias("run_id"),

@@ -74,9 +74,19 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: data goes to ``spark.checkpoint.dir``, so a lost
-    executor does not force recomputation with a different row order."""
+    executor does not force recomputation with a different row order.
+
+    The input is persisted for the duration of the checkpoint so that it is
+    computed once (the checkpoint write would otherwise recompute it) and
+    released as soon as the checkpoint files exist."""
+    from pyspark import StorageLevel
+
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def local_session(app: str = "sessionlens", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
