@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens import config as C
-from sessionlens.functions import exact_sum
+from sessionlens.functions.numeric import MONEY
 
 
 def any_value(col: str) -> Column:
@@ -31,15 +31,27 @@ def session_key(user: str | Column = "user_pseudo_id", sid: str | Column = "ga_s
     return F.concat(u, F.lit("-"), s.cast("string"))
 
 
+_KEYS = ("user_pseudo_id", "ga_session_id")
+_ATTRS = ("device_category", "country", "traffic_medium")
+
+
 def build_sessions(staged: DataFrame) -> DataFrame:
-    agg = staged.groupBy("user_pseudo_id", "ga_session_id").agg(
+    """Two aggregation levels, both hash-based:
+
+    1. by (user, session, device, country, medium): the strings are grouping
+       keys, so every aggregation buffer is fixed-width and Spark plans a
+       HashAggregate with map-side combine over the raw events;
+    2. by (user, session): folds the (normally single) attribute combination
+       per session. Only this step holds strings in buffers (a sort-based
+       aggregate), and it runs over session-level rows, not events.
+
+    min/max/sum/count/bool_or are all decomposable, so the result equals one
+    aggregation over the events."""
+    level1 = staged.groupBy(*_KEYS, *_ATTRS).agg(
         F.min("event_ts").alias("session_start"),
         F.max("event_ts").alias("session_end"),
         # The export's own day, not a truncation of the timestamp.
         F.min("event_date").alias("session_date"),
-        any_value("device_category").alias("device_category"),
-        any_value("country").alias("country"),
-        any_value("traffic_medium").alias("traffic_medium"),
         F.count_if(_is(C.EV_PAGE_VIEW)).alias("page_views"),
         F.count_if(_is(C.EV_VIEW_ITEM)).alias("view_item_events"),
         F.bool_or(_is(C.EV_VIEW_ITEM)).alias("did_view_item"),
@@ -47,7 +59,17 @@ def build_sessions(staged: DataFrame) -> DataFrame:
         F.bool_or(_is(C.EV_BEGIN_CHECKOUT)).alias("did_begin_checkout"),
         F.bool_or(_is(C.EV_PURCHASE)).alias("did_purchase"),
         # NULL, not 0, for sessions without revenue.
-        exact_sum("purchase_revenue_usd").alias("revenue_usd"),
+        F.sum(F.col("purchase_revenue_usd").cast(MONEY)).alias("revenue"),
+    )
+    agg = level1.groupBy(*_KEYS).agg(
+        F.min("session_start").alias("session_start"),
+        F.max("session_end").alias("session_end"),
+        F.min("session_date").alias("session_date"),
+        *[any_value(a).alias(a) for a in _ATTRS],
+        F.sum("page_views").alias("page_views"),
+        F.sum("view_item_events").alias("view_item_events"),
+        *[F.bool_or(c).alias(c) for c in ("did_view_item", "did_add_to_cart", "did_begin_checkout", "did_purchase")],
+        F.sum("revenue").cast("double").alias("revenue_usd"),
     )
     return agg.select(
         "user_pseudo_id",
