@@ -482,3 +482,33 @@ def q_freshness_check(b: Build) -> DataFrame:
 def q_schema_drift(b: Build) -> DataFrame:
     """Param keys present in the data vs. the declared keys."""
     return MN.param_key_drift(b.raw)
+
+
+# ---------------------------------------------------------------- incremental load
+
+
+@query("incremental_load")
+def q_incremental_load(b: Build) -> DataFrame:
+    """S7/S8 incrementally: export shards land in two batches; a streaming
+    file source loads each batch once into the day-partitioned table."""
+    from sessionlens.streaming.ingest import ingest_available
+
+    landing = table_path(b.spark, "landing")
+    table = table_path(b.spark, "raw_events_stream")
+    ckpt = table_path(b.spark, "raw_events_stream_ckpt")
+    raw = b.raw
+    first_half = F.col("event_date") <= F.lit(_mid_day(b.params.start_day, b.params.end_day))
+    json_io.export_ndjson(raw.where(first_half), f"{landing}/b1")
+    ingest_available(b.spark, f"{landing}/b*", table, ckpt)
+    json_io.export_ndjson(raw.where(~first_half), f"{landing}/b2")
+    loaded = ingest_available(b.spark, f"{landing}/b*", table, ckpt)
+    p = b.params
+    return staging.stage_events(loaded, p.start_day, p.end_day, day_col="event_day")
+
+
+def _mid_day(start_day: str, end_day: str) -> str:
+    from datetime import datetime
+
+    a = datetime.strptime(start_day, "%Y%m%d")
+    z = datetime.strptime(end_day, "%Y%m%d")
+    return (a + (z - a) / 2).strftime("%Y%m%d")
