@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from sessionlens.build import Build
 from sessionlens.catalog import query
 from sessionlens.operators import funnel, retention, rfm, sessions, staging
+from sessionlens.plans import checks as CK
+from sessionlens.plans import governance as GV
+from sessionlens.plans import monitors as MN
+from sessionlens.plans import reports as RP
+from sessionlens.functions import (
+    micros_to_ts,
+    param_value,
+    parse_event_day,
+    week_start,
+    week_start_iso,
+    weeks_between,
+)
+from sessionlens.config import PARAM_PAGE_LOCATION, PARAM_SESSION_ID
+from sessionlens.runtime import materialize, table_path
+from sessionlens.sources import driver_tables, event_days, json_io
 
 # ---------------------------------------------------------------- models (M1-M6)
 
@@ -50,22 +65,6 @@ def q_session_quality_flags(b: Build) -> DataFrame:
 
 # ---------------------------------------------------------------- sources
 
-from sessionlens.plans import checks as CK  # noqa: E402
-from sessionlens.plans import governance as GV  # noqa: E402
-from sessionlens.plans import monitors as MN  # noqa: E402
-from sessionlens.plans import reports as RP  # noqa: E402
-from sessionlens.functions import (  # noqa: E402
-    micros_to_ts,
-    param_value,
-    parse_event_day,
-    week_start,
-    week_start_iso,
-    weeks_between,
-)
-from sessionlens.config import PARAM_PAGE_LOCATION, PARAM_SESSION_ID  # noqa: E402
-from sessionlens.runtime import materialize, table_path  # noqa: E402
-from sessionlens.sources import driver_tables, event_days, json_io  # noqa: E402
-
 _RAW_SCALARS = ("event_id", "event_date", "event_timestamp", "event_name", "user_pseudo_id")
 
 

@@ -87,3 +87,22 @@ def test_incremental_ingest_is_exactly_once(spark, scratch):
     assert ingest_available(spark, os.path.join(landing, "b*"), table, ckpt).count() == n1
     json_io.export_ndjson(raw.where(~first), os.path.join(landing, "b2"))
     assert ingest_available(spark, os.path.join(landing, "b*"), table, ckpt).count() == raw.count()
+
+
+def test_build_and_test_writes_marts_results_alerts(spark, scratch):
+    from dataclasses import replace
+
+    from sessionlens.config import DEFAULT
+    from sessionlens.plans.run_build import build_and_test
+
+    out = os.path.join(scratch, "build")
+    build_and_test(spark, SF0001, out, replace(DEFAULT, run_id="r1"))
+    res = build_and_test(spark, SF0001, out, replace(DEFAULT, run_id="r2"))
+    for name in ("fct_sessions", "funnel_conversion", "retention_cohorts", "rfm_segments", "owner_alerts"):
+        assert os.path.isdir(os.path.join(out, name))
+    history = spark.read.parquet(os.path.join(out, "check_results"))
+    assert {r.run_id for r in history.select("run_id").distinct().collect()} == {"r1", "r2"}
+    alerts = {r.check for r in res["owner_alerts"].collect()}
+    assert alerts == {"assert_dq_flag_rate_under_threshold", "assert_fct_sessions_volume"}
+    assert res["governance_gaps"].where("not compliant").count() == 0
+    assert spark.sql("select count(*) as n from session_quality_flags").first().n == res["fct_sessions"].count()
