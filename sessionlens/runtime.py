@@ -89,6 +89,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
+# Settings for the cluster target (~100 TB of raw events, ~1000 executors).
+# AQE sizes shuffle partitions from map-output statistics, so the initial
+# partition count only has to be high enough for the largest shuffle (the
+# session rollup over raw events); skewed partitions of joins are split.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # No broadcast from a plan-time size estimate; the code marks the tables
+    # that are bounded by construction, and AQE may still broadcast a side
+    # whose measured (post-shuffle) size is small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(app: str = "sessionlens", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings used by tests and the bench."""
     builder = (

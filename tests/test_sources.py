@@ -106,3 +106,32 @@ def test_build_and_test_writes_marts_results_alerts(spark, scratch):
     assert alerts == {"assert_dq_flag_rate_under_threshold", "assert_fct_sessions_volume"}
     assert res["governance_gaps"].where("not compliant").count() == 0
     assert spark.sql("select count(*) as n from session_quality_flags").first().n == res["fct_sessions"].count()
+
+
+def test_field_drift_reports_added_removed_changed():
+    from pyspark.sql import types as T
+
+    from sessionlens.plans.monitors import field_drift
+    from sessionlens.schemas import RAW_EVENT
+
+    observed = T.StructType(
+        [f for f in RAW_EVENT.fields if f.name != "items"]
+        + [T.StructField("platform", T.StringType())]
+    )
+    observed = T.StructType(
+        [T.StructField("event_timestamp", T.StringType()) if f.name == "event_timestamp" else f for f in observed.fields]
+    )
+    got = {name: status for name, _, _, status in field_drift(observed, RAW_EVENT) if status != "ok"}
+    assert got == {"items": "removed", "platform": "added", "event_timestamp": "type_changed"}
+
+
+def test_param_key_drift_counts_new_keys(spark):
+    from sessionlens.plans.monitors import param_key_drift
+
+    rows = [
+        ev("u1", 1, "page_view", "2020-11-02 10:00:00"),
+        ev("u1", 1, "page_view", "2020-11-02 10:00:01",
+           params=[("ga_session_id", (None, 1)), ("engagement_time_msec", (None, 5))]),
+    ]
+    got = {r.param_key: (r.events, r.status) for r in param_key_drift(raw_df(spark, rows)).collect()}
+    assert got == {"ga_session_id": (2, "ok"), "page_location": (1, "ok"), "engagement_time_msec": (1, "new_key")}
