@@ -11,11 +11,15 @@ def _params(col: str | Column) -> Column:
 
 
 def param_lookup(key: str, params: str | Column = "event_params") -> Column:
-    """The first element whose key equals ``key`` (NULL when absent).
+    """The first element whose key equals ``key`` (NULL when absent or when
+    the array is NULL).
 
-    A higher-order ``filter`` is a plain projection: no unnest, no join, and
-    one pass over the array held in the row."""
-    return F.get(F.filter(_params(params), lambda p: p["key"] == F.lit(key)), 0)
+    A plain projection: no unnest, no join. ``event_params.key`` is the array
+    of keys, ``array_position`` finds the first match (0 when absent) and
+    ``get`` returns NULL for the resulting -1; all three are generated code,
+    unlike a lambda ``filter``."""
+    arr = _params(params)
+    return F.get(arr, (F.array_position(arr["key"], F.lit(key)) - 1).cast("int"))
 
 
 def param_value(key: str, slot: str, params: str | Column = "event_params") -> Column:
@@ -25,4 +29,5 @@ def param_value(key: str, slot: str, params: str | Column = "event_params") -> C
 
 def param_key_count(key: str, params: str | Column = "event_params") -> Column:
     """How often ``key`` occurs in one event's params (0 when the array is NULL)."""
-    return F.coalesce(F.size(F.filter(_params(params), lambda p: p["key"] == F.lit(key))), F.lit(0))
+    keys = _params(params)["key"]
+    return F.coalesce(F.size(keys) - F.size(F.array_remove(keys, F.lit(key))), F.lit(0))
