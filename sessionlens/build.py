@@ -60,7 +60,8 @@ class Build:
 
     @cached_property
     def retention(self) -> DataFrame:
-        return retention.retention_cohorts(self.sessions, self.params.retention_weeks)
+        p = self.params
+        return retention.retention_cohorts(self.sessions, p.retention_weeks, (p.start_day, p.end_day))
 
     @cached_property
     def rfm_scored(self) -> DataFrame:

@@ -68,7 +68,7 @@ def _from_sessions(b: Build, sessions: DataFrame, name: str) -> DataFrame:
     if name == "funnel_conversion":
         return funnel.funnel_conversion(sessions)
     if name == "retention_cohorts":
-        return retention.retention_cohorts(sessions, p.retention_weeks)
+        return retention.retention_cohorts(sessions, p.retention_weeks, (p.start_day, p.end_day))
     if name == "rfm_segments":
         return rfm.rfm_segments(sessions, p.as_of, p.n_tiles, p.ntile_method)
     if name == "session_quality_flags":

@@ -312,3 +312,23 @@ def test_json_null_roundtrip(spark):
     back = {r.user_pseudo_id: r for r in json_io.from_json_columns(exported).collect()}
     assert back["u1"].ecommerce is None
     assert back["u2"].ecommerce.purchase_revenue_in_usd is None  # 31
+
+
+def test_retention_bitmap_equals_set_form(spark):
+    rows = [
+        sess("a", 1, d("2020-11-01")),
+        sess("a", 2, d("2020-12-21")),
+        sess("a", 3, d("2020-12-28")),
+        sess("b", 1, d("2020-11-03")),
+        sess("b", 2, d("2020-11-05")),
+        sess("c", 1, d("2021-01-31")),
+    ]
+    df = spark.createDataFrame(rows, SESS_SCHEMA)
+    by_set = retention.retention_cohorts(df, 8).collect()
+    by_bits = retention.retention_cohorts(df, 8, WIN).collect()
+    assert by_set == by_bits
+    outside = spark.createDataFrame([sess("z", 1, d("2021-03-01"))], SESS_SCHEMA)
+    import pytest
+
+    with pytest.raises(Exception):
+        retention.retention_cohorts(outside, 8, WIN).collect()
