@@ -82,8 +82,22 @@ def user_weeks(sessions: DataFrame) -> DataFrame:
     return weeks.groupBy("user_pseudo_id").agg(F.array_sort(F.collect_set("active_week")).alias("weeks"))
 
 
-def cohort_activity(sessions: DataFrame) -> DataFrame:
+def cohort_activity(sessions: DataFrame, window: tuple[str, str] | None = None) -> DataFrame:
     """(user, cohort_week, active_week, weeks_since) for every active week."""
+    if window is not None:
+        first_monday, n_weeks = window_weeks(*window)
+        per_user, words = user_week_bitmap(sessions, first_monday, n_weeks)
+        ahead = per_user.select(
+            "user_pseudo_id", "first_idx", *words,
+            F.explode(F.sequence(F.lit(0), F.lit(n_weeks - 1))).alias("idx"),
+        )
+        active = ahead.where(_bit(words, F.col("idx")))
+        return active.select(
+            "user_pseudo_id",
+            F.date_add(F.lit(first_monday), (F.col("first_idx") * 7).cast("int")).alias("cohort_week"),
+            F.date_add(F.lit(first_monday), (F.col("idx") * 7).cast("int")).alias("active_week"),
+            (F.col("idx") - F.col("first_idx")).alias("weeks_since"),
+        )
     per_user = user_weeks(sessions)
     exploded = per_user.select(
         "user_pseudo_id",

@@ -215,7 +215,8 @@ def q_funnel_steps(b: Build) -> DataFrame:
 @query("cohort_activity")
 def q_cohort_activity(b: Build) -> DataFrame:
     """Every active (user, week) with the user's cohort."""
-    return retention.cohort_activity(b.sessions).select(
+    p = b.params
+    return retention.cohort_activity(b.sessions, (p.start_day, p.end_day)).select(
         "user_pseudo_id", "cohort_week", "active_week", "weeks_since"
     )
 
