@@ -6,8 +6,10 @@ rows sort in one task. Here the rank of every row is computed distributed:
 1. ``orderBy`` range-partitions on the full (tie-broken) sort key and sorts
    each partition; ``monotonically_increasing_id`` then holds
    (partition index << 33) + position in partition.
-2. A reliable checkpoint fixes those ids (a recomputation after executor loss
-   could re-sample the range bounds and reorder rows).
+2. The sorted rows with their ids are written as a Parquet table in the
+   shared folder (``spark.checkpoint.dir``), which fixes the ids: a
+   recomputation after executor loss could otherwise re-sample the range
+   bounds and number rows differently in the two later passes.
 3. Rows per partition (one row per partition, so the table is bounded by the
    partition count, not by the data) give each partition's offset; that small
    table is broadcast and joined back: rank = offset + position.
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions import int_div
-from sessionlens.runtime import cut_lineage
+from sessionlens.runtime import materialize
 
 _ROW = "__ntile_row"
 _PART = "__ntile_part"
@@ -56,7 +58,10 @@ def ntile_window(df: DataFrame, n: int, order_by: Sequence[Column], out_col: str
 
 
 def ntile_distributed(df: DataFrame, n: int, order_by: Sequence[Column], out_col: str) -> DataFrame:
-    tagged = cut_lineage(df.orderBy(*order_by).withColumn(_ROW, F.monotonically_increasing_id()))
+    sorted_ids = df.orderBy(*order_by).withColumn(_ROW, F.monotonically_increasing_id())
+    # Lineage cut: a Parquet table in the shared folder. The ids are stored as
+    # data, so how the read-back is split into partitions does not matter.
+    tagged = materialize(sorted_ids, "ntile")
     part = F.shiftright(F.col(_ROW), _POS_BITS)
     counts = tagged.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias(_CNT))
     # One row per partition: the window below is over that bounded table.

@@ -45,10 +45,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a scan that yields fewer splits than the cluster has task
     slots (one small, unsplittable file) so the per-row work runs on every
     slot; a no-op for a large input, whose file splits outnumber the slots."""
-    import os
-
-    if os.environ.get("SESSIONLENS_NO_SPREAD"):
-        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots, key)
