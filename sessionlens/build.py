@@ -70,9 +70,7 @@ class Build:
 
     @cached_property
     def rfm(self) -> DataFrame:
-        from pyspark.sql import functions as F
-
-        return self.rfm_scored.withColumn("segment", rfm.segment_of(F.col("r_score"), F.col("f_score")))
+        return rfm.with_segment(self.rfm_scored)
 
     @cached_property
     def flags(self) -> DataFrame:

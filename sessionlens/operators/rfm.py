@@ -61,6 +61,9 @@ def segment_of(r: Column, f: Column) -> Column:
     )
 
 
-def rfm_segments(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str = "distributed") -> DataFrame:
-    scored = rfm_scored(sessions, as_of, n_tiles, method)
+def with_segment(scored: DataFrame) -> DataFrame:
     return scored.withColumn("segment", segment_of(F.col("r_score"), F.col("f_score")))
+
+
+def rfm_segments(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str = "distributed") -> DataFrame:
+    return with_segment(rfm_scored(sessions, as_of, n_tiles, method))

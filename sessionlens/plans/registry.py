@@ -228,24 +228,26 @@ def q_flatten_params(b: Build) -> DataFrame:
     return staging.flatten_params(b.raw, p.start_day, p.end_day)
 
 
-def _checked(b: Build) -> tuple[DataFrame, dict]:
+def _checked(b: Build) -> DataFrame:
+    """Check results of the whole suite; the sessions table is written once
+    and every model reads it."""
     mat = Build(b.spark, b.sf_dir, b.params, materialize_sessions=True)
     p = b.params
     suite = CK.default_suite(p.flag_rate_max, p.volume_min, p.volume_max)
-    return CK.check_results(mat.models(), suite, p.run_id, raw=mat.raw), mat
+    return CK.check_results(mat.models(), suite, p.run_id, raw=mat.raw)
 
 
 @query("owner_alerts")
 def q_owner_alerts(b: Build) -> DataFrame:
     """Failing and warning checks attributed to the model owner."""
-    results, _ = _checked(b)
+    results = _checked(b)
     return GV.owner_alerts(results, GV.model_registry(b.spark))
 
 
 @query("governance_gaps")
 def q_governance_gaps(b: Build) -> DataFrame:
     """Governed models and what each misses."""
-    results, _ = _checked(b)
+    results = _checked(b)
     return GV.governance_gaps(GV.model_registry(b.spark), results)
 
 
@@ -382,8 +384,7 @@ def q_flag_rate_monitor(b: Build) -> DataFrame:
 @query("check_results")
 def q_check_results(b: Build) -> DataFrame:
     """Q6: one result row per check of the run."""
-    results, _ = _checked(b)
-    return results
+    return _checked(b)
 
 
 @query("flags_keep_rows")
