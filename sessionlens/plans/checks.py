@@ -3,9 +3,9 @@
 A check is a declarative spec. ``violations`` returns the failing rows, as a
 test query does; ``check_results`` runs a whole suite and returns one row per
 check (run_id, check, model, column, severity, failures, status, message).
-Scalar checks on one model (not_null, accepted_values) share a single
-aggregation pass over that model; ``unique`` is a grouped count with partial
-aggregation; the two monitors are global aggregates.
+Checks on one model that need no grouping (not_null, accepted_values and
+the flag-rate and volume monitors) share a single aggregation pass over that
+model; ``unique`` is a grouped count with partial aggregation.
 """
 
 from __future__ import annotations
@@ -115,20 +115,32 @@ def violations(df: DataFrame, check: Check, raw: DataFrame | None = None) -> Dat
 # ----------------------------------------------------------------- results
 
 
-def _scalar_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """not_null / accepted_values checks of one model in one pass:
-    one row per check (check, failures)."""
-    aggs = []
-    for ch in checks:
+_ONE_PASS = ("not_null", "accepted_values", "flag_rate", "volume")
+
+
+def _failure_agg(ch: Check) -> Column:
+    """The failure count of a one-pass check, as an aggregate expression."""
+    if ch.kind == "not_null":
+        return F.count_if(F.col(ch.column).isNull())
+    if ch.kind == "accepted_values":  # number of distinct invalid values
         c = F.col(ch.column)
-        if ch.kind == "not_null":
-            aggs.append(F.count_if(c.isNull()).alias(ch.name))
-        else:  # accepted_values: number of distinct invalid values
-            aggs.append(F.count_distinct(F.when(~c.isin(*ch.values), c)).alias(ch.name))
-    wide = df.agg(*aggs)
+        return F.count_distinct(F.when(~c.isin(*ch.values), c))
+    if ch.kind == "flag_rate":  # one failing row when the rate is above the threshold
+        rate = F.avg(F.when(F.col(ch.column), F.lit(1.0)).otherwise(F.lit(0.0)))
+        return F.when(rate > F.lit(ch.high), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    if ch.kind == "volume":  # one failing row when the count is out of band
+        n = F.count(F.lit(1))
+        return F.when((n < F.lit(int(ch.low))) | (n > F.lit(int(ch.high))), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    raise ValueError(ch.kind)
+
+
+def _one_pass_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All one-pass checks of one model in a single aggregation over it:
+    one row per check (check, failures)."""
+    wide = df.agg(*[_failure_agg(ch).alias(ch.name) for ch in checks])
     stack = []
     for ch in checks:
-        stack += [F.lit(ch.name), F.col(ch.name)]
+        stack += [F.lit(ch.name), F.col(ch.name).cast("long")]
     return wide.select(F.stack(F.lit(len(checks)), *stack).alias("check", "failures"))
 
 
@@ -137,16 +149,18 @@ def _one(df: DataFrame, name: str) -> DataFrame:
 
 
 def check_failures(models: dict[str, DataFrame], suite: tuple[Check, ...], raw: DataFrame | None = None) -> DataFrame:
-    """(check, failures) for every check of the suite, as one union."""
+    """(check, failures) for every check of the suite, as one union: one
+    aggregation pass per model for the one-pass checks, a grouped count per
+    ``unique`` check, and a pass over the raw events for duplicate keys."""
     parts: list[DataFrame] = []
-    scalar: dict[str, list[Check]] = {}
+    one_pass: dict[str, list[Check]] = {}
     for ch in suite:
-        if ch.kind in ("not_null", "accepted_values"):
-            scalar.setdefault(ch.model, []).append(ch)
+        if ch.kind in _ONE_PASS:
+            one_pass.setdefault(ch.model, []).append(ch)
         else:
             parts.append(_one(violations(models[ch.model], ch, raw), ch.name))
-    for model, chs in scalar.items():
-        parts.append(_scalar_failures(models[model], chs))
+    for model, chs in one_pass.items():
+        parts.append(_one_pass_failures(models[model], chs))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
