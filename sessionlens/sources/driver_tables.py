@@ -42,11 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than the cluster has task
-    slots (one small, unsplittable file) so the per-row work runs on every
-    slot; a no-op for a large input, whose file splits outnumber the slots."""
+    """Hash-spread a scan that is a single split (one small file with one row
+    group, as in the test tables) so the per-row work runs on every slot.
+    Any multi-split input is left alone: on a cluster even a one-day window
+    has many splits, and spreading those would shuffle raw events for nothing."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    if slots > 1 and df.rdd.getNumPartitions() == 1:
         return df.repartition(slots, key)
     return df
 
