@@ -2,8 +2,9 @@
 
 Two forms of the param lookup exist in the reference's two dialects:
 
-* ``stage_events``: keyed lookup with a higher-order ``filter`` on the array
-  (a projection; no unnest, no join, no shuffle). This is the production path.
+* ``stage_events``: keyed lookup by position in the array of keys
+  (``array_position`` + ``get``; a projection in generated code, no unnest,
+  no join, no shuffle). This is the production path.
 * ``flatten_params``: lateral explode of the params and a conditional-max
   pivot grouped by every event column (GROUP BY ALL). It needs a shuffle on
   the event key, so it is kept for the second dialect's semantics only; the
