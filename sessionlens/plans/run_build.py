@@ -39,7 +39,7 @@ def build_and_test(spark: SparkSession, sf_dir: str, out_dir: str, params: Param
     # Sessions first: every other mart is computed from the written table.
     for name in MARTS:
         src = built[name] if name == "fct_sessions" else _from_sessions(b, tables["fct_sessions"], name)
-        src.write.mode("overwrite").parquet(f"{out}/{name}")
+        GV.document(src, name).write.mode("overwrite").parquet(f"{out}/{name}")
         tables[name] = spark.read.parquet(f"{out}/{name}")
     flags = _from_sessions(b, tables["fct_sessions"], "session_quality_flags")
     models = {"stg_ga4__events": b.staged, "session_quality_flags": flags, **tables}

@@ -54,6 +54,12 @@ RAW_EVENT = T.StructType(
     ]
 )
 
+# The same event as landed in the second warehouse: nested fields are
+# schema-on-read VARIANT columns.
+LANDED_EVENT = T.StructType(
+    [f if f.name not in NESTED_FIELDS else T.StructField(f.name, T.VariantType()) for f in RAW_EVENT.fields]
+)
+
 # Name of the day partition column of the on-disk raw dataset.
 DAY_PARTITION = "event_day"
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens import config as C
-from sessionlens.schemas import NESTED_FIELDS, RAW_EVENT
+from sessionlens.schemas import LANDED_EVENT, NESTED_FIELDS, RAW_EVENT
 
 
 def export_ndjson(raw: DataFrame, path: str, shard_rows: int = C.EXPORT_SHARD_ROWS) -> None:
@@ -38,6 +38,12 @@ def load_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_EVENT).option("mode", "FAILFAST").json(path)
 
 
+def load_landed(spark: SparkSession, path: str) -> DataFrame:
+    """The NDJSON shards read as the landing table of the second warehouse:
+    scalar columns typed, nested columns kept as VARIANT (schema on read)."""
+    return spark.read.schema(LANDED_EVENT).option("mode", "FAILFAST").json(path)
+
+
 def to_json_columns(raw: DataFrame) -> DataFrame:
     """The export query: scalar columns plus each nested column as JSON text."""
     scalar = [f.name for f in RAW_EVENT.fields if f.name not in NESTED_FIELDS]

@@ -135,3 +135,20 @@ def test_param_key_drift_counts_new_keys(spark):
     ]
     got = {r.param_key: (r.events, r.status) for r in param_key_drift(raw_df(spark, rows)).collect()}
     assert got == {"ga_session_id": (2, "ok"), "page_location": (1, "ok"), "engagement_time_msec": (1, "new_key")}
+
+
+def test_column_docs_survive_the_table_round_trip(spark):
+    import __spark_entry__ as E
+
+    df = E.queries()["sessions_table"](spark, SF0001)
+    assert df.schema["session_key"].metadata.get("comment", "").startswith("Unique session identifier")
+    assert df.schema["did_purchase"].metadata.get("comment")
+
+
+def test_landed_variant_columns(spark, scratch):
+    raw = driver_tables.raw_events(spark, SF0001)
+    path = os.path.join(scratch, "landed")
+    json_io.export_ndjson(raw, path)
+    landed = json_io.load_landed(spark, path)
+    assert landed.schema["device"].dataType.simpleString() == "variant"
+    assert landed.count() == raw.count()
