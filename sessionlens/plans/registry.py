@@ -252,6 +252,12 @@ def q_owner_alerts(b: Build) -> DataFrame:
     return GV.owner_alerts(results, GV.model_registry(b.spark))
 
 
+@query("alert_digest")
+def q_alert_digest(b: Build) -> DataFrame:
+    """Q7 output: alert count and digest text of the run."""
+    return GV.alert_digest(GV.owner_alerts(_checked(b), GV.model_registry(b.spark)))
+
+
 @query("governance_gaps")
 def q_governance_gaps(b: Build) -> DataFrame:
     """Governed models and what each misses."""
