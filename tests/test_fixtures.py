@@ -332,3 +332,20 @@ def test_retention_bitmap_equals_set_form(spark):
 
     with pytest.raises(Exception):
         retention.retention_cohorts(outside, 8, WIN).collect()
+
+
+def test_alert_digest_texts(spark):
+    reg = GV.model_registry(spark, (("m", "marts", "team", None, "x"),))
+    healthy = _results(spark, [("r", "c1", "m", None, "error", 0, "pass", "")])
+    d = GV.alert_digest(GV.owner_alerts(healthy, reg)).first()
+    assert (d.n_alerts, d.digest) == (0, "All models and tests healthy. No alerts.")
+    bad = _results(spark, [
+        ("r", "b_check", "m", None, "warn", 2, "warn", ""),
+        ("r", "a_check", "m", None, "error", 1, "fail", ""),
+    ])
+    d = GV.alert_digest(GV.owner_alerts(bad, reg)).first()
+    assert d.digest.split("\n") == [
+        "Data-quality alerts (2) from the latest run:",
+        "- [FAIL] a_check on `m` (owner team): 1 failing rows",
+        "- [WARN] b_check on `m` (owner team): 2 failing rows",
+    ]
