@@ -82,3 +82,42 @@ def ntile(df: DataFrame, n: int, order_by: Sequence[Column], out_col: str, metho
     if method == "distributed":
         return ntile_distributed(df, n, order_by, out_col)
     raise ValueError(f"unknown ntile method {method!r}")
+
+
+_WHICH = "__ntile_which"
+_TILE = "__ntile_tile"
+
+
+def ntiles_distributed(df: DataFrame, n: int, specs: dict[str, Sequence[Column]], key: str) -> DataFrame:
+    """Several global ntiles of the same rows in one round.
+
+    Each spec becomes a branch of one union: the rows range-sorted on that
+    spec's order and numbered, all branches written in one job as one table
+    (the lineage cut). Offsets come from the per-(branch, partition) counts
+    (bounded by the partition count), and one hash aggregation keyed by
+    ``key`` (unique per row) puts the scores of the branches back on one row.
+    Same result as applying ``ntile_distributed`` once per spec, with one
+    written table instead of one per spec."""
+    cols = df.columns
+    branches = None
+    for i, order in enumerate(specs.values()):
+        b = df.orderBy(*order).select(*cols, F.lit(i).alias(_WHICH), F.monotonically_increasing_id().alias(_ROW))
+        branches = b if branches is None else branches.unionByName(b)
+    tagged = materialize(branches, "ntiles")
+    part = F.shiftright(F.col(_ROW), _POS_BITS)
+    counts = tagged.groupBy(F.col(_WHICH), part.alias(_PART)).agg(F.count(F.lit(1)).alias(_CNT))
+    per_branch = Window.partitionBy(_WHICH)  # one row per partition of a branch: bounded
+    offsets = counts.select(
+        _WHICH,
+        _PART,
+        (F.sum(_CNT).over(per_branch.orderBy(_PART)) - F.col(_CNT)).alias(_OFF),
+        F.sum(_CNT).over(per_branch).alias(_N),
+    )
+    position = F.col(_ROW).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    ranked = tagged.withColumn(_PART, part).join(F.broadcast(offsets), [_WHICH, _PART])
+    tiles = ranked.select(*cols, _WHICH, tile_of_rank(F.col(_OFF) + position, F.col(_N), n).alias(_TILE))
+    others = [c for c in cols if c != key]
+    return tiles.groupBy(key).agg(
+        *[F.max(c).alias(c) for c in others],  # identical in every branch
+        *[F.max(F.when(F.col(_WHICH) == i, F.col(_TILE))).alias(out) for i, out in enumerate(specs)],
+    ).select(*cols, *specs)

@@ -2,8 +2,9 @@
 
 Purchasing sessions -> per user (shuffle on user, partial aggregation) ->
 three global quintiles. The quintiles are the one global ordering in the
-pipeline; they use the distributed ``ntile`` (operators/ntile.py). Ties are
-broken by ``user_pseudo_id`` ascending so the tiles are deterministic.
+pipeline; all three are computed in one round by ``ntiles_distributed``
+(operators/ntile.py). Ties are broken by ``user_pseudo_id`` ascending so the
+tiles are deterministic.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sessionlens import config as C
 from sessionlens.functions import days_since, exact_sum
-from sessionlens.operators.ntile import ntile
+from sessionlens.operators.ntile import ntile, ntiles_distributed
 
 
 def rfm_purchases(sessions: DataFrame) -> DataFrame:
@@ -41,9 +42,16 @@ def rfm_scored(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str =
     """Adds r_score (most recent = 5), f_score and m_score (highest = 5)."""
     users = rfm_user(sessions, as_of)
     tie = F.col("user_pseudo_id").asc()
-    users = ntile(users, n_tiles, [F.col("recency_days").desc(), tie], "r_score", method)
-    users = ntile(users, n_tiles, [F.col("frequency").asc(), tie], "f_score", method)
-    users = ntile(users, n_tiles, [F.col("monetary_usd").asc(), tie], "m_score", method)
+    specs = {
+        "r_score": [F.col("recency_days").desc(), tie],
+        "f_score": [F.col("frequency").asc(), tie],
+        "m_score": [F.col("monetary_usd").asc(), tie],
+    }
+    if method == "distributed":
+        users = ntiles_distributed(users, n_tiles, specs, "user_pseudo_id")
+    else:
+        for out, order in specs.items():
+            users = ntile(users, n_tiles, order, out, method)
     return users.select(
         "user_pseudo_id", "recency_days", "frequency", "monetary_usd", "r_score", "f_score", "m_score"
     )

@@ -43,3 +43,20 @@ def test_ntile_empty(spark):
 def test_ntile_property(spark, values, n):
     a, b = _both(spark, values, n)
     assert a == b
+
+
+def test_ntiles_one_round_equals_window(spark):
+    from sessionlens.operators.ntile import ntiles_distributed
+
+    rows = [(f"u{i:04d}", i % 4, (i * 7919) % 13, float((i * 31) % 17)) for i in range(203)]
+    df = spark.createDataFrame(rows, "u string, a long, b long, c double").repartition(3)
+    specs = {
+        "ta": [F.col("a").desc(), F.col("u").asc()],
+        "tb": [F.col("b").asc(), F.col("u").asc()],
+        "tc": [F.col("c").asc(), F.col("u").asc()],
+    }
+    got = {r.u: (r.ta, r.tb, r.tc) for r in ntiles_distributed(df, 5, specs, "u").collect()}
+    want = df
+    for out, order in specs.items():
+        want = ntile(want, 5, order, out, "window")
+    assert got == {r.u: (r.ta, r.tb, r.tc) for r in want.collect()}
