@@ -60,3 +60,16 @@ def test_no_cartesian_products_or_python(spark):
 def test_retention_does_not_broadcast_users(spark):
     plan = plan_of(E.queries()["retention_cohorts"](spark, SF0001))
     assert "BroadcastExchange" not in plan
+
+
+def test_spread_only_single_split_scans(spark, tmp_path):
+    from sessionlens.sources.driver_tables import spread
+
+    one = spark.read.parquet(f"{SF0001}/events.parquet")
+    assert one.rdd.getNumPartitions() == 1
+    assert "Exchange hashpartitioning(event_id" in plan_of(spread(one, "event_id"))
+    many_path = str(tmp_path / "many")
+    one.repartition(4).write.parquet(many_path)
+    many = spark.read.parquet(many_path)
+    assert many.rdd.getNumPartitions() > 1
+    assert "Exchange" not in plan_of(spread(many, "event_id"))
