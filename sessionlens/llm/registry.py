@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sessionlens.llm import (
     op1_token_index,
+    op2_maxent_lm,
+    op3_quality,
     op4_packing,
     op6_token_counts,
     op7_url_rules,
+    op8_minhash,
+    op9_digest,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,9 +23,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_token_index": op1_token_index.query,
+        "op2_lm_score": op2_maxent_lm.query,
+        "op3_quality": op3_quality.query,
         "op4_best_fit_packing": op4_packing.query,
         "op6_token_counts": op6_token_counts.query,
         "op7_url_filter": op7_url_rules.query,
+        "op8_near_duplicates": op8_minhash.query,
+        "op9_fingerprint": op9_digest.query,
     }
 
 
