@@ -102,3 +102,31 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 def record_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+
+
+# A side is broadcast only when it was counted and has no more rows than this;
+# beyond, the same join shuffles both sides.
+BROADCAST_ROWS = 200_000
+NO_ID = -(1 << 63)
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it is small."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Adds ``kid`` (the id, ``NO_ID`` for null), ``print`` (a hash of the
+    text) and ``body`` (the text, empty for null): rows that agree in kid and
+    print are the same document."""
+    body = F.coalesce(F.col("text"), F.lit(""))
+    return docs.withColumns({
+        "kid": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "print": F.xxhash64(body), "body": body,
+    })
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(row, kid, print): the rows with all their columns in one struct, so no
+    column's name can clash with an operator's own."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return keyed(docs.select(F.struct(*own).alias("row"), "doc_id", "text")).select("row", "kid", "print")

@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from sessionlens.llm.common import prepare, raw_text, record_batch, remainder, stored, table
 
@@ -200,7 +201,7 @@ def margin(text: bytes, weights: np.ndarray, known: _Units) -> float:
     return float(weights[at] @ x + weights[-1])
 
 
-def _score(batches: Iterator[pa.RecordBatch], weights, drop: list[str]) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
     known = _Units()
     for b in batches:
         z = []
@@ -209,7 +210,7 @@ def _score(batches: Iterator[pa.RecordBatch], weights, drop: list[str]) -> Itera
             if known.full():
                 known = _Units()
         p = 1 / (1 + np.exp(-np.clip(np.array(z), -500, 500)))
-        kept = [i for i, n in enumerate(b.schema.names) if n not in drop]
+        kept = [i for i, n in enumerate(b.schema.names) if n != "raw"]
         yield pa.RecordBatch.from_arrays(
             [b.column(i) for i in kept] + [pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32), pa.int32())],
             [b.schema.names[i] for i in kept] + ["score", "predicted"],
@@ -222,8 +223,14 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(weights)  # SLOTS + 1 doubles
     kept = [f for f in docs.schema.fields if f.name != "raw"]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.mapInArrow(lambda it: _score(it, held, ["raw"]), f"{ddl}, score double, predicted int")
+    schema = StructType([*kept, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    return docs.mapInArrow(lambda it: _score(it, held), schema)
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that are not rejected."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), raw_text().alias("raw"))
+    return score(rows, fit(docs, labels)).where("predicted = 1").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

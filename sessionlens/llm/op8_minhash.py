@@ -19,7 +19,7 @@ agree in a whole band share a bucket.
    pair of a bucket undecided that could join two components.
 
 The chance that a pair at the threshold shares no bucket is
-(1 - 0.85^5)^25 = 4e-7; a pair below a sketch's bound is at the threshold with
+(1 - 0.85^5)^32 = 7e-9 (at 0.8: 3e-6); a pair below a sketch's bound is at the threshold with
 a chance under 1e-9.
 
 Defined results: null and empty texts have the empty set, are linked with
@@ -39,12 +39,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import ascii_words, mix64, prepare, raw_text, record_batch, stored, table
+from sessionlens.llm.common import ascii_words, counted, keyed, mix64, prepare, record_batch, stored, table, whole_rows
 from sessionlens.llm.components import components
 
 SHINGLE = 3
 SHARE = 85  # per cent
-BANDS, ROWS = 25, 5
+STAGE_SHINGLE, STAGE_SHARE = 5, 80  # of the pipeline's stage
+BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 _TRIES = 2048
 _CACHE_WORDS = 800_000
@@ -114,10 +115,10 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 _SIG = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("print_a", pa.int64()), ("print_b", pa.int64()),
+    ("doc_id", pa.int64()), ("print", pa.int64()), ("n_shingles", pa.int64()), ("print_a", pa.int64()), ("print_b", pa.int64()),
     ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int16())),
 ])
-_SIG_DDL = "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>, sketch array<short>"
+_SIG_DDL = "doc_id long, print long, n_shingles long, print_a long, print_b long, bands array<long>, sketch array<short>"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -139,7 +140,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
             if known.full():
                 known = _Words()
         yield record_batch({
-            "doc_id": b.column("doc_id"), "n_shingles": n, "print_a": prints_a, "print_b": prints_b, "bands": bands, "sketch": sketches,
+            "doc_id": b.column("doc_id"), "print": b.column("print"), "n_shingles": n, "print_a": prints_a, "print_b": prints_b, "bands": bands, "sketch": sketches,
         }, _SIG)
 
 
@@ -205,7 +206,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     documents are linked if their sets of ``size``-word shingles share at
     least ``share`` per cent of their union."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw"))
+    rows = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "print", F.col("body").cast("binary").alias("raw"))
     signed = stored(rows.mapInArrow(lambda it: _signatures(it, size), _SIG_DDL), "minhash-signatures")
     same = ["print_a", "print_b", "n_shingles"]
     usable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -240,7 +241,24 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     out = signed.join(component, same, "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     )
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "print")
+
+
+def one_of_each(docs: DataFrame, size: int = STAGE_SHINGLE, share: int = STAGE_SHARE) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that stay: of each group
+    of near copies the row of its smallest doc_id. Rows of that id are one
+    document: of those with words the one of the smallest text hash stays, and
+    of equal rows one. Rows without words and rows with null id stay."""
+    judged = stored(near_duplicates(docs, size, share).withColumn("kid", F.col("doc_id")), "minhash-judged")
+    gone = judged.where(~F.col("kept")).select("kid", "print").distinct()
+    ids = judged.where("kept and kid is not null")
+    repeated = ids.groupBy("kid").agg(F.count("*").alias("n"), F.min(F.when(F.col("n_shingles") > 0, F.col("print"))).alias("first")).where("n > 1")
+    repeated = stored(repeated.select("kid", "first"), "minhash-repeated")
+    allowed = ids.join(repeated, "kid").where("n_shingles = 0 or print = first").select("kid", "print").distinct()
+    rows = whole_rows(docs).join(counted(stored(gone, "minhash-gone")), ["kid", "print"], "left_anti")
+    single = rows.join(counted(repeated.select("kid")), "kid", "left_anti")
+    several = rows.join(counted(stored(allowed, "minhash-allowed")), ["kid", "print"]).dropDuplicates(["kid", "print"])
+    return single.unionByName(several).select("row.*")
 
 
 def _same_id(usable: DataFrame, classes: DataFrame, same: list[str]) -> DataFrame:
