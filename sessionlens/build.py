@@ -54,19 +54,25 @@ class Build:
         df = sessions.build_sessions(self.staged)
         return materialize(df, "fct_sessions") if self.materialize_sessions else df
 
+    @cached_property
+    def core(self) -> DataFrame:
+        """Sessions for the marts that use no attribute: the written table if
+        there is one, else the rollup without attributes."""
+        return self.sessions if self.materialize_sessions else sessions.session_core(self.staged)
+
     @cached_property
     def funnel(self) -> DataFrame:
-        return funnel.funnel_conversion(self.sessions)
+        return funnel.funnel_conversion(self.core)
 
     @cached_property
     def retention(self) -> DataFrame:
         p = self.params
-        return retention.retention_cohorts(self.sessions, p.retention_weeks, (p.start_day, p.end_day))
+        return retention.retention_cohorts(self.core, p.retention_weeks, (p.start_day, p.end_day))
 
     @cached_property
     def rfm_scored(self) -> DataFrame:
         p = self.params
-        return rfm.rfm_scored(self.sessions, p.as_of, p.n_tiles, p.ntile_method)
+        return rfm.rfm_scored(self.core, p.as_of, p.n_tiles, p.ntile_method)
 
     @cached_property
     def rfm(self) -> DataFrame:
@@ -74,7 +80,7 @@ class Build:
 
     @cached_property
     def flags(self) -> DataFrame:
-        return quality_flags.session_quality_flags(self.sessions)
+        return quality_flags.session_quality_flags(self.core)
 
     def models(self) -> "Models":
         """The models by name; each is built on first access only."""

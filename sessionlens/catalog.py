@@ -1,7 +1,9 @@
 """Registry of named queries: name -> f(spark, sf_dir) -> DataFrame.
 
 Each query reads the driver tables in ``sf_dir`` (through the adapter) and
-returns a lazy DataFrame; nothing is collected. The DuckDB twin of each
+returns a DataFrame. Those about loads, written tables, quintiles and checks
+write tables into the shared folder when called; the rest is lazy. The DuckDB
+twin of each
 query, where one exists, is in ``sessionlens.oracle_sql``.
 """
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Revenue is summed at cent precision, so the total does not depend on the
-# order in which partial sums meet (a double sum does, in its last bits).
-MONEY = "decimal(18,2)"
+# Revenue is summed as a decimal with nine places (converted currencies have
+# more than cents), so the total does not depend on the order in which partial
+# sums meet (a double sum does, in its last bits).
+MONEY = "decimal(38,9)"
 
 
 def _c(col: str | Column) -> Column:

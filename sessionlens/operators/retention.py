@@ -41,6 +41,13 @@ def _bit(words: list[str], idx: Column) -> Column:
     return F.call_function("shiftright", word, (idx % _WORD).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
+def known_users(sessions: DataFrame) -> DataFrame:
+    """Sessions of identified users. The reference joins and counts users by
+    their id, so a NULL id is in no cohort (it stays in the funnel and in the
+    weekly activity, which only group by it)."""
+    return sessions.where(F.col("user_pseudo_id").isNotNull())
+
+
 def user_week_bitmap(sessions: DataFrame, first_monday: dt.date, n_weeks: int) -> tuple[DataFrame, list[str]]:
     """Per user: index of the first active week and the active-week bitmap
     (one long per 64 weeks). A session outside the window fails the job
@@ -58,7 +65,7 @@ def user_week_bitmap(sessions: DataFrame, first_monday: dt.date, n_weeks: int) -
         ).alias(w)
         for i, w in enumerate(words)
     ]
-    return sessions.groupBy("user_pseudo_id").agg(F.min(idx).alias("first_idx"), *bits), words
+    return known_users(sessions).groupBy("user_pseudo_id").agg(F.min(idx).alias("first_idx"), *bits), words
 
 
 def _cohort_cells_bitmap(sessions: DataFrame, max_weeks: int, first_monday: dt.date, n_weeks: int) -> DataFrame:
@@ -78,7 +85,7 @@ def weekly_activity(sessions: DataFrame) -> DataFrame:
 
 def user_weeks(sessions: DataFrame) -> DataFrame:
     """Per user: sorted distinct active Mondays; the first is the cohort."""
-    weeks = sessions.select("user_pseudo_id", week_start("session_date").alias("active_week"))
+    weeks = known_users(sessions).select("user_pseudo_id", week_start("session_date").alias("active_week"))
     return weeks.groupBy("user_pseudo_id").agg(F.array_sort(F.collect_set("active_week")).alias("weeks"))
 
 
@@ -89,7 +96,7 @@ def cohort_activity(sessions: DataFrame, window: tuple[str, str] | None = None)
         per_user, words = user_week_bitmap(sessions, first_monday, n_weeks)
         ahead = per_user.select(
             "user_pseudo_id", "first_idx", *words,
-            F.explode(F.sequence(F.lit(0), F.lit(n_weeks - 1))).alias("idx"),
+            F.explode(F.sequence(F.col("first_idx"), F.lit(n_weeks - 1).cast("long"))).alias("idx"),
         )
         active = ahead.where(_bit(words, F.col("idx")))
         return active.select(

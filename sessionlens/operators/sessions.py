@@ -35,19 +35,9 @@ _KEYS = ("user_pseudo_id", "ga_session_id")
 _ATTRS = ("device_category", "country", "traffic_medium")
 
 
-def build_sessions(staged: DataFrame) -> DataFrame:
-    """Two aggregation levels, both hash-based:
-
-    1. by (user, session, device, country, medium): the strings are grouping
-       keys, so every aggregation buffer is fixed-width and Spark plans a
-       HashAggregate with map-side combine over the raw events;
-    2. by (user, session): folds the (normally single) attribute combination
-       per session. Only this step holds strings in buffers (a sort-based
-       aggregate), and it runs over session-level rows, not events.
-
-    min/max/sum/count/bool_or are all decomposable, so the result equals one
-    aggregation over the events."""
-    level1 = staged.groupBy(*_KEYS, *_ATTRS).agg(
+def _measures() -> list[Column]:
+    """The aggregates that need no attribute; every buffer is fixed-width."""
+    return [
         F.min("event_ts").alias("session_start"),
         F.max("event_ts").alias("session_end"),
         # The export's own day, not a truncation of the timestamp.
@@ -60,7 +50,29 @@ def build_sessions(staged: DataFrame) -> DataFrame:
         F.bool_or(_is(C.EV_PURCHASE)).alias("did_purchase"),
         # NULL, not 0, for sessions without revenue.
         F.sum(F.col("purchase_revenue_usd").cast(MONEY)).alias("revenue"),
-    )
+    ]
+
+
+def session_core(staged: DataFrame) -> DataFrame:
+    """Sessions without their attributes, for the marts that use none: one
+    hash aggregation, one shuffle, no string but the user in its key."""
+    core = staged.groupBy(*_KEYS).agg(*_measures())
+    return core.withColumn("session_key", session_key()).withColumn("revenue_usd", F.col("revenue").cast("double")).drop("revenue")
+
+
+def build_sessions(staged: DataFrame) -> DataFrame:
+    """Two aggregation levels, both hash-based:
+
+    1. by (user, session, device, country, medium): the strings are grouping
+       keys, so every aggregation buffer is fixed-width and Spark plans a
+       HashAggregate with map-side combine over the raw events;
+    2. by (user, session): folds the (normally single) attribute combination
+       per session. Only this step holds strings in buffers (a sort-based
+       aggregate), and it runs over session-level rows, not events.
+
+    min/max/sum/count/bool_or are all decomposable, so the result equals one
+    aggregation over the events."""
+    level1 = staged.groupBy(*_KEYS, *_ATTRS).agg(*_measures())
     agg = level1.groupBy(*_KEYS).agg(
         F.min("session_start").alias("session_start"),
         F.max("session_end").alias("session_end"),
@@ -92,9 +104,11 @@ def build_sessions(staged: DataFrame) -> DataFrame:
 
 
 def session_attributes(staged: DataFrame) -> DataFrame:
-    """The three any_value columns per session, on their own."""
-    return staged.groupBy("user_pseudo_id", "ga_session_id").agg(
-        any_value("device_category").alias("device_category"),
-        any_value("country").alias("country"),
-        any_value("traffic_medium").alias("traffic_medium"),
-    )
+    """The three any_value columns per session, on their own. The events are
+    first counted per combination (a hash aggregation with map-side combine),
+    so the string minimum sees session-level rows only. The count is carried
+    through because the optimizer would remove a plain distinct below a
+    minimum and sort the events instead."""
+    combinations = staged.groupBy(*_KEYS, *_ATTRS).agg(F.count(F.lit(1)).alias("n"))
+    folded = combinations.groupBy(*_KEYS).agg(*[any_value(a).alias(a) for a in _ATTRS], F.sum("n").alias("n"))
+    return folded.where(F.col("n") > 0).drop("n")

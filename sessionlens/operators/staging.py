@@ -5,16 +5,14 @@ Two forms of the param lookup exist in the reference's two dialects:
 * ``stage_events``: keyed lookup by position in the array of keys
   (``array_position`` + ``get``; a projection in generated code, no unnest,
   no join, no shuffle). This is the production path.
-* ``flatten_params``: lateral explode of the params and a conditional-max
-  pivot grouped by every event column (GROUP BY ALL). It needs a shuffle on
-  the event key, so it is kept for the second dialect's semantics only; the
-  partial aggregation collapses the exploded rows of an event map-side, so the
-  shuffle carries one row per event, not one per param.
+* ``flatten_params``: the second dialect's unnest, grouping by every event
+  column and conditional max. It differs where a key repeats (largest value
+  instead of the first). The grouping is done inside the row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens import config as C
@@ -71,40 +69,31 @@ def duplicate_param_keys(raw: DataFrame, keys: tuple[str, ...] = (C.PARAM_SESSIO
     return counted.where(cond)
 
 
+def _largest(key: str, slot: str) -> Column:
+    """The largest value of a key's slot in one event's params: what a
+    conditional max over the event's exploded params gives."""
+    own = F.filter("event_params", lambda p: p["key"] == key)
+    return F.array_max(F.transform(own, lambda p: p["value"][slot]))
+
+
 def flatten_params(raw: DataFrame, start_day: str | None = None, end_day: str | None = None) -> DataFrame:
-    """Second-dialect staging: explode params (inner: an empty or NULL array
-    drops the event), pivot the two keys back with a conditional max, and
-    group by every event column plus the event id."""
+    """Second-dialect staging: the params unnested (inner: an empty or NULL
+    array drops the event), two keys pivoted back with a conditional max, one
+    row per event. All params of an event are in its row, so the grouping
+    happens there and no event is shuffled."""
     src = in_day_window(raw, start_day, end_day) if start_day and end_day else raw
-    base = src.select(
+    params = src.where(F.size("event_params") > 0).select(
         "event_id",
         "user_pseudo_id",
+        _largest(C.PARAM_SESSION_ID, "int_value").alias("ga_session_id"),
         "event_name",
-        "event_timestamp",
-        "event_date",
+        micros_to_ts("event_timestamp").alias("event_ts"),
+        parse_event_day("event_date").alias("event_date"),
+        _largest(C.PARAM_PAGE_LOCATION, "string_value").alias("page_location"),
         F.col("device.category").alias("device_category"),
         F.col("geo.country").alias("country"),
         F.col("traffic_source.medium").alias("traffic_medium"),
-        F.col("traffic_source.source").alias("traffic_source_name"),
+        F.col("traffic_source.source").alias("traffic_source"),
         F.col("ecommerce.purchase_revenue_in_usd").alias("purchase_revenue_usd"),
-        F.explode("event_params").alias("p"),
-    )
-    keys = [c for c in base.columns if c != "p"]
-    params = base.groupBy(*keys).agg(
-        F.max(F.when(F.col("p.key") == C.PARAM_SESSION_ID, F.col("p.value.int_value"))).alias("ga_session_id"),
-        F.max(F.when(F.col("p.key") == C.PARAM_PAGE_LOCATION, F.col("p.value.string_value"))).alias("page_location"),
-    )
-    return params.where(F.col("ga_session_id").isNotNull()).select(
-        "event_id",
-        "user_pseudo_id",
-        "ga_session_id",
-        "event_name",
-        micros_to_ts("event_timestamp").alias("event_ts"),
-        parse_event_day("event_date").alias("event_date"),
-        "page_location",
-        "device_category",
-        "country",
-        "traffic_medium",
-        F.col("traffic_source_name").alias("traffic_source"),
-        "purchase_revenue_usd",
     )
+    return params.where(F.col("ga_session_id").isNotNull())

@@ -1,15 +1,15 @@
 """Monitors learned from the data itself.
 
 * ``daily_volume_anomaly``: daily session counts against the trailing mean and
-  standard deviation of the previous days. The window runs over one row per
-  day (bounded by the calendar, not by the data).
+  standard deviation of the previous days, on a full calendar of the window.
+  The window runs over one row per day (bounded by the calendar, not by the
+  data).
 * ``freshness_check``: latest session start per day against a run time.
 * ``schema_drift``: the param keys actually present in the semi-structured
-  ``event_params`` against the declared ones, and top-level fields against
-  the declared raw schema.
+  ``event_params`` against the declared ones; ``field_drift``: the leaf fields
+  of landed files against the declared raw schema.
 * ``build_reconciliation``: two builds of the same model compared row for
-  row with ``exceptAll`` both ways (multiset difference, shuffled on all
-  columns), plus counts.
+  row in one grouping.
 """
 
 from __future__ import annotations
@@ -23,24 +23,29 @@ from pyspark.sql import types as T
 from sessionlens import config as C
 
 
-def daily_volume_anomaly(sessions: DataFrame, lookback: int = 14, z_max: float = 3.0, min_history: int = 7) -> DataFrame:
-    daily = sessions.groupBy("session_date").agg(F.count(F.lit(1)).alias("sessions"))
+def daily_volume_anomaly(
+    sessions: DataFrame, start_day: str, end_day: str, lookback: int = 14, z_max: float = 3.0, min_history: int = 7
+) -> DataFrame:
+    """One row for each day of the window (yyyyMMdd, inclusive), also for days
+    without sessions, which are anomalies."""
+    spark = sessions.sparkSession
+    first, last = (F.to_date(F.lit(d), "yyyyMMdd") for d in (start_day, end_day))
+    calendar = spark.range(1).select(F.explode(F.sequence(first, last)).alias("session_date"))
+    counted = sessions.groupBy("session_date").agg(F.count(F.lit(1)).alias("n"))
+    # Both sides have one row per day.
+    daily = calendar.join(counted, "session_date", "left").select("session_date", F.coalesce("n", F.lit(0)).alias("sessions"))
     hist = Window.orderBy("session_date").rowsBetween(-lookback, -1)
-    mean = F.avg("sessions").over(hist)
-    std = F.stddev_samp("sessions").over(hist)
-    n_hist = F.count(F.lit(1)).over(hist)
     out = daily.select(
         "session_date",
         "sessions",
-        n_hist.alias("history_days"),
-        F.round(mean, 6).alias("trailing_mean"),
-        F.round(std, 6).alias("trailing_std"),
+        F.count(F.lit(1)).over(hist).alias("history_days"),
+        F.round(F.avg("sessions").over(hist), 6).alias("trailing_mean"),
+        F.round(F.stddev_samp("sessions").over(hist), 6).alias("trailing_std"),
     )
     z = F.try_divide(F.col("sessions") - F.col("trailing_mean"), F.col("trailing_std"))
-    return out.withColumn("z_score", F.round(z, 6)).withColumn(
-        "is_anomaly",
-        F.coalesce((F.col("history_days") >= min_history) & (F.abs(F.col("z_score")) > z_max), F.lit(False)),
-    )
+    out = out.withColumn("z_score", F.round(z, 6))
+    far = F.coalesce((F.col("history_days") >= min_history) & (F.abs(F.col("z_score")) > z_max), F.lit(False))
+    return out.withColumn("is_anomaly", far | (F.col("sessions") == 0))
 
 
 def freshness_check(sessions: DataFrame, run_time: str, max_lag_hours: float = 24.0) -> DataFrame:
@@ -59,18 +64,37 @@ def freshness_check(sessions: DataFrame, run_time: str, max_lag_hours: float = 2
 
 
 def param_key_drift(raw: DataFrame, declared=(C.PARAM_SESSION_ID, C.PARAM_PAGE_LOCATION)) -> DataFrame:
-    """Param keys seen in the data with event counts, and whether declared."""
+    """Param keys of the data and of the declaration with their event-param
+    counts: ``ok``, ``new_key`` (not declared) or ``missing`` (declared, not
+    in the data)."""
     keys = raw.select(F.explode("event_params.key").alias("param_key"))
     counts = keys.groupBy("param_key").agg(F.count(F.lit(1)).alias("events"))
-    return counts.withColumn("declared", F.col("param_key").isin(*declared)).withColumn(
-        "status", F.when(F.col("declared"), F.lit("ok")).otherwise(F.lit("new_key"))
+    known = raw.sparkSession.createDataFrame([(k,) for k in declared], "declared_key string")
+    both = counts.join(known, counts["param_key"] == known["declared_key"], "full_outer")
+    return both.select(
+        F.coalesce("param_key", "declared_key").alias("param_key"),
+        F.coalesce("events", F.lit(0)).alias("events"),
+        F.col("declared_key").isNotNull().alias("declared"),
+        F.when(F.col("declared_key").isNull(), F.lit("new_key")).when(F.col("events").isNull(), F.lit("missing")).otherwise(F.lit("ok")).alias("status"),
     )
 
 
+def leaves(schema: T.DataType, prefix: str = "") -> dict[str, str]:
+    """Leaf paths of a schema with their types; ``[]`` marks an array's element."""
+    if isinstance(schema, T.StructType):
+        out: dict[str, str] = {}
+        for f in schema.fields:
+            out |= leaves(f.dataType, f"{prefix}.{f.name}" if prefix else f.name)
+        return out
+    if isinstance(schema, T.ArrayType):
+        return leaves(schema.elementType, f"{prefix}[]")
+    return {prefix: schema.simpleString()}
+
+
 def field_drift(observed: T.StructType, declared: T.StructType) -> list[tuple[str, str | None, str | None, str]]:
-    """Top-level fields: (field, declared type, observed type, status)."""
-    obs = {f.name: f.dataType.simpleString() for f in observed.fields}
-    dec = {f.name: f.dataType.simpleString() for f in declared.fields}
+    """Leaf fields, nested ones by their path: (field, declared type, observed
+    type, status)."""
+    obs, dec = leaves(observed), leaves(declared)
     out = []
     for name in sorted(set(obs) | set(dec)):
         d, o = dec.get(name), obs.get(name)
@@ -80,28 +104,24 @@ def field_drift(observed: T.StructType, declared: T.StructType) -> list[tuple[st
 
 
 def build_reconciliation(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Row counts and multiset differences of two builds of one model."""
+    """Row counts and multiset differences of two builds of one model. Both
+    sides meet in one grouping by all columns that counts each side's copies,
+    so each build runs once."""
     cols = left.columns
-    r = right.select(*cols)
-    only_left = left.exceptAll(r).select(F.lit(1).alias("side"))
-    only_right = r.exceptAll(left).select(F.lit(2).alias("side"))
-    counted = (
-        left.select(F.lit(3).alias("side"))
-        .unionByName(r.select(F.lit(4).alias("side")))
-        .unionByName(only_left)
-        .unionByName(only_right)
-    )
-    side = F.col("side")
-    out = counted.agg(
-        F.count_if(side == 3).alias("left_rows"),
-        F.count_if(side == 4).alias("right_rows"),
-        F.count_if(side == 1).alias("only_left"),
-        F.count_if(side == 2).alias("only_right"),
+    left_side, right_side = ((F.lit(n).cast("long") for n in pair) for pair in ((1, 0), (0, 1)))
+    names = ("in_left", "in_right")
+    both = left.select(*cols, *[c.alias(n) for c, n in zip(left_side, names)]).unionByName(
+        right.select(*cols, *[c.alias(n) for c, n in zip(right_side, names)])
     )
-    return out.withColumn(
-        "equal",
-        (F.col("left_rows") == F.col("right_rows")) & (F.col("only_left") == 0) & (F.col("only_right") == 0),
+    rows = both.groupBy(*cols).agg(*[F.sum(n).alias(n) for n in names])
+    zero, (a, b) = F.lit(0).cast("long"), (F.col(n) for n in names)
+    out = rows.agg(
+        F.coalesce(F.sum(a), zero).alias("left_rows"),
+        F.coalesce(F.sum(b), zero).alias("right_rows"),
+        F.coalesce(F.sum(F.greatest(a - b, zero)), zero).alias("only_left"),
+        F.coalesce(F.sum(F.greatest(b - a, zero)), zero).alias("only_right"),
     )
+    return out.withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 
 def run_time_after(as_of: str) -> str:

@@ -20,8 +20,9 @@ from sessionlens.functions import (
     week_start_iso,
     weeks_between,
 )
-from sessionlens.config import PARAM_PAGE_LOCATION, PARAM_SESSION_ID
+from sessionlens.config import PARAM_PAGE_LOCATION, PARAM_SESSION_ID, replace
 from sessionlens.runtime import materialize, table_path
+from sessionlens.schemas import CHECK_RESULT
 from sessionlens.sources import driver_tables, event_days, json_io
 
 # ---------------------------------------------------------------- models (M1-M6)
@@ -96,17 +97,23 @@ def q_export_events_json(b: Build) -> DataFrame:
 
 @query("load_raw_events")
 def q_load_raw_events(b: Build) -> DataFrame:
-    """Bulk load of the NDJSON shards (declared schema, FAILFAST),
-    written as the day-partitioned table (dynamic overwrite = idempotent
-    reload of those days), then staged from that table."""
-    src = table_path(b.spark, "export_ndjson")
-    json_io.export_ndjson(b.raw, src)
-    loaded = json_io.load_ndjson(b.spark, src)
-    dst = table_path(b.spark, "raw_events_loaded")
-    event_days.write_event_days(loaded, dst)
-    days = event_days.read_event_days(b.spark, dst)
+    """Bulk load of the NDJSON shards (declared schema, FAILFAST)
+    into the day-partitioned table; then the table is truncated and reloaded
+    with the days of the first half of the window, and staged."""
     p = b.params
-    return staging.stage_events(days, p.start_day, p.end_day, day_col="event_day")
+    dst = _loaded(b, b.raw, "raw_events_loaded")
+    early = b.raw.where(F.col("event_date") <= F.lit(_mid_day(p.start_day, p.end_day)))
+    days = _loaded(b, early, "raw_events_loaded", dst)
+    return staging.stage_events(event_days.read_event_days(b.spark, days), p.start_day, p.end_day, day_col="event_day")
+
+
+def _loaded(b: Build, raw: DataFrame, name: str, path: str | None = None) -> str:
+    """The raw events exported and bulk-loaded into a table (truncated first)."""
+    shards = table_path(b.spark, "export_ndjson")
+    json_io.export_ndjson(raw, shards)
+    path = path or table_path(b.spark, name)
+    event_days.write_event_days(json_io.load_ndjson(b.spark, shards), path, dynamic=False)
+    return path
 
 
 @query("json_roundtrip")
@@ -127,8 +134,8 @@ def q_json_roundtrip(b: Build) -> DataFrame:
 
 @query("raw_row_count")
 def q_raw_row_count(b: Build) -> DataFrame:
-    """Rows in the raw window."""
-    return event_days.row_count(b.raw)
+    """Rows of the loaded table, counted after the load."""
+    return event_days.row_count(event_days.read_event_days(b.spark, _loaded(b, b.raw, "raw_events_counted")))
 
 
 @query("preview_rows")
@@ -196,13 +203,13 @@ def q_rfm_scored(b: Build) -> DataFrame:
 @query("rfm_purchases")
 def q_rfm_purchases(b: Build) -> DataFrame:
     """Purchasing sessions with revenue."""
-    return rfm.rfm_purchases(b.sessions)
+    return rfm.rfm_purchases(b.core)
 
 
 @query("volume_monitor")
 def q_volume_monitor(b: Build) -> DataFrame:
     """A row when the session count is out of band."""
-    return CK.volume_violations(b.sessions, b.params.volume_min, b.params.volume_max)
+    return CK.volume_violations(b.core, b.params.volume_min, b.params.volume_max)
 
 
 @query("dq_flag_count")
@@ -214,7 +221,7 @@ def q_dq_flag_count(b: Build) -> DataFrame:
 @query("funnel_steps")
 def q_funnel_steps(b: Build) -> DataFrame:
     """The four counts as four rows."""
-    return funnel.funnel_steps(b.sessions)
+    return funnel.funnel_steps(b.core)
 
 
 # ---------------------------------------------------------------- joins / lateral (J)
@@ -224,7 +231,7 @@ def q_funnel_steps(b: Build) -> DataFrame:
 def q_cohort_activity(b: Build) -> DataFrame:
     """Every active (user, week) with the user's cohort."""
     p = b.params
-    return retention.cohort_activity(b.sessions, (p.start_day, p.end_day)).select(
+    return retention.cohort_activity(b.core, (p.start_day, p.end_day)).select(
         "user_pseudo_id", "cohort_week", "active_week", "weeks_since"
     )
 
@@ -260,9 +267,21 @@ def q_alert_digest(b: Build) -> DataFrame:
 
 @query("governance_gaps")
 def q_governance_gaps(b: Build) -> DataFrame:
-    """Governed models and what each misses."""
-    results = _checked(b)
-    return GV.governance_gaps(GV.model_registry(b.spark), results)
+    """Governed models, what each misses and which of its checks fail."""
+    return GV.governance_gaps(GV.model_registry(b.spark), _checked(b))
+
+
+@query("check_history")
+def q_check_history(b: Build) -> DataFrame:
+    """Q6 over runs: the suite on the first half of the window, then on all of
+    it, appended to one results table; per check its runs, failing runs, last
+    status and whether that is new."""
+    p = b.params
+    path = table_path(b.spark, "check_history")
+    for k, end in enumerate((_mid_day(p.start_day, p.end_day), p.end_day), 1):
+        run = Build(b.spark, b.sf_dir, replace(p, end_day=end, run_id=f"run-{k:04d}"))
+        _checked(run).write.mode("append").partitionBy("run_id").parquet(path)
+    return GV.check_history(b.spark.read.schema(CHECK_RESULT).parquet(path))
 
 
 # ---------------------------------------------------------------- aggregates (A)
@@ -277,19 +296,19 @@ def q_session_attributes(b: Build) -> DataFrame:
 @query("funnel_per_user")
 def q_funnel_per_user(b: Build) -> DataFrame:
     """Steps reached per user."""
-    return funnel.funnel_per_user(b.sessions)
+    return funnel.funnel_per_user(b.core)
 
 
 @query("rfm_user")
 def q_rfm_user(b: Build) -> DataFrame:
     """Recency, frequency, monetary per user."""
-    return rfm.rfm_user(b.sessions, b.params.as_of)
+    return rfm.rfm_user(b.core, b.params.as_of)
 
 
 @query("funnel_counts")
 def q_funnel_counts(b: Build) -> DataFrame:
     """Users per step, one row."""
-    return funnel.funnel_counts(b.sessions)
+    return funnel.funnel_counts(b.core)
 
 
 @query("dq_flag_rate")
@@ -307,7 +326,7 @@ def q_segment_summary(b: Build) -> DataFrame:
 @query("weekly_activity")
 def q_weekly_activity(b: Build) -> DataFrame:
     """Distinct (user, active week)."""
-    return retention.weekly_activity(b.sessions)
+    return retention.weekly_activity(b.core)
 
 
 # ---------------------------------------------------------------- scalar functions (F)
@@ -316,7 +335,7 @@ def q_weekly_activity(b: Build) -> DataFrame:
 @query("session_key")
 def q_session_key(b: Build) -> DataFrame:
     """NULL-propagating concat of user and cast session id."""
-    return b.sessions.select("user_pseudo_id", "ga_session_id", "session_key")
+    return b.core.select("user_pseudo_id", "ga_session_id", "session_key")
 
 
 @query("event_time")
@@ -334,7 +353,7 @@ def q_event_time(b: Build) -> DataFrame:
 @query("week_start")
 def q_week_start(b: Build) -> DataFrame:
     """Monday of the week, by truncation and by ISO weekday."""
-    days = b.sessions.select("session_date").distinct()
+    days = b.core.select("session_date").distinct()
     return days.select(
         "session_date",
         week_start("session_date").alias("week_trunc"),
@@ -345,7 +364,7 @@ def q_week_start(b: Build) -> DataFrame:
 @query("weeks_between")
 def q_weeks_between(b: Build) -> DataFrame:
     """whole weeks between a user's first and last active Monday."""
-    per_user = b.sessions.groupBy("user_pseudo_id").agg(
+    per_user = b.core.groupBy("user_pseudo_id").agg(
         week_start(F.min("session_date")).alias("first_week"), week_start(F.max("session_date")).alias("last_week")
     )
     return per_user.withColumn("weeks_span", weeks_between("last_week", "first_week"))
@@ -471,7 +490,7 @@ def q_week1_retention(b: Build) -> DataFrame:
 def q_build_reconciliation(b: Build) -> DataFrame:
     """Sessions from the keyed lookup vs. from explode + GROUP BY ALL."""
     p = b.params
-    other = sessions.build_sessions(staging.flatten_params(b.raw, p.start_day, p.end_day).drop("event_id"))
+    other = sessions.build_sessions(staging.flatten_params(b.raw, p.start_day, p.end_day))
     return MN.build_reconciliation(b.sessions, other)
 
 
@@ -484,13 +503,13 @@ def q_funnel_monotonic(b: Build) -> DataFrame:
 @query("daily_volume_anomaly")
 def q_daily_volume_anomaly(b: Build) -> DataFrame:
     """D3: daily sessions vs. the trailing 14-day mean and deviation."""
-    return MN.daily_volume_anomaly(b.sessions)
+    return MN.daily_volume_anomaly(b.core, b.params.start_day, b.params.end_day)
 
 
 @query("freshness_check")
 def q_freshness_check(b: Build) -> DataFrame:
     """Latest session start per day against the run time."""
-    return MN.freshness_check(b.sessions, MN.run_time_after(b.params.as_of))
+    return MN.freshness_check(b.core, MN.run_time_after(b.params.as_of))
 
 
 @query("schema_drift")
@@ -499,6 +518,17 @@ def q_schema_drift(b: Build) -> DataFrame:
     return MN.param_key_drift(b.raw)
 
 
+@query("field_drift")
+def q_field_drift(b: Build) -> DataFrame:
+    """Leaf fields of the landed files, as inferred from all their rows,
+    vs. the declared schema."""
+    path = table_path(b.spark, "export_ndjson")
+    json_io.export_ndjson(b.raw, path)
+    observed = b.spark.read.json(path).schema
+    rows = MN.field_drift(observed, json_io.RAW_EVENT)  # a row per field
+    return b.spark.createDataFrame(rows, "field string, declared string, observed string, status string")
+
+
 # ---------------------------------------------------------------- incremental load
 
 

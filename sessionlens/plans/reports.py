@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 from sessionlens.functions import safe_pct
 
 
-def funnel_series(funnel: DataFrame) -> DataFrame:
-    """Step, users, % of top, % of previous, by step order."""
-    return funnel.select("step_order", "step", "users", "pct_of_top", "pct_of_previous_step").orderBy("step_order")
-
-
 def segment_summary(rfm: DataFrame) -> DataFrame:
     """R2: users and mean revenue (whole dollars) per segment, largest first."""
     return (
@@ -43,13 +38,15 @@ def retention_pct(retention: DataFrame) -> DataFrame:
 
 
 def retention_matrix(retention: DataFrame, max_weeks: int = 8) -> DataFrame:
-    """One row per cohort (as text), one column per week; missing cells NULL."""
+    """One row per cohort (as text), one column per week with the share of
+    the cohort's week-0 users in percent; missing cells NULL."""
     weeks = list(range(max_weeks + 1))
     wide = (
-        retention.select(F.col("cohort_week").cast("string").alias("cohort_week"), "weeks_since", "active_users")
+        retention_pct(retention)
+        .select(F.col("cohort_week").cast("string").alias("cohort_week"), "weeks_since", "retention_pct")
         .groupBy("cohort_week")
         .pivot("weeks_since", weeks)
-        .agg(F.first("active_users"))
+        .agg(F.first("retention_pct"))
     )
     return wide.select("cohort_week", *[F.col(str(w)).alias(f"w{w}") for w in weeks])
 

@@ -84,14 +84,15 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     from dataclasses import replace
 
-    from sessionlens.runtime import configure
+    from sessionlens.runtime import CLUSTER_SETTINGS, configure, drop_tables
 
-    spark = configure(SparkSession.builder.getOrCreate())
+    spark = configure(SparkSession.builder.config(map=CLUSTER_SETTINGS).getOrCreate())
     res = build_and_test(spark, args.sf, args.out, replace(DEFAULT, run_id=args.run_id))
     for row in res["owner_alerts"].select("alert").collect():  # one row per alert: bounded by the suite
         print(row.alert)
     gaps = res["governance_gaps"].where("not compliant").count()
     print(f"governance: {gaps} governed model(s) miss standards")
+    drop_tables(spark)
 
 
 if __name__ == "__main__":

@@ -1,4 +1,4 @@
-"""Session settings, the shared folder, and lineage cuts.
+"""Session settings, the shared folder, and written tables.
 
 Lineage is cut only with ``DataFrame.checkpoint()`` or a Parquet table written
 under the folder the cluster names in ``spark.checkpoint.dir``; both survive
@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_CONF = "spark.checkpoint.dir"
+_WRITTEN: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -55,7 +56,10 @@ def table_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A path for a written table under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
-    return f"{base}/sessionlens/{leaf}"
+    path = f"{base}/sessionlens/{leaf}"
+    if unique:
+        _WRITTEN.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -72,21 +76,17 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: data goes to ``spark.checkpoint.dir``, so a lost
-    executor does not force recomputation with a different row order.
+def written_tables() -> list[str]:
+    """Folders given out by ``table_path`` in this driver process."""
+    return list(_WRITTEN)
 
-    The input is persisted for the duration of the checkpoint so that it is
-    computed once (the checkpoint write would otherwise recompute it) and
-    released as soon as the checkpoint files exist."""
-    from pyspark import StorageLevel
 
-    shared_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the materialised tables, once nothing reads them any more (the
+    end of a build). Folders of other sessions are never touched."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Settings for the cluster target (~100 TB of raw events, ~1000 executors).

@@ -1,4 +1,5 @@
-"""Declared schemas. Sources are always read with these; nothing is inferred."""
+"""Declared schemas of the raw export, the models and the results. The export
+is read with these; the driver's Parquet tables carry their own."""
 
 from __future__ import annotations
 

@@ -20,22 +20,17 @@ RAW_EVENT_WITH_DAY = T.StructType(RAW_EVENT.fields + [T.StructField(DAY_PARTITIO
 def write_event_days(raw: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = True) -> None:
     """Write raw events partitioned by day. With ``dynamic`` overwrite only
     the days present in ``raw`` are replaced (an idempotent reload of those
-    days); other days stay. Rows are clustered by day before the write so each
-    task writes few files."""
-    spark = raw.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic" if dynamic else "static")
-    try:
-        (
-            raw.withColumn(DAY_PARTITION, F.col("event_date"))
-            .repartition(DAY_PARTITION)
-            .write.mode(mode)
-            .partitionBy(DAY_PARTITION)
-            .parquet(path)
-        )
-    finally:
-        spark.conf.set(key, before)
+    days) and other days stay; without it the whole table is replaced
+    (truncate and reload). Rows are rebalanced by day: each task writes few
+    files, and AQE splits a large day over several tasks."""
+    (
+        raw.withColumn(DAY_PARTITION, F.col("event_date"))
+        .hint("rebalance", DAY_PARTITION)
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .partitionBy(DAY_PARTITION)
+        .parquet(path)
+    )
 
 
 def read_event_days(spark: SparkSession, path: str, start_day: str | None = None, end_day: str | None = None) -> DataFrame:

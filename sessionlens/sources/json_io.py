@@ -51,10 +51,11 @@ def to_json_columns(raw: DataFrame) -> DataFrame:
 
 
 def from_json_columns(exported: DataFrame) -> DataFrame:
-    """Back to nested objects with the declared schema."""
+    """Back to nested objects with the declared schema; malformed text fails
+    the job."""
     types = {f.name: f.dataType for f in RAW_EVENT.fields}
     scalar = [c for c in exported.columns if c not in NESTED_FIELDS]
-    return exported.select(*scalar, *[F.from_json(F.col(c), types[c]).alias(c) for c in NESTED_FIELDS])
+    return exported.select(*scalar, *[F.from_json(F.col(c), types[c], {"mode": "FAILFAST"}).alias(c) for c in NESTED_FIELDS])
 
 
 def as_variant(raw: DataFrame) -> DataFrame:

@@ -18,8 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sessionlens.schemas import DAY_PARTITION, RAW_EVENT
 
-# Shards per micro-batch: bounds the batch size whatever the backlog.
-MAX_FILES_PER_TRIGGER = 64
+# Tasks that share one day of a micro-batch, so a large day is written by
+# several of them while a task still writes few days.
+DAY_SPLITS = 8
 
 
 def start_ingest(
@@ -29,13 +30,17 @@ def start_ingest(
     checkpoint_dir: str,
     available_now: bool = True,
     processing_time: str = "1 minute",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
+    """``max_files_per_trigger`` bounds a micro-batch if set; by default a run
+    takes all that has landed in one."""
+    reader = spark.readStream.schema(RAW_EVENT).option("mode", "FAILFAST")
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = (
-        spark.readStream.schema(RAW_EVENT)
-        .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
-        .json(landing_dir)
+        reader.json(landing_dir)
         .withColumn(DAY_PARTITION, F.col("event_date"))
+        .repartition(DAY_PARTITION, F.pmod(F.xxhash64("event_id"), F.lit(DAY_SPLITS)))
     )
     writer = (
         events.writeStream.format("parquet")

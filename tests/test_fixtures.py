@@ -144,6 +144,44 @@ def test_retention_cohorts(spark):
     assert cells == {(d("2020-10-26"), 0): 1, (d("2020-10-26"), 8): 1, (d("2020-11-02"), 0): 1}
 
 
+def test_unknown_users_are_in_no_cohort(spark):
+    rows = [sess("a", 1, d("2020-11-03")), sess(None, 1, d("2020-11-03")), sess(None, 2, d("2020-11-10"))]
+    df = spark.createDataFrame(rows, SESS_SCHEMA)
+    for window in (None, WIN):
+        cells = [tuple(r) for r in retention.retention_cohorts(df, 8, window).collect()]
+        assert cells == [(d("2020-11-02"), 0, 1)]
+        assert {r.user_pseudo_id for r in retention.cohort_activity(df, window).collect()} == {"a"}
+    assert retention.weekly_activity(df).count() == 3
+    assert funnel.funnel_per_user(df).count() == 2
+
+
+def test_revenue_below_a_cent_adds_up(spark):
+    rows = [ev("u1", 1, "page_view", f"2020-11-02 10:00:0{i}", revenue=0.004) for i in range(3)]
+    for s in (sessions_of(spark, rows), sessions.session_core(staged_of(spark, rows))):
+        assert s.first().revenue_usd == 0.012
+        assert quality_flags.session_quality_flags(s).first().flag_revenue_without_purchase
+
+
+def test_flatten_takes_the_largest_of_a_repeated_key(spark):
+    twice = [("ga_session_id", (None, 6)), ("ga_session_id", (None, 7)), ("page_location", ("/a", None))]
+    rows = [
+        ev("u1", 6, "page_view", "2020-11-02 10:00:00", params=twice),
+        ev("u1", 6, "page_view", "2020-11-02 10:00:01", params=[]),
+        ev("u1", 5, "page_view", "2020-11-02 10:00:02"),
+    ]
+    got = [(r.ga_session_id, r.page_location) for r in staging.flatten_params(raw_df(spark, rows), *WIN).orderBy("event_ts").collect()]
+    assert got == [(7, "/a"), (5, "/home")]
+
+
+def test_check_history_over_runs(spark):
+    res = _results(spark, [
+        ("r1", "c1", "m", None, "error", 0, "pass", ""), ("r2", "c1", "m", None, "error", 2, "fail", ""),
+        ("r2", "c2", "m", None, "warn", 1, "warn", ""),
+    ])
+    got = {r.check: (r.runs, r.failing_runs, r.last_run, r.last_status, r.last_failures, r.status_changed) for r in GV.check_history(res).collect()}
+    assert got == {"c1": (2, 1, "r2", "fail", 2, True), "c2": (1, 1, "r2", "warn", 1, False)}
+
+
 # --------------------------------------------------------------- RFM (17-22)
 
 
@@ -191,20 +229,15 @@ def test_segment_rule_all_25_cells(spark):
     df = spark.createDataFrame(pairs, "r int, f int")
     got = {(x.r, x.f): x.segment for x in df.select("r", "f", rfm.segment_of(F.col("r"), F.col("f")).alias("segment")).collect()}
 
-    def expect(r, f):
-        if r >= 4 and f >= 4:
-            return C.SEG_CHAMPIONS
-        if f >= 4:
-            return C.SEG_LOYAL
-        if r >= 4 and f <= 2:
-            return C.SEG_NEW
-        if r <= 2 and f == 3:
-            return C.SEG_AT_RISK
-        if r <= 2:
-            return C.SEG_HIBERNATING
-        return C.SEG_NEEDS_ATTENTION
-
-    assert got == {p: expect(*p) for p in pairs}  # 22
+    champions, loyal, new, risk, asleep, attention = C.SEGMENTS
+    grid = (  # rows: recency score 1 to 5; columns: frequency score 1 to 5
+        (asleep, asleep, risk, loyal, loyal),
+        (asleep, asleep, risk, loyal, loyal),
+        (attention, attention, attention, loyal, loyal),
+        (new, new, attention, champions, champions),
+        (new, new, attention, champions, champions),
+    )
+    assert got == {(r, f): grid[r - 1][f - 1] for r, f in pairs}  # 22
     counts = {s: sum(1 for v in got.values() if v == s) for s in C.SEGMENTS}
     assert counts == {C.SEG_CHAMPIONS: 4, C.SEG_LOYAL: 6, C.SEG_NEW: 4, C.SEG_AT_RISK: 2,
                       C.SEG_HIBERNATING: 4, C.SEG_NEEDS_ATTENTION: 5}
@@ -293,6 +326,9 @@ def test_governance_missing(spark):
     assert set(gaps) == {"ok_model", "bad_model"}  # staging is not governed
     assert gaps["ok_model"].compliant and gaps["ok_model"].missing == ""
     assert gaps["bad_model"].missing == "description, a data test"  # 30
+    failing = _results(spark, [("r", "c1", "ok_model", None, "error", 3, "fail", "")])
+    open_now = {r.model: (r.n_open, r.open_checks) for r in GV.governance_gaps(reg, failing).collect()}
+    assert open_now == {"ok_model": (1, "c1"), "bad_model": (0, "")}
 
 
 # --------------------------------------------------------------- JSON round trip (31)
@@ -345,7 +381,7 @@ def test_alert_digest_texts(spark):
     ])
     d = GV.alert_digest(GV.owner_alerts(bad, reg)).first()
     assert d.digest.split("\n") == [
-        "Data-quality alerts (2) from the latest run:",
+        "Open data-quality alerts: 2",
         "- [FAIL] a_check on `m` (owner team): 1 failing rows",
         "- [WARN] b_check on `m` (owner team): 2 failing rows",
     ]

@@ -27,9 +27,8 @@ def test_window_reaches_the_scan(build):
 
 
 def test_staging_is_a_projection(build):
-    # Only the small-input spread may add an exchange; staging itself adds none.
     plan = plan_of(build.staged)
-    assert plan.count("Exchange") <= 1
+    assert "Exchange" not in plan
     assert "Generate" not in plan and "Join" not in plan
 
 
@@ -62,14 +61,22 @@ def test_retention_does_not_broadcast_users(spark):
     assert "BroadcastExchange" not in plan
 
 
-def test_spread_only_single_split_scans(spark, tmp_path):
-    from sessionlens.sources.driver_tables import spread
+def test_flatten_shuffles_no_event(spark):
+    plan = plan_of(E.queries()["flatten_params"](spark, SF0001))
+    assert "Exchange" not in plan and "Generate" not in plan
 
-    one = spark.read.parquet(f"{SF0001}/events.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert "Exchange hashpartitioning(event_id" in plan_of(spread(one, "event_id"))
-    many_path = str(tmp_path / "many")
-    one.repartition(4).write.parquet(many_path)
-    many = spark.read.parquet(many_path)
-    assert many.rdd.getNumPartitions() > 1
-    assert "Exchange" not in plan_of(spread(many, "event_id"))
+
+def test_session_attributes_hash_the_events(spark):
+    plan = plan_of(E.queries()["session_attributes"](spark, SF0001))
+    # The node over the scan (the last in the plan) is a hash aggregate.
+    assert re.findall(r"(\w+Aggregate)\(", plan)[-1] == "HashAggregate"
+
+
+def test_reconciliation_builds_each_side_once(spark):
+    plan = plan_of(E.queries()["build_reconciliation"](spark, SF0001))
+    assert plan.count("FileScan parquet") <= 2
+
+
+def test_marts_without_attributes_shuffle_sessions_once(build):
+    plan = plan_of(build.core)
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan

@@ -43,6 +43,44 @@ def test_dynamic_overwrite_reloads_only_given_days(spark, scratch):
     assert got == {("20201102", "u1"), ("20201103", "u9")}
 
 
+def test_truncating_reload_leaves_no_stale_days(spark, scratch):
+    path = os.path.join(scratch, "days")
+    rows = [ev("u1", 1, "page_view", "2020-11-02 10:00:00"), ev("u1", 2, "page_view", "2020-11-03 10:00:00")]
+    event_days.write_event_days(raw_df(spark, rows), path)
+    event_days.write_event_days(raw_df(spark, rows[1:]), path, dynamic=False)
+    assert {r.event_day for r in event_days.read_event_days(spark, path).collect()} == {"20201103"}
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, scratch):
+    raw = driver_tables.raw_events(spark, SF0001).withColumn("event_date", F.lit("20240105"))
+    path = os.path.join(scratch, "days")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        event_days.write_event_days(raw.repartition(8), path)
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(os.path.join(path, f"{DAY_PARTITION}=20240105", "*.parquet"))) > 1
+    assert event_days.read_event_days(spark, path).count() == raw.count()
+
+
+def test_malformed_json_fails_the_job(spark):
+    exported = json_io.to_json_columns(raw_df(spark, [ev("u1", 1, "page_view", "2020-11-02 10:00:00")]))
+    with pytest.raises(Exception):
+        json_io.from_json_columns(exported.withColumn("device", F.lit('{"category": '))).collect()
+
+
+def test_adapter_gives_null_for_null(spark, scratch):
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    holes = events.withColumns({"user_id": F.lit(None).cast("long"), "props": F.lit(None).cast("string")})
+    holes.write.parquet(os.path.join(scratch, "events.parquet"))
+    raw = driver_tables.raw_events(spark, scratch)
+    got = raw.select("device.category", "geo.country", "traffic_source.medium", "user_pseudo_id").distinct().collect()
+    assert [tuple(r) for r in got] == [(None, None, None, None)]
+    assert json_io.from_json_columns(json_io.to_json_columns(raw)).count() == raw.count()
+
+
 def test_ndjson_export_shards_and_failfast(spark, scratch):
     raw = driver_tables.raw_events(spark, SF0001)
     n = raw.count()
@@ -103,7 +141,7 @@ def test_build_and_test_writes_marts_results_alerts(spark, scratch):
     history = spark.read.parquet(os.path.join(out, "check_results"))
     assert {r.run_id for r in history.select("run_id").distinct().collect()} == {"r1", "r2"}
     alerts = {r.check for r in res["owner_alerts"].collect()}
-    assert alerts == {"assert_dq_flag_rate_under_threshold", "assert_fct_sessions_volume"}
+    assert {"assert_dq_flag_rate_under_threshold", "assert_fct_sessions_volume", "not_null_rfm_segments_user_pseudo_id"} <= alerts
     assert res["governance_gaps"].where("not compliant").count() == 0
     assert spark.sql("select count(*) as n from session_quality_flags").first().n == res["fct_sessions"].count()
 
@@ -122,7 +160,8 @@ def test_field_drift_reports_added_removed_changed():
         [T.StructField("event_timestamp", T.StringType()) if f.name == "event_timestamp" else f for f in observed.fields]
     )
     got = {name: status for name, _, _, status in field_drift(observed, RAW_EVENT) if status != "ok"}
-    assert got == {"items": "removed", "platform": "added", "event_timestamp": "type_changed"}
+    items = {f"items[].{x}": "removed" for x in ("item_id", "quantity", "price_in_usd")}
+    assert got == items | {"platform": "added", "event_timestamp": "type_changed"}
 
 
 def test_param_key_drift_counts_new_keys(spark):
@@ -135,6 +174,9 @@ def test_param_key_drift_counts_new_keys(spark):
     ]
     got = {r.param_key: (r.events, r.status) for r in param_key_drift(raw_df(spark, rows)).collect()}
     assert got == {"ga_session_id": (2, "ok"), "page_location": (1, "ok"), "engagement_time_msec": (1, "new_key")}
+    drift = param_key_drift(raw_df(spark, rows), ("ga_session_id", "page_referrer"))
+    got = {r.param_key: (r.events, r.status) for r in drift.collect()}
+    assert got["page_referrer"] == (0, "missing") and got["page_location"] == (1, "new_key")
 
 
 def test_column_docs_survive_the_table_round_trip(spark):
