@@ -6,8 +6,8 @@ first ``LEAD`` tokens (variable fields as ``<*>``) lead to a leaf. In a leaf
 that at least ``TEXTS`` different texts reach, a token stays in the template
 if, at its place, it occurs in at least that many texts of the leaf; any other
 token varies and becomes ``<*>``. Lines with the same template are one class.
-A template recurs if at least ``TEXTS`` texts have it and at least ``FIXED``
-of its tokens are fixed. Lines of recurring templates are dropped, except the
+A template recurs if at least ``TEXTS`` texts have it, at least ``FIXED`` of
+its tokens without digits are fixed, and at least ``LEAST_FIXED`` of them. Lines of recurring templates are dropped, except the
 first one (by doc_id, text hash and place), so no content leaves the corpus
 altogether. Lines of fewer than ``TOKENS`` tokens are left alone.
 
@@ -38,6 +38,7 @@ LEAD = 3
 TOKENS = 5
 TEXTS = 10
 FIXED = 0.7
+LEAST_FIXED = 3
 ANY = "<*>"
 
 
@@ -68,8 +69,8 @@ def template_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     kept = token.join(fixed.drop("met"), ["leaf", "at", "token"], "left_semi").select("leaf", "own", "at", "token")
     template = kept.groupBy("leaf", "own").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("template"))
     classes = (
-        template.join(distinct.select("leaf", "own", "texts", _tokens(F.col("line")).alias("tokens")), ["leaf", "own"])
-        .where(F.size("template") >= F.lit(FIXED) * F.col("tokens"))
+        template.join(distinct.select("leaf", "own", "texts", F.size(F.array_remove(F.split("line", " "), ANY)).alias("words")), ["leaf", "own"])
+        .where(F.size("template") >= F.greatest(F.lit(FIXED) * F.col("words"), F.lit(LEAST_FIXED)))
         .select("leaf", "own", "texts", F.xxhash64("leaf", "template").alias("class"))
     )
     classes = stored(classes, "lines-classes")
@@ -131,7 +132,7 @@ fixed as (select leaf, spot, token from token where token <> '{ANY}' group by le
 templates as (
   select leaf, line, list(spot || ' ' || token order by spot) as template from token semi join fixed using (leaf, spot, token) group by leaf, line),
 classes as (
-  select t.leaf, t.line, d.texts, t.template from templates t join distinct_lines d using (line) where len(t.template) >= {FIXED} * len(d.tokens)),
+  select t.leaf, t.line, d.texts, t.template from templates t join distinct_lines d using (line) where len(t.template) >= greatest({FIXED} * len(list_filter(d.tokens, lambda x: x <> '{ANY}')), {LEAST_FIXED})),
 common as (select leaf, template from classes group by leaf, template having sum(texts) >= {TEXTS}),
 found as (
   select c.leaf, c.template, l.kid, l.body, l.place from classes c semi join common using (leaf, template) join lines l using (line)),

@@ -48,10 +48,10 @@ UNITS = (
 
 def canonical_words(text: Column) -> Column:
     """Words in order; a placeholder is ``MARK``, its type letter and its value."""
-    named = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{Ll}+", f"{MARK}n$0")
-    numbered = F.regexp_replace(named, "[0-9]+", f"{MARK}d$0")
+    numbered = F.regexp_replace(text, "[0-9]+", f"{MARK}d$0")
     units = F.regexp_replace(numbered, f"(?i)({MARK}d[0-9]+) ?({'|'.join(UNITS)})(?![\\p{{L}}\\p{{N}}])", f"$1 {MARK}u$2")
-    return F.array_remove(F.split(F.lower(units), f"[^\\p{{L}}\\p{{N}}{MARK}]+"), "")
+    named = F.regexp_replace(units, r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{Ll}+", f"{MARK}n$0")
+    return F.array_remove(F.split(F.lower(named), f"[^\\p{{L}}\\p{{N}}{MARK}]+"), "")
 
 
 def template(words: Column) -> Column:
