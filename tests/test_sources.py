@@ -181,9 +181,10 @@ def test_param_key_drift_counts_new_keys(spark):
 
 def test_column_docs_survive_the_table_round_trip(spark):
     import __spark_entry__ as E
+    from sessionlens.plans.governance import COLUMN_DOCS
 
     df = E.queries()["sessions_table"](spark, SF0001)
-    assert df.schema["session_key"].metadata.get("comment", "").startswith("Unique session identifier")
+    assert df.schema["session_key"].metadata.get("comment", "") == dict((c, d) for m, c, d in COLUMN_DOCS if m == "fct_sessions")["session_key"]
     assert df.schema["did_purchase"].metadata.get("comment")
 
 
