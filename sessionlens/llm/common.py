@@ -17,7 +17,7 @@ from sessionlens import runtime
 
 # Arrow batches to Python workers are cut by bytes, so very long texts do not
 # add up to a batch that a worker cannot hold.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 _SHIPPED: set[str] = set()
 

@@ -48,8 +48,6 @@ STAGE_SHINGLE, STAGE_SHARE = 5, 80  # of the pipeline's stage
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 _TRIES = 2048
-_CACHE_WORDS = 800_000
-_CACHE_BYTES = 48 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
 _EDGES = np.array([(i << 64) // BINS + (i > 0) for i in range(BINS)], np.uint64)
@@ -59,29 +57,13 @@ _BAND_SALT = _rng.integers(1, 1 << 63, BANDS, dtype=np.uint64)
 _WORD_FACTORS = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
-class _Words(dict):
-    """Word -> 64-bit hash, bounded by the caller."""
-
-    def __init__(self):
-        super().__init__()
-        self.held = 0
-
-    def __missing__(self, word: bytes) -> int:
-        v = self[word] = xxhash.xxh3_64_intdigest(word)
-        self.held += len(word)
-        return v
-
-    def full(self) -> bool:
-        return len(self) > _CACHE_WORDS or self.held > _CACHE_BYTES
-
-
-def shingle_set(text: bytes, known: _Words, size: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
     words = ascii_words(text)
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     width = min(size, n)
     total = np.full(n - width + 1, width, np.uint64)
     for k in range(width):
@@ -122,11 +104,10 @@ _SIG_DDL = "doc_id long, print long, n_shingles long, print_a long, print_b long
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    known = _Words()
     for b in batches:
         n, prints_a, prints_b, bands, sketches = [], [], [], [], []
         for text in b.column("raw").to_pylist():
-            s = shingle_set(text, known, size)
+            s = shingle_set(text, size)
             n.append(len(s))
             prints_a.append(int(mix64(s + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)))
             prints_b.append(int(mix64(s ^ _WORD_FACTORS[63]).sum(dtype=np.uint64).view(np.int64)))
@@ -137,8 +118,6 @@ def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
             else:
                 bands.append(None)
                 sketches.append(None)
-            if known.full():
-                known = _Words()
         yield record_batch({
             "doc_id": b.column("doc_id"), "print": b.column("print"), "n_shingles": n, "print_a": prints_a, "print_b": prints_b, "bands": bands, "sketch": sketches,
         }, _SIG)
@@ -148,13 +127,8 @@ _SET = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    known = _Words()
     for b in batches:
-        out = []
-        for text in b.column("raw").to_pylist():
-            out.append(shingle_set(text, known, size).astype("<u8").tobytes())
-            if known.full():
-                known = _Words()
+        out = [shingle_set(text, size).astype("<u8").tobytes() for text in b.column("raw").to_pylist()]
         yield record_batch({"doc_id": b.column("doc_id"), "shingles": out}, _SET)
 
 
