@@ -8,14 +8,15 @@ agree in a whole band share a bucket.
 
 1. Texts with equal sets are one class; its representative is the smallest
    doc_id. All later steps see one row for each class.
-2. Star: in each bucket every member is paired with one centre, chosen by a
-   hash of member and bucket, so a member meets as many centres as it has
-   bands: pairs grow with members, not with their square.
-3. Pairs are confirmed on the full sets; links make components.
-4. The rest: in a bucket whose members are still in several components, those
+2. Stars: in each bucket every member is paired with the smallest one; pairs
+   are confirmed on the full sets, and links make components. Then every
+   member is paired with a centre that a hash of member and bucket picks, if
+   the two are still in different components. A member meets two centres a
+   band at most: pairs grow with members, not with their square.
+3. The rest: in a bucket whose members are still in several components, those
    outside its largest component are paired with all members of other
    components, each pair in its first common band alone and only where sizes
-   and sketches allow the threshold. Together with the star this leaves no
+   and sketches allow the threshold. Together with the stars this leaves no
    pair of a bucket undecided that could join two components.
 
 The chance that a pair at the threshold shares no bucket is
@@ -194,18 +195,33 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     )
     banded = reps.select("rep", F.explode("bands").alias("key"))
     centres = banded.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64("rep", "key").alias("rank"), F.col("rep"))).alias("low"), F.count("*").alias("members")
-    ).where("members > 1").select("key", F.col("low.rep").alias("centre"))
+        F.min("rep").alias("low"), F.min(F.struct(F.xxhash64("rep", "key").alias("rank"), F.col("rep"))).alias("pick"), F.count("*").alias("members")
+    ).where("members > 1").select("key", "low", F.col("pick.rep").alias("centre"))
     buckets = stored(banded.join(centres, "key"), "minhash-buckets")
-    star = buckets.where("rep != centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-    size_of = reps.groupBy("rep").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    a, b = (size_of.select(F.col("rep").alias(x), F.struct("least_n", "most_n").alias(f"n_{x}")) for x in "ab")
-    star = star.join(a, "a").join(b, "b").where(
-        (100 * F.col("n_a.most_n") >= share * F.col("n_b.least_n")) & (100 * F.col("n_b.most_n") >= share * F.col("n_a.least_n"))
-    ).select("a", "b")
-    links = confirm(rows, stored(star, "minhash-star"), size, share).unionByName(_same_id(usable, classes, same))
-    links = stored(links, "minhash-links")
+    size_of = stored(reps.groupBy("rep").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "minhash-sizes")
+
+    def confirmed(edges: DataFrame, name: str) -> DataFrame:
+        a, b = (size_of.select(F.col("rep").alias(x), F.struct("least_n", "most_n").alias(f"n_{x}")) for x in "ab")
+        near = edges.distinct().join(a, "a").join(b, "b").where(
+            (100 * F.col("n_a.most_n") >= share * F.col("n_b.least_n")) & (100 * F.col("n_b.most_n") >= share * F.col("n_a.least_n"))
+        )
+        return stored(confirm(rows, stored(near.select("a", "b"), name), size, share), f"{name}-links")
+
+    # First with each bucket's smallest member: a large group mostly shares it
+    # over all bands, so a member is compared a few times.
+    star = confirmed(buckets.where("rep != low").select(F.col("low").alias("a"), F.col("rep").alias("b")), "minhash-first")
+    links = stored(star.unionByName(_same_id(usable, classes, same)), "minhash-links")
     found = stored(components(links), "minhash-components")
+    # Then with a member that a hash picks in each bucket, where the two are
+    # not in one component yet.
+    of_rep, of_centre = (found.select(F.col("node").alias(n), F.col("label").alias(f"of_{n}")) for n in ("rep", "centre"))
+    apart = buckets.where("rep != centre").join(of_rep, "rep", "left").join(of_centre, "centre", "left").where(
+        F.coalesce("of_rep", "rep") != F.coalesce("of_centre", "centre")
+    )
+    more = confirmed(apart.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")), "minhash-second")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        found = stored(components(links), "minhash-components")
     rest = stored(_undecided(reps, buckets, found, share), "minhash-rest")
     if not rest.isEmpty():
         more = stored(confirm(rows, rest, size, share), "minhash-more")
@@ -245,7 +261,7 @@ def _same_id(usable: DataFrame, classes: DataFrame, same: list[str]) -> DataFram
 def _undecided(reps: DataFrame, buckets: DataFrame, found: DataFrame, share: int) -> DataFrame:
     """Pairs of a bucket in different components, neither its centre, at least
     one outside the bucket's largest component; each in one bucket only."""
-    member = buckets.join(found, buckets["rep"] == found["node"], "left").select(
+    member = buckets.drop("low").join(found, buckets["rep"] == found["node"], "left").select(
         "key", "rep", "centre", F.coalesce("label", "rep").alias("component")
     )
     groups = member.groupBy("key", "component").agg(F.count("*").alias("members"))
