@@ -14,9 +14,10 @@ agree in a whole band share a bucket.
    the two are still in different components. A member meets two centres a
    band at most: pairs grow with members, not with their square.
 3. The rest: in a bucket whose members are still in several components, those
-   outside its largest component are paired with all members of other
-   components, each pair in its first common band alone and only where sizes
-   and sketches allow the threshold. Together with the stars this leaves no
+   outside its largest component are compared with all members of other
+   components, each pair in its first common band alone; a pair is made only
+   where sizes, sketches and, for small sets, the sets' 32-bit hashes allow the
+   threshold. Together with the stars this leaves no
    pair of a bucket undecided that could join two components.
 
 The chance that a pair at the threshold shares no bucket is
@@ -48,6 +49,7 @@ SHARE = 85  # per cent
 STAGE_SHINGLE, STAGE_SHARE = 5, 80  # of the pipeline's stage
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
+SHORT_SET = 512  # shingles of a set that the last step compares as a whole
 _TRIES = 2048
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
@@ -133,6 +135,17 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield record_batch({"doc_id": b.column("doc_id"), "shingles": out}, _SET)
 
 
+_SHORT = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("short", pa.list_(pa.int32()))])
+
+
+def _short_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Sets of ``SHORT_SET`` shingles at most, as 32-bit hashes; null above."""
+    for b in batches:
+        sets = [shingle_set(text, size) for text in b.column("raw").to_pylist()]
+        short = [s.astype(np.uint32).view(np.int32) if len(s) <= SHORT_SET else None for s in sets]
+        yield record_batch({"rep": b.column("doc_id"), "n": [len(s) for s in sets], "short": short}, _SHORT)
+
+
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -222,7 +235,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     if not more.isEmpty():
         links = links.unionByName(more)
         found = stored(components(links), "minhash-components")
-    rest = stored(_undecided(reps, buckets, found, share), "minhash-rest")
+    rest = stored(_undecided(rows, reps, buckets, found, size, share), "minhash-rest")
     if not rest.isEmpty():
         more = stored(confirm(rows, rest, size, share), "minhash-more")
         if not more.isEmpty():
@@ -258,7 +271,7 @@ def _same_id(usable: DataFrame, classes: DataFrame, same: list[str]) -> DataFram
     return reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
 
 
-def _undecided(reps: DataFrame, buckets: DataFrame, found: DataFrame, share: int) -> DataFrame:
+def _undecided(rows: DataFrame, reps: DataFrame, buckets: DataFrame, found: DataFrame, size: int, share: int) -> DataFrame:
     """Pairs of a bucket in different components, neither its centre, at least
     one outside the bucket's largest component; each in one bucket only."""
     member = buckets.drop("low").join(found, buckets["rep"] == found["node"], "left").select(
@@ -268,15 +281,27 @@ def _undecided(reps: DataFrame, buckets: DataFrame, found: DataFrame, share: int
     core = groups.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("top")).where("parts > 1")
     mixed = member.join(core.select("key", F.col("top.component").alias("core")), "key").where("rep != centre").join(reps, "rep")
     mixed = stored(mixed, "minhash-mixed")
+    ids = mixed.select(F.col("rep").alias("id")).distinct()
+    short = rows.join(ids, rows["doc_id"] == ids["id"], "left_semi").select("doc_id", "raw").mapInArrow(
+        lambda it: _short_sets(it, size), "rep long, n long, short array<int>"
+    )
+    # An id with several sets of one size shows none of them.
+    short = short.groupBy("rep", "n").agg(F.min("short").alias("lo"), F.max("short").alias("hi"))
+    short = short.select("rep", "n", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("short"))
+    mixed = stored(mixed.join(short, ["rep", "n"], "left"), "minhash-mixed")
     o = mixed.where("component != core").alias("o")
     m = mixed.alias("m")
     equal = F.size(F.filter(F.zip_with("o.sketch", "m.sketch", lambda x, y: x == y), lambda x: x))
+    # Of small sets the whole set is at hand (32-bit hashes, which can only make
+    # the common part look larger but for a collision inside a set: one spare).
+    common = F.size(F.array_intersect("o.short", "m.short")) + 1
+    alike = F.coalesce(100 * common >= share * (F.col("o.n") + F.col("m.n") - common), F.lit(True))
     first_band = F.element_at(F.filter(F.zip_with("o.bands", "m.bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 1)
     joined = o.join(m, (
         (F.col("o.key") == F.col("m.key")) & (F.col("o.component") != F.col("m.component"))
         & ((F.col("m.component") == F.col("m.core")) | (F.col("o.rep") < F.col("m.rep")))
         & _close_sizes(F.col("o.n"), F.col("m.n"), share)
-        & (equal >= BINS * _sketch_bound(F.least("o.n", "m.n"), share)) & (first_band == F.col("o.key"))
+        & (equal >= BINS * _sketch_bound(F.least("o.n", "m.n"), share)) & (first_band == F.col("o.key")) & alike
     ))
     return joined.select(F.least("o.rep", "m.rep").alias("a"), F.greatest("o.rep", "m.rep").alias("b")).distinct()
 
