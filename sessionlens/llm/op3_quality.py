@@ -41,8 +41,8 @@ UPDATES, LEAST_EPOCHS, MOST_EPOCHS = 20_000, 4, 40  # updates of a part
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 5, 0
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.005, 0.02
-CACHE_UNITS = 600_000
-CACHE_BYTES = 32 << 20
+CACHE_UNITS = 200_000
+CACHE_BYTES = 8 << 20
 
 _UNITS = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\x00-\x20A-Za-z0-9\x80-\xff]+")
 _SHAPES = 16
@@ -178,8 +178,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .where(remainder("doc_id", FOLDS) != HELD_OUT)
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
-        .withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id").limit(SAMPLE_ROWS)
+        .withColumn("rank", F.xxhash64("doc_id"))
     )
+    # The lowest ranks; those that cannot be among them stay where they are.
+    share = min(1.0, 1.5 * SAMPLE_ROWS / max(1, labels.count()))
+    sample = sample.where(F.col("rank") <= int(share * ((1 << 64) - 1)) - (1 << 63) if share < 1 else F.lit(True))
+    sample = sample.orderBy("rank", "doc_id").limit(SAMPLE_ROWS)
     sample = stored(sample, "quality-sample")
     shards = max(1, sample.count() // SHARD_ROWS)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw")).join(F.broadcast(sample), "doc_id")

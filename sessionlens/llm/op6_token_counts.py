@@ -32,8 +32,8 @@ from sessionlens.llm.common import ascii_words, prepare, raw_text, record_batch,
 
 VOCABULARY = "word_bpe_49k.json"
 WORD_END = "</w>"
-CACHE_WORDS = 1_000_000
-CACHE_BYTES = 48 << 20
+CACHE_WORDS = 300_000
+CACHE_BYTES = 16 << 20
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
 
 
