@@ -198,7 +198,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str | None, end
     shard, at, copy = None, None, 0
     for b in batches:
         ids, texts = b.column("doc_id").to_pylist(), b.column("raw").to_pylist()
-        for lo, hi in chunks([len(t) for t in texts], 4 << 20):
+        for lo, hi in chunks([len(t) for t in texts], 2 << 20):
             for doc, payload in zip(ids[lo:hi], enc.encode(texts[lo:hi]), strict=True):
                 key = (0 if doc is None else doc, int(doc is None))
                 copy = copy + 1 if key == at else 0

@@ -101,7 +101,7 @@ def _local(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, cap
 
     for b in batches:
         ids, texts = b.column("doc_id").to_pylist(), b.column("raw").to_pylist()
-        for lo, hi in chunks([len(t) for t in texts], 4 << 20):
+        for lo, hi in chunks([len(t) for t in texts], 2 << 20):
             held.append(pieces(texts[lo:hi], ids[lo:hi], path, end_id, capacity))
             count += len(held[-1])
         if count >= GROUP_ITEMS:

@@ -16,9 +16,10 @@ import public_tokenizers
 from sessionlens.llm.common import chunks
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 1_000_000
-CACHE_BYTES = 48 << 20
-_CHUNK_BYTES = 4 << 20
+GENERATION_WORDS = 200_000  # words that a generation of the cache holds
+GENERATION_BYTES = 16 << 20
+_CHUNK_BYTES = 2 << 20
+_SLICE_WORDS = 8192  # words that the library encodes at once
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -30,22 +31,37 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
+        # Two generations: a word that is met again moves to the young one, and
+        # when that is full it becomes the old one, whose other words go.
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.held = 0
 
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.young) > GENERATION_WORDS or self.held > GENERATION_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        new = []
+        for w in words.difference(self.young):
+            ids = self.old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.young[w] = ids
+                self.held += len(w)
+        for a in range(0, len(new), _SLICE_WORDS):
+            part = new[a : a + _SLICE_WORDS]
+            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
+            self.young.update(zip(part, (np.array(e.ids, self.dtype).tobytes() for e in encoded), strict=True))
+            self.held += sum(map(len, part))
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian ``dtype``."""
         out: list[bytes] = []
         for a, b in chunks([len(t) for t in texts], _CHUNK_BYTES):
             split = [t.split() for t in texts[a:b]]
-            new = list(set().union(*split).difference(self.known))
-            ids = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            self.known.update(zip(new, (np.array(e.ids, self.dtype).tobytes() for e in ids), strict=True))
-            self.held += sum(map(len, new))
-            get = self.known.__getitem__
+            self._learn(set().union(*split))
+            get = self.young.__getitem__
             out += [b"".join(map(get, words)) for words in split]
-            if len(self.known) > CACHE_WORDS or self.held > CACHE_BYTES:
-                self.known, self.held = {}, 0
         return out
 
 
