@@ -54,7 +54,9 @@ def _tokens(line: Column) -> Column:
 
 def template_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     """(kid, print, place) of every line of a recurring template but its first."""
-    rows = keyed(docs).select("kid", "print", masked(F.col("body")).alias("body")).dropDuplicates(["kid", "print"])
+    # Rows that agree in kid and print need no removal: texts are counted, and
+    # the places to drop are sets.
+    rows = keyed(docs).select("kid", "print", masked(F.col("body")).alias("body"))
     lines = rows.select("kid", "print", F.posexplode(F.split("body", "\n")).alias("place", "line"))
     lines = lines.select("kid", "print", "place", F.trim("line").alias("line")).where(_tokens(F.col("line")) >= TOKENS)
     leaf = F.xxhash64(_tokens(F.col("line")), F.substring_index("line", " ", LEAD))
