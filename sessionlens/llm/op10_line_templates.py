@@ -9,7 +9,12 @@ token varies and becomes ``<*>``. Lines with the same template are one class.
 A template recurs if at least ``TEXTS`` texts have it, at least ``FIXED`` of
 its tokens without digits are fixed, and at least ``LEAST_FIXED`` of them. Lines of recurring templates are dropped, except the
 first one (by doc_id, text hash and place), so no content leaves the corpus
-altogether. Lines of fewer than ``TOKENS`` tokens are left alone.
+altogether.
+
+Besides, equal lines recur without a template: one of over ``LONG`` words that
+stands in ``LONG_TEXTS`` different texts, and one of fewer than ``TOKENS``
+tokens, which no template takes, that stands in ``SHORT_TEXTS``. Of these, too,
+all but the first are dropped. Blank lines are left alone.
 
 Texts, not rows, are counted: a text that was copied a thousand times is one
 text, so copies alone make nothing recur.
@@ -37,15 +42,22 @@ from sessionlens.llm.common import counted, keyed, stored, table, whole_rows
 LEAD = 3
 TOKENS = 5
 TEXTS = 10
+LONG = 50  # a line of more words recurs when it is equal in LONG_TEXTS texts
+LONG_TEXTS = 2
+SHORT_TEXTS = 30  # for lines of fewer than TOKENS tokens
 FIXED = 0.7
 LEAST_FIXED = 3
 ANY = "<*>"
 
 
+def spaced(text: Column) -> Column:
+    """The text with white space but line ends as spaces."""
+    return F.translate(text, "\t\r\f\u000b", "    ")
+
+
 def masked(text: Column) -> Column:
-    """The text with white space but line ends as spaces, and tokens with a
-    digit as variable fields."""
-    return F.regexp_replace(F.translate(text, "\t\r\f\u000b", "    "), r"[^ \n]*[0-9][^ \n]*", ANY)
+    """``spaced``, and tokens with a digit as variable fields."""
+    return F.regexp_replace(spaced(text), r"[^ \n]*[0-9][^ \n]*", ANY)
 
 
 def _tokens(line: Column) -> Column:
@@ -79,15 +91,36 @@ def template_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     common = classes.groupBy("class").agg(F.sum("texts").alias("met")).where(F.col("met") >= texts).select("class")
     chosen = stored(classes.join(common, "class").select("leaf", "own", "class"), "lines-chosen")
     found = recurring.select("leaf", "own", "kid", "print", "place").join(counted(chosen), ["leaf", "own"])
-    found = stored(found.select("class", "kid", "print", "place"), "lines-found")
+    return _but_first(stored(found.select("class", "kid", "print", "place"), "lines-found"), "lines-first")
+
+
+def _but_first(found: DataFrame, name: str) -> DataFrame:
+    """(kid, print, place) of every line of a class but its first."""
     first = found.groupBy("class").agg(F.min(F.struct("kid", "print", "place")).alias("first"))
-    return found.join(counted(stored(first, "lines-first")), "class").where(F.struct("kid", "print", "place") != F.col("first")).select("kid", "print", "place")
+    return found.join(counted(stored(first, name)), "class").where(F.struct("kid", "print", "place") != F.col("first")).select("kid", "print", "place")
+
+
+def equal_lines(docs: DataFrame) -> DataFrame:
+    """(kid, print, place) of every line but the first of the long and the
+    short lines that recur as they are."""
+    rows = keyed(docs).select("kid", "print", spaced(F.col("body")).alias("body"))
+    lines = rows.select("kid", "print", F.posexplode(F.split("body", "\n")).alias("place", "line"))
+    lines = lines.select("kid", "print", "place", F.trim("line").alias("line"))
+    # Tokens count runs of spaces, too; only the words of a long line do not.
+    long = (_tokens(F.col("line")) > LONG) & (F.size(F.array_remove(F.split("line", " "), "")) > LONG)
+    short = (F.col("line") != "") & (_tokens(F.col("line")) < TOKENS)
+    lines = lines.where(short | long).select("kid", "print", "place", F.xxhash64("line").alias("class"), (_tokens(F.col("line")) > LONG).alias("long"))
+    lines = stored(lines, "lines-equal")
+    met = lines.select("class", "long", "print").distinct().groupBy("class", "long").agg(F.count("*").alias("texts"))
+    chosen = stored(met.where(F.col("texts") >= F.when(F.col("long"), LONG_TEXTS).otherwise(SHORT_TEXTS)).select("class"), "lines-equal-chosen")
+    found = stored(lines.drop("long").join(counted(chosen), "class"), "lines-equal-found")
+    return _but_first(found, "lines-equal-first")
 
 
 def drop_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     """The rows and columns of ``docs`` with the lines of recurring templates
-    dropped from ``text``, and ``lines_dropped``."""
-    out = template_lines(docs, texts).groupBy("kid", "print").agg(F.collect_set("place").alias("places"))
+    and recurring equal lines dropped from ``text``, and ``lines_dropped``."""
+    out = template_lines(docs, texts).unionByName(equal_lines(docs)).groupBy("kid", "print").agg(F.collect_set("place").alias("places"))
     out = counted(stored(out, "lines-dropped"))
     rows = whole_rows(docs).join(out, ["kid", "print"], "left")
     left = F.filter(F.split(F.col("row.text"), "\n"), lambda line, i: ~F.array_contains("places", i))

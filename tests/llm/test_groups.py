@@ -285,6 +285,18 @@ def test_copies_alone_make_nothing_recur(spark, docs_of):
     assert {r.lines_dropped_ for r in op10.drop_lines(docs_of(rows)).collect()} == {0}
 
 
+def test_equal_lines_recur_in_few_texts_if_long(spark, docs_of):
+    passage, other = (" ".join(f"{w}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)) for w in ("long", "lone"))
+    rows = [(1, f"one start\n{passage}"), (2, f"{passage}\ntwo"), (2, f"{passage}\ntwo"), (3, f"{other}\nthree"), (3, f"{other}\nthree")]
+    rows += [(100 + i, f"its own text {i}\n\nAll rights reserved.{chr(10) + 'rare words' if i < 29 else ''}") for i in range(30)]
+    rows += [(200, f"{'a' + ' ' * 60}b\nx"), (201, f"{'a' + ' ' * 60}b\ny")]
+    got = sorted((r.doc_id, r.text, r.lines_dropped_) for r in op10.drop_lines(docs_of(rows)).collect())
+    assert got[:5] == [(1, rows[0][1], 0), (2, "two", 1), (2, "two", 1), (3, rows[3][1], 0), (3, rows[3][1], 0)]
+    assert [n for d, _, n in got if 100 <= d < 200] == [0] + [1] * 29
+    assert all("rare words" in x and "\n\n" in x for d, x, _ in got if 100 < d < 129)
+    assert [n for d, _, n in got if d >= 200] == [0, 0]
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_queries_match_duckdb(spark, name):
     r = compare(spark, name, SF001, duck(SF001))
