@@ -2,13 +2,13 @@
 
 A line's tokens are its parts between spaces; a token with a digit is a
 variable field. The tree has a fixed depth: the number of tokens, then the
-first ``LEAD`` tokens (variable fields as ``<*>``) lead to a leaf. In a leaf
-that at least ``TEXTS`` different texts reach, a token stays in the template
-if, at its place, it occurs in at least that many texts of the leaf; any other
-token varies and becomes ``<*>``. Lines with the same template are one class.
-A template recurs if at least ``TEXTS`` texts have it, at least ``FIXED`` of
-its tokens without digits are fixed, and at least ``LEAST_FIXED`` of them. Lines of recurring templates are dropped, except the
-first one (by doc_id, text hash and place), so no content leaves the corpus
+first ``LEAD`` tokens (variable fields as ``<*>``) lead to a leaf. A token stays
+in the template if, at its place, it occurs in at least ``TEXTS`` different
+texts of the leaf; any other token varies and becomes ``<*>``. Lines with the
+same template are one class. A template recurs if at least ``TEXTS`` different
+texts have it, at least ``FIXED`` of its tokens without digits are fixed, and at
+least ``LEAST_FIXED`` of them. Lines of recurring templates are dropped, except
+the first one (by doc_id, text hash and place), so no content leaves the corpus
 altogether.
 
 Besides, equal lines recur without a template: one of over ``LONG`` words that
@@ -52,16 +52,18 @@ ANY = "<*>"
 
 def spaced(text: Column) -> Column:
     """The text with white space but line ends as spaces."""
-    return F.translate(text, "\t\r\f\u000b", "    ")
+    for c in "\t\r\f\u000b":  # byte by byte, where translate works on characters
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
 
 
 def masked(text: Column) -> Column:
     """``spaced``, and tokens with a digit as variable fields."""
-    return F.regexp_replace(spaced(text), r"[^ \n]*[0-9][^ \n]*", ANY)
+    return F.regexp_replace(spaced(text), r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", ANY)
 
 
 def _tokens(line: Column) -> Column:
-    return F.length(line) - F.length(F.translate(line, " ", "")) + 1
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def template_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
@@ -75,12 +77,14 @@ def template_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     lines = lines.select("kid", "print", "place", leaf.alias("leaf"), F.xxhash64("line").alias("own"), "line")
     seen = lines.groupBy("leaf", "own", "print").agg(F.count("*").alias("n"))
     support = stored(seen.groupBy("leaf", "own").agg(F.count("*").alias("texts")), "lines-support")
+    # At least as many as the leaf's different texts; ``_in_texts`` counts these.
     leaves = stored(support.groupBy("leaf").agg(F.sum("texts").alias("texts")).where(F.col("texts") >= texts).select("leaf"), "lines-leaves")
     recurring = stored(lines.join(counted(leaves), "leaf"), "lines-recurring")
-    distinct = recurring.groupBy("leaf", "own").agg(F.min("line").alias("line")).join(support, ["leaf", "own"])
+    distinct = stored(recurring.groupBy("leaf", "own").agg(F.min("line").alias("line")).join(support, ["leaf", "own"]), "lines-distinct")
+    reach = recurring.select("leaf", "own", "print").distinct()
     token = distinct.select("leaf", "own", "texts", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    fixed = token.groupBy("leaf", "at", "token").agg(F.sum("texts").alias("met")).where((F.col("met") >= texts) & (F.col("token") != ANY))
-    kept = token.join(fixed.drop("met"), ["leaf", "at", "token"], "left_semi").select("leaf", "own", "at", "token")
+    fixed = _in_texts(token.where(F.col("token") != ANY), ["leaf", "at", "token"], reach, texts, "lines-fixed")
+    kept = token.join(counted(fixed), ["leaf", "at", "token"], "left_semi").select("leaf", "own", "at", "token")
     template = kept.groupBy("leaf", "own").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("template"))
     classes = (
         template.join(distinct.select("leaf", "own", "texts", F.size(F.array_remove(F.split("line", " "), ANY)).alias("words")), ["leaf", "own"])
@@ -88,12 +92,27 @@ def template_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
         .select("leaf", "own", "texts", F.xxhash64("leaf", "template").alias("class"))
     )
     classes = stored(classes, "lines-classes")
-    common = classes.groupBy("class").agg(F.sum("texts").alias("met")).where(F.col("met") >= texts).select("class")
-    chosen = stored(classes.join(common, "class").select("leaf", "own", "class"), "lines-chosen")
+    common = _in_texts(classes, ["class"], reach, texts, "lines-common")
+    chosen = stored(classes.join(counted(common), "class").select("leaf", "own", "class"), "lines-chosen")
     found = recurring.select("leaf", "own", "kid", "print", "place").join(counted(chosen), ["leaf", "own"])
     return _but_first(stored(found.select("class", "kid", "print", "place"), "lines-found"), "lines-first")
 
 
+def _in_texts(lines: DataFrame, keys: list[str], reach: DataFrame, texts: int, name: str) -> DataFrame:
+    """The keys whose lines stand in at least ``texts`` different texts.
+    ``lines`` are distinct ones (leaf, own, texts and the keys), ``reach``
+    their texts (leaf, own, print)."""
+    met = lines.groupBy(*keys).agg(F.sum("texts").alias("met"), F.max("texts").alias("most"))
+    met = stored(met.where(F.col("met") >= texts), f"{name}-met")
+    # One line in enough texts decides; else the lines may share their texts,
+    # which are put together (fewer than ``texts`` of each line).
+    open_ = stored(met.where(F.col("most") < texts).select(*keys), f"{name}-open")
+    each = lines.where(F.col("texts") < texts).join(counted(open_), keys).select("leaf", "own", *[F.col(k).alias(f"key_{k}") for k in keys])
+    pairs = each.join(reach, ["leaf", "own"]).select("print", *[F.col(f"key_{k}").alias(k) for k in keys]).distinct()
+    enough = pairs.groupBy(*keys).agg(F.count("*").alias("met")).where(F.col("met") >= texts)
+    return stored(met.where(F.col("most") >= texts).select(*keys).unionByName(enough.select(*keys)), name)
+
+
 def _but_first(found: DataFrame, name: str) -> DataFrame:
     """(kid, print, place) of every line of a class but its first."""
     first = found.groupBy("class").agg(F.min(F.struct("kid", "print", "place")).alias("first"))
@@ -107,7 +126,7 @@ def equal_lines(docs: DataFrame) -> DataFrame:
     lines = rows.select("kid", "print", F.posexplode(F.split("body", "\n")).alias("place", "line"))
     lines = lines.select("kid", "print", "place", F.trim("line").alias("line"))
     # Tokens count runs of spaces, too; only the words of a long line do not.
-    long = (_tokens(F.col("line")) > LONG) & (F.size(F.array_remove(F.split("line", " "), "")) > LONG)
+    long = (_tokens(F.col("line")) > LONG) & (~F.contains("line", F.lit("  ")) | (F.size(F.array_remove(F.split("line", " "), "")) > LONG))
     short = (F.col("line") != "") & (_tokens(F.col("line")) < TOKENS)
     lines = lines.where(short | long).select("kid", "print", "place", F.xxhash64("line").alias("class"), (_tokens(F.col("line")) > LONG).alias("long"))
     lines = stored(lines, "lines-equal")

@@ -285,6 +285,13 @@ def test_copies_alone_make_nothing_recur(spark, docs_of):
     assert {r.lines_dropped_ for r in op10.drop_lines(docs_of(rows)).collect()} == {0}
 
 
+def test_lines_of_one_frame_in_one_text_do_not_recur(spark, docs_of):
+    frame = "\n".join(f"Add two cups of {w}" for w in "flour sugar milk water rice oats corn beans salt honey nuts rye".split())
+    rows = [(1, frame), (2, f"{frame}\nwith one more line"), *[(10 + i, f"text {i}\nMix three spoons of {w}") for i, w in enumerate("abcdefghijkl")]]
+    got = {r.doc_id: r.lines_dropped_ for r in op10.drop_lines(docs_of(rows)).collect()}
+    assert got == {1: 0, 2: 0, 10: 0, **{11 + i: 1 for i in range(11)}}
+
+
 def test_equal_lines_recur_in_few_texts_if_long(spark, docs_of):
     passage, other = (" ".join(f"{w}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)) for w in ("long", "lone"))
     rows = [(1, f"one start\n{passage}"), (2, f"{passage}\ntwo"), (2, f"{passage}\ntwo"), (3, f"{other}\nthree"), (3, f"{other}\nthree")]
