@@ -5,7 +5,8 @@ a sentence), numbers and units after a number become typed placeholders that
 remember their value, all else is lower-cased and cut at anything that is
 neither letter nor digit. Windows of ``WINDOW`` template words of the items
 are hash-joined with those of the texts. A window in which fewer than
-``LITERALS`` words are literal says too little and is not used.
+``LITERALS`` words are literal says too little as a template: it is joined with
+its values, so that it finds word-for-word copies only.
 
 Documents that hold enough of an item's windows are read again, with the
 values: per item and alignment (place in the text minus place in the item) the
@@ -13,7 +14,8 @@ values of the item's slots must map one to one onto the text's. A question
 asked again with other names and numbers passes this test, a text that merely
 has the same frame with mixed values does not. A document is contaminated by
 an item if the windows of its consistent alignments cover at least ``SHARE``
-of the item's.
+of the item's template windows, or of all its windows. ``windows`` and
+``covered`` of a result count all.
 
 Only DataFrame functions. The windows of all texts are exploded and joined;
 the item side is broadcast if it is counted to be small, else both sides are
@@ -21,8 +23,9 @@ shuffled by window hash. No key of the text side is grouped before windows
 have been reduced to hits.
 
 Defined results: null and empty texts and items have no windows; an item of
-fewer than ``WINDOW`` words is one window of its own length; an item without a
-usable window is never found; equal items are reported each; rows that agree
+fewer than ``WINDOW`` words is one window of its own length, so one of a single
+word is held by every text with that word; an item without a word is never
+found; equal items are reported each; rows that agree
 in doc_id and text are one document; a null doc_id is reported as null, one
 row for each text; empty tables give no rows; other columns are left out.
 """
@@ -68,61 +71,87 @@ def window_hashes(words: str, width: int) -> Column:
     return F.transform(_starts(words, width), lambda i: F.xxhash64(F.slice(words, i, width)))
 
 
+def _exact_hashes(values: str, width: int) -> Column:
+    return F.transform(_starts(values, width), lambda i: F.xxhash64(F.slice(values, i, width), F.lit("=")))
+
+
 def _slots(window: Column) -> Column:
     return F.filter(window, lambda w: w.startswith(MARK))
 
 
-def _windows(words: str, width: int) -> Column:
-    """(place, hash, slots, literals) of each window of a column of words."""
+def values(words: Column) -> Column:
+    """The words with their values, without marks: how a word is read does not
+    matter."""
+    return F.transform(words, lambda w: F.when(w.startswith(MARK), F.substring(w, 3, 1 << 30)).otherwise(w))
+
+
+def _hash(words: Column, exact: bool) -> Column:
+    return F.xxhash64(values(words), F.lit("=")) if exact else F.xxhash64(template(words))
+
+
+def _windows(words: str, width: int, exact: bool) -> Column:
+    """(place, hash, slots) of each window of a column of words. An exact one
+    has no slots: its hash has the values."""
     return F.transform(_starts(words, width), lambda i: F.struct(
-        i.alias("place"), F.xxhash64(template(F.slice(words, i, width))).alias("hash"), _slots(F.slice(words, i, width)).alias("slots"),
+        i.alias("place"), _hash(F.slice(words, i, width), exact).alias("hash"),
+        (F.array().cast("array<string>") if exact else _slots(F.slice(words, i, width))).alias("slots"),
     ))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, width, place, hash, slots, windows): the usable windows of
-    each item and their number."""
+    """(item, item_id, width, exact, place, hash, slots, windows, templates):
+    the windows of each item, their number and that of the template ones."""
     item = items.select(F.monotonically_increasing_id().alias("item"), "item_id", canonical_words(F.coalesce("text", F.lit(""))).alias("words"))
     parts = [
         item.where(F.size("words") >= WINDOW if width == WINDOW else F.size("words") == width)
-        .select("item", "item_id", F.lit(width).alias("width"), F.inline(_windows("words", width)))
-        for width in range(LITERALS, WINDOW + 1)
+        .select("item", "item_id", F.lit(width).alias("width"), F.lit(exact).alias("exact"), "words", F.inline(_windows("words", width, exact)))
+        for width in range(1, WINDOW + 1) for exact in (False, True)
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    out = stored(out.where(F.col("width") - F.size("slots") >= LITERALS), "decontamination-items")
-    sizes = out.groupBy("item").agg(F.count("*").alias("windows"))
+    few = F.col("width") - F.size(_slots(F.slice("words", F.col("place"), F.col("width")))) < LITERALS
+    out = stored(out.where(F.col("exact") == few).drop("words"), "decontamination-items")
+    sizes = out.groupBy("item").agg(F.count("*").alias("windows"), F.count_if(~F.col("exact")).alias("templates"))
     return out.join(sizes, "item")
 
 
+def _enough(covered: str, covered_templates: str, share: float) -> Column:
+    of_templates = (F.col("templates") > 0) & (F.col(covered_templates) >= F.lit(share) * F.col("templates"))
+    return of_templates | (F.col(covered) >= F.lit(share) * F.col("windows"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, windows, covered, altered, kid, print) for each
     document and each item that it holds; ``altered``: some slot value differs."""
     wanted = stored(item_windows(items), "decontamination-windows")
-    widths = [r[0] for r in wanted.select("width").distinct().collect()]  # WINDOW - LITERALS + 1 at most
+    kinds = [tuple(r) for r in wanted.select("width", "exact").distinct().collect()]  # 2 * WINDOW at most
     texts = keyed(docs).select("kid", "print", canonical_words(F.col("body")).alias("words"))
-    if not widths:
-        widths = [WINDOW]
-    hashed = texts.select("kid", "print", template(F.col("words")).alias("words"))
-    each = F.concat(*[window_hashes("words", w) for w in widths])
+    if not kinds:
+        kinds = [(WINDOW, False)]
+    hashed = texts.select("kid", "print", template(F.col("words")).alias("words"), (values(F.col("words")) if any(e for _, e in kinds) else F.lit(None)).alias("values"))
+    each = F.concat(*[_exact_hashes("values", w) if e else window_hashes("words", w) for w, e in kinds])
     found = hashed.select("kid", "print", F.explode(each).alias("hash"))
-    sought = wanted.groupBy("item", "hash").agg(F.count("*").alias("copies"), F.max("windows").alias("windows"))
-    hits = found.join(counted(stored(sought, "decontamination-sought")), "hash").groupBy("kid", "print", "item", "hash").agg(
-        F.max("copies").alias("copies"), F.max("windows").alias("windows")
+    sought = wanted.groupBy("item", "hash", "exact").agg(F.count("*").alias("copies"), F.max("windows").alias("windows"), F.max("templates").alias("templates"))
+    hits = found.join(counted(stored(sought, "decontamination-sought")), "hash").groupBy("kid", "print", "item", "hash", "exact").agg(
+        F.max("copies").alias("copies"), F.max("windows").alias("windows"), F.max("templates").alias("templates")
     )
     # No alignment can cover more of an item than the windows that were hit.
-    likely = hits.groupBy("kid", "print", "item").agg(F.sum("copies").alias("most"), F.max("windows").alias("windows"))
-    likely = stored(likely.where(F.col("most") >= F.lit(share) * F.col("windows")).select("kid", "print", "item"), "decontamination-likely")
+    likely = hits.groupBy("kid", "print", "item").agg(
+        F.sum("copies").alias("most"), F.coalesce(F.sum(F.when(~F.col("exact"), F.col("copies"))), F.lit(0)).alias("most_templates"),
+        F.max("windows").alias("windows"), F.max("templates").alias("templates"),
+    )
+    likely = stored(likely.where(_enough("most", "most_templates", share)).select("kid", "print", "item"), "decontamination-likely")
     holders = counted(stored(likely.select("kid", "print").distinct(), "decontamination-holders"))
     again = texts.join(holders, ["kid", "print"]).dropDuplicates(["kid", "print"])
-    placed = again.select("kid", "print", F.inline(F.concat(*[_windows("words", w) for w in widths])))
-    of_item = wanted.select("item", "item_id", "hash", "windows", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    placed = again.select("kid", "print", F.inline(F.concat(*[_windows("words", w, e) for w, e in kinds])))
+    of_item = wanted.select("item", "item_id", "hash", "exact", "windows", "templates", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_text"))
     matched = placed.join(counted(of_item), "hash").join(likely, ["kid", "print", "item"]).groupBy(
         "kid", "print", "item", (F.col("place") - F.col("item_place")).alias("shift")
     ).agg(
-        F.first("item_id").alias("item_id"), F.max("windows").alias("windows"), F.collect_set("item_place").alias("places"),
+        F.first("item_id").alias("item_id"), F.max("windows").alias("windows"), F.max("templates").alias("templates"),
+        F.collect_set("item_place").alias("places"), F.collect_set(F.when(~F.col("exact"), F.col("item_place"))).alias("template_places"),
         F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"),
     )
     one_to_one = (F.size(F.array_distinct(F.col("pairs.of_item"))) == F.size("pairs")) & (F.size(F.array_distinct(F.col("pairs.of_text"))) == F.size("pairs"))
@@ -130,10 +159,11 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> Dat
     return (
         matched.where(one_to_one).groupBy("kid", "print", "item")
         .agg(
-            F.first("item_id").alias("item_id"), F.max("windows").alias("windows"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("covered"), F.max(differs).alias("altered"),
+            F.first("item_id").alias("item_id"), F.max("windows").alias("windows"), F.max("templates").alias("templates"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("covered"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("template_places")))).alias("covered_templates"), F.max(differs).alias("altered"),
         )
-        .where(F.col("covered") >= F.lit(share) * F.col("windows"))
+        .where(_enough("covered", "covered_templates", share))
         .select(F.when(F.col("kid") != NO_ID, F.col("kid")).alias("doc_id"), "item_id", "windows", "covered", "altered", "kid", "print")
     )
 

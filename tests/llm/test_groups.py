@@ -193,6 +193,15 @@ def test_short_null_and_equal_items(spark, docs_of):
     assert flagged(spark, docs_of, [], items) == {} and flagged(spark, docs_of, texts, ()) == {}
 
 
+def test_items_of_numbers_names_or_few_words(spark, docs_of):
+    items = ("What is 37 * 48 + 12?", "Oslo, Rome, Paris, Bern, Vienna, Prague, Lisbon, Madrid, Dublin and Athens", "Name three primes")
+    texts = [
+        (1, f"a quiz: {items[0]} Think."), (2, "What is 38 * 48 + 12?"), (3, f"cities such as {items[1]} are capitals"),
+        (4, "Lima, Quito, Cairo, Tunis, Rabat, Accra, Lagos, Dakar, Nairobi and Harare"), (5, "Please name three primes now"), (6, "name three other primes"),
+    ]
+    assert set(flagged(spark, docs_of, texts, items)) == {(1, 0), (3, 1), (5, 2)}
+
+
 def test_clean_keeps_rows_and_columns(spark, docs_of):
     docs = docs_of([(1, ITEM), (None, ITEM), (2, "fine"), (3, None), (2, "fine")])
     items = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
