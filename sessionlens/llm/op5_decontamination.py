@@ -3,7 +3,10 @@
 Texts and benchmark items are made canonical: names (capitalised words inside
 a sentence), numbers and units after a number become typed placeholders that
 remember their value, all else is lower-cased and cut at anything that is
-neither letter nor digit. Windows of ``WINDOW`` template words of the items
+neither letter nor digit. At the start of a sentence a capital says little, and
+a separator may be part of a number, so template windows are also taken of a
+second reading: there every capitalised word is a name, and a number with
+separators is one. An item is found if either reading finds it. Windows of ``WINDOW`` template words of the items
 are hash-joined with those of the texts. A window in which fewer than
 ``LITERALS`` words are literal says too little as a template: it is joined with
 its values, so that it finds word-for-word copies only.
@@ -41,6 +44,8 @@ WINDOW = 8
 LITERALS = 5
 SHARE = 0.5
 MARK = "\u0001"
+INNER = "\u0002"  # a separator inside a number
+TEMPLATE, EXACT, SECOND = 0, 1, 2  # kinds of windows; the third is a template of the second reading
 # Units that become a placeholder after a number.
 UNITS = (
     "km", "m", "cm", "mm", "kg", "g", "mg", "lb", "oz", "l", "ml", "s", "ms", "min", "h", "hours", "hour", "minutes", "minute",
@@ -57,6 +62,16 @@ def canonical_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(named), f"[^\\p{{L}}\\p{{N}}{MARK}]+"), "")
 
 
+def whole_words(text: Column) -> Column:
+    """``canonical_words`` in the second reading: every capitalised word is a
+    name, and digits with single dots or commas between them are one number."""
+    plain = F.regexp_replace(F.translate(text, f"{MARK}{INNER}", "  "), "(?<=[0-9])[.,](?=[0-9])", INNER)
+    numbered = F.regexp_replace(plain, f"[0-9]+(?:{INNER}[0-9]+)*", f"{MARK}d$0")
+    units = F.regexp_replace(numbered, f"(?i)({MARK}d[0-9{INNER}]+) ?({'|'.join(UNITS)})(?![\\p{{L}}\\p{{N}}])", f"$1 {MARK}u$2")
+    named = F.regexp_replace(units, rf"(?<![\p{{L}}\p{{N}}{MARK}])\p{{Lu}}\p{{Ll}}+", f"{MARK}n$0")
+    return F.array_remove(F.split(F.lower(named), f"[^\\p{{L}}\\p{{N}}{MARK}{INNER}]+"), "")
+
+
 def template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w))
 
@@ -66,13 +81,14 @@ def _starts(words: str, width: int) -> Column:
     return F.when(n >= width, F.sequence(F.lit(1), n - (width - 1))).otherwise(F.array().cast("array<int>"))
 
 
-def window_hashes(words: str, width: int) -> Column:
-    """The hash of each window of ``width`` template words, in order."""
-    return F.transform(_starts(words, width), lambda i: F.xxhash64(F.slice(words, i, width)))
+def _salted(window: Column, kind: int) -> Column:
+    return F.xxhash64(window) if kind == TEMPLATE else F.xxhash64(window, F.lit(kind))
 
 
-def _exact_hashes(values: str, width: int) -> Column:
-    return F.transform(_starts(values, width), lambda i: F.xxhash64(F.slice(values, i, width), F.lit("=")))
+def window_hashes(words: str, width: int, kind: int = TEMPLATE) -> Column:
+    """The hash of each window of ``width`` words (of a template, or with their
+    values if exact), in order."""
+    return F.transform(_starts(words, width), lambda i: _salted(F.slice(words, i, width), kind))
 
 
 def _slots(window: Column) -> Column:
@@ -85,35 +101,35 @@ def values(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.startswith(MARK), F.substring(w, 3, 1 << 30)).otherwise(w))
 
 
-def _hash(words: Column, exact: bool) -> Column:
-    return F.xxhash64(values(words), F.lit("=")) if exact else F.xxhash64(template(words))
-
-
-def _windows(words: str, width: int, exact: bool) -> Column:
+def _windows(words: str, width: int, kind: int) -> Column:
     """(place, hash, slots) of each window of a column of words. An exact one
     has no slots: its hash has the values."""
     return F.transform(_starts(words, width), lambda i: F.struct(
-        i.alias("place"), _hash(F.slice(words, i, width), exact).alias("hash"),
-        (F.array().cast("array<string>") if exact else _slots(F.slice(words, i, width))).alias("slots"),
+        i.alias("place"), _salted((values if kind == EXACT else template)(F.slice(words, i, width)), kind).alias("hash"),
+        (F.array().cast("array<string>") if kind == EXACT else _slots(F.slice(words, i, width))).alias("slots"),
     ))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item, item_id, width, exact, place, hash, slots, windows, templates):
-    the windows of each item, their number and that of the template ones."""
-    item = items.select(F.monotonically_increasing_id().alias("item"), "item_id", canonical_words(F.coalesce("text", F.lit(""))).alias("words"))
+    """(item, item_id, width, kind, second, place, hash, slots, windows,
+    templates): the windows of each item, and for each reading (``second`` or
+    not) their number and that of the template ones."""
+    text = F.coalesce("text", F.lit(""))
+    item = items.select(F.monotonically_increasing_id().alias("item"), "item_id", canonical_words(text).alias("first"), whole_words(text).alias("second"))
     parts = [
-        item.where(F.size("words") >= WINDOW if width == WINDOW else F.size("words") == width)
-        .select("item", "item_id", F.lit(width).alias("width"), F.lit(exact).alias("exact"), "words", F.inline(_windows("words", width, exact)))
-        for width in range(1, WINDOW + 1) for exact in (False, True)
+        item.select("item", "item_id", F.col("second" if kind == SECOND else "first").alias("words"))
+        .where(F.size("words") >= WINDOW if width == WINDOW else F.size("words") == width)
+        .select("item", "item_id", F.lit(width).alias("width"), F.lit(kind).alias("kind"), "words", F.inline(_windows("words", width, kind)))
+        for width in range(1, WINDOW + 1) for kind in (TEMPLATE, EXACT, SECOND)
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     few = F.col("width") - F.size(_slots(F.slice("words", F.col("place"), F.col("width")))) < LITERALS
-    out = stored(out.where(F.col("exact") == few).drop("words"), "decontamination-items")
-    sizes = out.groupBy("item").agg(F.count("*").alias("windows"), F.count_if(~F.col("exact")).alias("templates"))
-    return out.join(sizes, "item")
+    out = out.where((F.col("kind") == EXACT) == few).withColumn("second", F.col("kind") == SECOND).drop("words")
+    out = stored(out, "decontamination-items")
+    sizes = out.groupBy("item", "second").agg(F.count("*").alias("windows"), F.count_if(F.col("kind") != EXACT).alias("templates"))
+    return out.join(sizes, ["item", "second"])
 
 
 def _enough(covered: str, covered_templates: str, share: float) -> Column:
@@ -125,47 +141,50 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> Dat
     """(doc_id, item_id, windows, covered, altered, kid, print) for each
     document and each item that it holds; ``altered``: some slot value differs."""
     wanted = stored(item_windows(items), "decontamination-windows")
-    kinds = [tuple(r) for r in wanted.select("width", "exact").distinct().collect()]  # 2 * WINDOW at most
-    texts = keyed(docs).select("kid", "print", canonical_words(F.col("body")).alias("words"))
+    kinds = [tuple(r) for r in wanted.select("width", "kind").distinct().collect()]  # 3 * WINDOW at most
+    texts = keyed(docs).select("kid", "print", canonical_words(F.col("body")).alias("first"), whole_words(F.col("body")).alias("second"))
     if not kinds:
-        kinds = [(WINDOW, False)]
-    hashed = texts.select("kid", "print", template(F.col("words")).alias("words"), (values(F.col("words")) if any(e for _, e in kinds) else F.lit(None)).alias("values"))
-    each = F.concat(*[_exact_hashes("values", w) if e else window_hashes("words", w) for w, e in kinds])
+        kinds = [(WINDOW, TEMPLATE)]
+    words = {TEMPLATE: template(F.col("first")), EXACT: values(F.col("first")), SECOND: template(F.col("second"))}
+    hashed = texts.select("kid", "print", *[words[k].alias(f"words_{k}") for k in sorted({k for _, k in kinds})])
+    each = F.concat(*[window_hashes(f"words_{k}", w, k) for w, k in kinds])
     found = hashed.select("kid", "print", F.explode(each).alias("hash"))
-    sought = wanted.groupBy("item", "hash", "exact").agg(F.count("*").alias("copies"), F.max("windows").alias("windows"), F.max("templates").alias("templates"))
-    hits = found.join(counted(stored(sought, "decontamination-sought")), "hash").groupBy("kid", "print", "item", "hash", "exact").agg(
+    sought = wanted.groupBy("item", "second", "hash", "kind").agg(F.count("*").alias("copies"), F.max("windows").alias("windows"), F.max("templates").alias("templates"))
+    hits = found.join(counted(stored(sought, "decontamination-sought")), "hash").groupBy("kid", "print", "item", "second", "hash", "kind").agg(
         F.max("copies").alias("copies"), F.max("windows").alias("windows"), F.max("templates").alias("templates")
     )
     # No alignment can cover more of an item than the windows that were hit.
-    likely = hits.groupBy("kid", "print", "item").agg(
-        F.sum("copies").alias("most"), F.coalesce(F.sum(F.when(~F.col("exact"), F.col("copies"))), F.lit(0)).alias("most_templates"),
+    likely = hits.groupBy("kid", "print", "item", "second").agg(
+        F.sum("copies").alias("most"), F.coalesce(F.sum(F.when(F.col("kind") != EXACT, F.col("copies"))), F.lit(0)).alias("most_templates"),
         F.max("windows").alias("windows"), F.max("templates").alias("templates"),
     )
-    likely = stored(likely.where(_enough("most", "most_templates", share)).select("kid", "print", "item"), "decontamination-likely")
+    likely = stored(likely.where(_enough("most", "most_templates", share)).select("kid", "print", "item", "second"), "decontamination-likely")
     holders = counted(stored(likely.select("kid", "print").distinct(), "decontamination-holders"))
     again = texts.join(holders, ["kid", "print"]).dropDuplicates(["kid", "print"])
-    placed = again.select("kid", "print", F.inline(F.concat(*[_windows("words", w, e) for w, e in kinds])))
-    of_item = wanted.select("item", "item_id", "hash", "exact", "windows", "templates", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    placed = again.select("kid", "print", F.inline(F.concat(*[_windows("second" if k == SECOND else "first", w, k) for w, k in kinds])))
+    of_item = wanted.select("item", "item_id", "second", "hash", "kind", "windows", "templates", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_text"))
-    matched = placed.join(counted(of_item), "hash").join(likely, ["kid", "print", "item"]).groupBy(
-        "kid", "print", "item", (F.col("place") - F.col("item_place")).alias("shift")
+    matched = placed.join(counted(of_item), "hash").join(likely, ["kid", "print", "item", "second"]).groupBy(
+        "kid", "print", "item", "second", (F.col("place") - F.col("item_place")).alias("shift")
     ).agg(
         F.first("item_id").alias("item_id"), F.max("windows").alias("windows"), F.max("templates").alias("templates"),
-        F.collect_set("item_place").alias("places"), F.collect_set(F.when(~F.col("exact"), F.col("item_place"))).alias("template_places"),
+        F.collect_set("item_place").alias("places"), F.collect_set(F.when(F.col("kind") != EXACT, F.col("item_place"))).alias("template_places"),
         F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"),
     )
     one_to_one = (F.size(F.array_distinct(F.col("pairs.of_item"))) == F.size("pairs")) & (F.size(F.array_distinct(F.col("pairs.of_text"))) == F.size("pairs"))
     differs = F.exists("pairs", lambda p: p["of_item"] != p["of_text"])
-    return (
-        matched.where(one_to_one).groupBy("kid", "print", "item")
+    held = (
+        matched.where(one_to_one).groupBy("kid", "print", "item", "second")
         .agg(
             F.first("item_id").alias("item_id"), F.max("windows").alias("windows"), F.max("templates").alias("templates"),
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("covered"),
             F.size(F.array_distinct(F.flatten(F.collect_list("template_places")))).alias("covered_templates"), F.max(differs).alias("altered"),
         )
         .where(_enough("covered", "covered_templates", share))
-        .select(F.when(F.col("kid") != NO_ID, F.col("kid")).alias("doc_id"), "item_id", "windows", "covered", "altered", "kid", "print")
     )
+    # The first reading is reported if both find the item.
+    best = held.groupBy("kid", "print", "item").agg(F.min(F.struct("second", "item_id", "windows", "covered", "altered")).alias("best"))
+    return best.select(F.when(F.col("kid") != NO_ID, F.col("kid")).alias("doc_id"), "best.item_id", "best.windows", "best.covered", "best.altered", "kid", "print")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -202,6 +202,19 @@ def test_items_of_numbers_names_or_few_words(spark, docs_of):
     assert set(flagged(spark, docs_of, texts, items)) == {(1, 0), (3, 1), (5, 2)}
 
 
+def test_names_that_start_sentences_and_numbers_with_separators(spark, docs_of):
+    items = (
+        "Tom has 5 apples. Tom buys 12 pears. Tom eats 3 plums. How many fruits does Tom have?",
+        "the shop sells every box for 4 dollars and the buyer pays with 1000 coins so what is the change",
+    )
+    texts = [
+        (1, items[0].replace("Tom", "Anna")), (2, f"Question:\n{items[0].replace('Tom', 'Anna').replace('12', '1,250')}"),
+        (3, items[1].replace("4", "3.5").replace("1000", "1,250")), (4, "Tom has a dog. Tom buys bread. How many dogs does Tom have?"),
+    ]
+    got = flagged(spark, docs_of, texts, items)
+    assert set(got) == {(1, 0), (2, 0), (3, 1)} and all(v[2] for v in got.values())
+
+
 def test_clean_keeps_rows_and_columns(spark, docs_of):
     docs = docs_of([(1, ITEM), (None, ITEM), (2, "fine"), (3, None), (2, "fine")])
     items = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
