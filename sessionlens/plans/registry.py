@@ -98,12 +98,13 @@ def q_export_events_json(b: Build) -> DataFrame:
 @query("load_raw_events")
 def q_load_raw_events(b: Build) -> DataFrame:
     """Bulk load of the NDJSON shards (declared schema, FAILFAST)
-    into the day-partitioned table; then the table is truncated and reloaded
-    with the days of the first half of the window, and staged."""
+    into the day-partitioned table, first with the days of the first half of
+    the window; then the table is truncated and reloaded with the whole window,
+    and staged."""
     p = b.params
-    dst = _loaded(b, b.raw, "raw_events_loaded")
     early = b.raw.where(F.col("event_date") <= F.lit(_mid_day(p.start_day, p.end_day)))
-    days = _loaded(b, early, "raw_events_loaded", dst)
+    dst = _loaded(b, early, "raw_events_loaded")
+    days = _loaded(b, b.raw, "raw_events_loaded", dst)
     return staging.stage_events(event_days.read_event_days(b.spark, days), p.start_day, p.end_day, day_col="event_day")
 
 

@@ -6,6 +6,7 @@ import glob
 import gzip
 import os
 import tempfile
+from collections import Counter
 
 import pytest
 from conftest import SF0001, ev, raw_df
@@ -114,6 +115,13 @@ def test_variant_paths_equal_struct_paths(spark):
     assert v.exceptAll(s).count() == 0 and s.exceptAll(v).count() == 0
 
 
+def test_bulk_load_returns_the_whole_window(spark):
+    import __spark_entry__ as E
+
+    loaded, staged = (Counter(map(tuple, E.queries()[n](spark, SF0001).collect())) for n in ("load_raw_events", "stg_events"))
+    assert loaded == staged
+
+
 def test_incremental_ingest_is_exactly_once(spark, scratch):
     raw = driver_tables.raw_events(spark, SF0001)
     landing, table, ckpt = (os.path.join(scratch, x) for x in ("landing", "table", "ckpt"))
