@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from sessionlens.llm import (
     op10_line_templates,
+    op12_byte_bpe,
+    op13_prefix_trie,
     op1_token_index,
     op2_maxent_lm,
     op3_quality,
@@ -36,6 +38,8 @@ def queries() -> dict[str, Query]:
         "op8_near_duplicates": op8_minhash.query,
         "op9_fingerprint": op9_digest.query,
         "op10_line_templates": op10_line_templates.query,
+        "op12_byte_bpe": op12_byte_bpe.query,
+        "op13_prefix_trie": op13_prefix_trie.query,
     }
 
 
