@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from sessionlens.llm import (
     op10_line_templates,
+    op11_token_alignment,
     op12_byte_bpe,
     op13_prefix_trie,
     op1_token_index,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op8_near_duplicates": op8_minhash.query,
         "op9_fingerprint": op9_digest.query,
         "op10_line_templates": op10_line_templates.query,
+        "op11_token_alignment": op11_token_alignment.query,
         "op12_byte_bpe": op12_byte_bpe.query,
         "op13_prefix_trie": op13_prefix_trie.query,
     }
