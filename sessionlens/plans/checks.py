@@ -29,6 +29,7 @@ class Check:
     values: tuple = ()
     low: float | None = None
     high: float | None = None
+    refs: tuple[str, ...] = ()  # what it reads, in order, if that is not the model alone
 
 
 def default_suite(flag_rate_max: float = C.FLAG_RATE_MAX, volume_min: int = C.VOLUME_MIN,
@@ -55,7 +56,8 @@ def default_suite(flag_rate_max: float = C.FLAG_RATE_MAX, volume_min: int = C.VO
               severity="warn", high=flag_rate_max),
         Check("assert_fct_sessions_volume", "fct_sessions", "volume", None, severity="warn",
               low=volume_min, high=volume_max),
-        Check("duplicate_param_keys_stg_ga4__events", "stg_ga4__events", "duplicate_keys", "event_params"),
+        Check("duplicate_param_keys_stg_ga4__events", "stg_ga4__events", "duplicate_keys", "event_params",
+              refs=("source.events", "stg_ga4__events")),
     )
 
 

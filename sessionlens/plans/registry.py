@@ -10,6 +10,7 @@ from sessionlens.catalog import query
 from sessionlens.operators import funnel, retention, rfm, sessions, staging
 from sessionlens.plans import checks as CK
 from sessionlens.plans import governance as GV
+from sessionlens.plans import lineage as LN
 from sessionlens.plans import monitors as MN
 from sessionlens.plans import reports as RP
 from sessionlens.functions import (
@@ -239,7 +240,7 @@ def q_cohort_activity(b: Build) -> DataFrame:
 
 @query("flatten_params")
 def q_flatten_params(b: Build) -> DataFrame:
-    """Explode + GROUP BY ALL + conditional max."""
+    """The params unnested and grouped inside the row."""
     p = b.params
     return staging.flatten_params(b.raw, p.start_day, p.end_day)
 
@@ -266,6 +267,24 @@ def q_alert_digest(b: Build) -> DataFrame:
     return GV.alert_digest(GV.owner_alerts(_checked(b), GV.model_registry(b.spark)))
 
 
+def _edges(b: Build) -> DataFrame:
+    p = b.params
+    return LN.edges(b.spark, CK.default_suite(p.flag_rate_max, p.volume_min, p.volume_max))
+
+
+@query("alert_impact")
+def q_alert_impact(b: Build) -> DataFrame:
+    """Open checks attributed through the reference edges, with all
+    models downstream and their owners."""
+    return LN.alert_impact(_checked(b), _edges(b), GV.model_registry(b.spark))
+
+
+@query("model_lineage")
+def q_model_lineage(b: Build) -> DataFrame:
+    """What each model is built from and the open checks above it."""
+    return LN.model_lineage(_checked(b), _edges(b), GV.model_registry(b.spark))
+
+
 @query("governance_gaps")
 def q_governance_gaps(b: Build) -> DataFrame:
     """Governed models, what each misses and which of its checks fail."""
