@@ -16,8 +16,8 @@ that hold at least 1/``COMMON`` of all links (so at most ``COMMON`` of them) are
 sent to every task; the links of all other pairs, few by the same rule, are
 joined by shuffle and added.
 
-Words that A's pattern or B's blanks set apart are encoded once in a worker
-(bounded memory); tests hold this against encoding whole texts.
+Runs of blanks and line breaks with the word behind them are encoded once in a
+worker (bounded memory); tests hold this against encoding whole texts.
 
 Defined results: texts that are null, empty or not given back by their A or B
 tokens (a U+2581 in the text, for one) have no links; repeated rows and null
@@ -28,8 +28,10 @@ gives no rows; other columns are left out.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -42,12 +44,12 @@ from pyspark.sql import functions as F
 
 from sessionlens import runtime
 from sessionlens.llm.common import chunks, prepare, raw_text, stored, table
-from sessionlens.llm.pretokens import WordMemory, words
+from sessionlens.llm.pretokens import WordMemory
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 COMMON = 1 << 20
-_CHUNK_BYTES = 3 << 20
+_CHUNK_BYTES = 1 << 20
 _PARTIAL_ROWS = 1 << 19  # pairs a task counts before it sends them on
 _BLANK = "▁"
 
@@ -57,7 +59,7 @@ _A_SHIFT, _B_SHIFT, _BOTH = 32, 2, 3
 
 
 class ByteLevel:
-    """Tokenizer A: ids of words, bytes of ids."""
+    """Tokenizer A: ids of runs, bytes of ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
@@ -71,21 +73,16 @@ class ByteLevel:
         for entry, i in vocabulary.items():
             piece[i] = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
         self.pieces = pa.array(piece, pa.binary())
-        self.memory = WordMemory(
-            lambda part: [np.array(e.ids, "<i4").tobytes() for e in library.encode_batch_fast(part, add_special_tokens=False)]
-        )
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return _by_word(self.memory, [words(" " + t) for t in texts])
+        self.runs = lambda runs: [_packed(e.ids) for e in library.encode_batch_fast(runs, add_special_tokens=False)]
+        # The pattern of byte-level BPE never joins a word to white space behind it.
+        splitter = json.loads(library.to_str())
+        self.by_run = splitter["normalizer"] is None and (splitter["pre_tokenizer"] or {}).get("type") == "ByteLevel"
 
 
 class SentencePieces:
-    """Tokenizer B. No piece has a blank after another character, so a text's
-    pieces are those of its runs of blanks with the word behind them; a model
-    with such pieces, or one that rewrites texts, gets whole texts."""
+    """Tokenizer B: ids of runs, bytes of ids."""
 
-    _RUN = re.compile(r" *[^ ]+| +")
-    _PROBE = " a  b\tc\nﬁ é "
+    _PROBE = "a  b\tc\n\nﬁ é "
 
     def __init__(self, path: str):
         import sentencepiece
@@ -94,26 +91,64 @@ class SentencePieces:
         names = [library.id_to_piece(i) for i in range(library.vocab_size())]
         piece = [bytes([int(n[1:-1], 16)]) if library.is_byte(i) else n.replace(_BLANK, " ").encode() for i, n in enumerate(names)]
         self.pieces = pa.array(piece, pa.binary())
-        given_back = b"".join(piece[i] for i in library.encode(self._PROBE))
-        self.by_word = given_back.decode("utf-8", "replace") == " " + self._PROBE and not any(_BLANK in n.lstrip(_BLANK) for n in names)
-        blank = np.array([library.piece_to_id(_BLANK)], "<i4").tobytes()
-
-        def learn(part: list[str]) -> list[bytes]:
-            # The library puts one blank in front by itself.
-            ids = library.encode([w[1:] for w in part], num_threads=1)
-            return [blank if w == " " else np.array(i, "<i4").tobytes() for w, i in zip(part, ids, strict=True)]
-
-        self.learn = learn
-        self.memory = WordMemory(learn)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        spaced = [" " + t for t in texts]
-        return _by_word(self.memory, list(map(self._RUN.findall, spaced))) if self.by_word else self.learn(spaced)
-
-
-def _by_word(memory: WordMemory, split: list[list[str]]) -> list[bytes]:
-    ids_of = memory.know(set().union(*split))
-    return [b"".join(map(ids_of, w)) for w in split]
+        # No piece has a blank behind another character or holds a line break,
+        # and texts are not rewritten.
+        kept = b"".join(piece[i] for i in library.encode(self._PROBE)) == b" " + self._PROBE.encode()
+        self.by_run = kept and not any(_BLANK in n.lstrip(_BLANK) or "\n" in n for n in names)
+        blank = _packed([library.piece_to_id(_BLANK)])
+
+        def runs(part: list[str]) -> list[bytes]:
+            # The library puts one blank in front by itself; before a line break
+            # that is a token of its own.
+            own = [r[0] != " " for r in part]
+            ids = library.encode([r if o else r[1:] for r, o in zip(part, own, strict=True)], num_threads=1)
+            return [blank if r == " " else _packed(i[o:]) for r, o, i in zip(part, own, ids, strict=True)]
+
+        self.runs = runs
+
+
+class Pair:
+    """Both tokenizers. A text is cut into runs of blanks and line breaks with
+    the word behind them, across which neither joins anything; a worker encodes
+    each run once. A text with other white space is one run."""
+
+    _RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+    _ODD_ASCII = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+    _ODD = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = ByteLevel(path_a), SentencePieces(path_b)
+        self.by_run = self.a.by_run and self.b.by_run
+        self.memory = [WordMemory(x.runs) for x in (self.a, self.b)]
+
+    def _plain(self, text: bytes) -> bool:
+        if not self.by_run or len(text.translate(None, self._ODD_ASCII)) != len(text):
+            return False
+        return text.isascii() or self._ODD.search(text) is None
+
+    def encode(self, texts: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
+        """The ids of each text with a blank in front, by A and by B; none for
+        texts that are empty or hold B's own sign for a blank."""
+        runs: list[str] = []
+        cuts = [0]
+        for text in texts:
+            spaced = " " + text.decode("utf-8", "replace")
+            if text and _BLANK not in spaced:
+                runs += self._RUN.findall(spaced) if self._plain(text) else [spaced]
+            cuts.append(len(runs))
+        coded = pa.array(runs, pa.string()).dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        wanted = set(different)
+        out = []
+        for memory in self.memory:
+            ids = _lists(list(map(memory.know(wanted), different))).take(coded.indices)
+            ends = np.concatenate([[0], np.cumsum(np.array(pc.list_value_length(ids)))])
+            out.append(pa.ListArray.from_arrays(pa.array(ends[cuts].astype(np.int32)), ids.flatten()))
+        return out[0], out[1]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 def _byte_level() -> dict[str, int]:
@@ -125,9 +160,9 @@ def _byte_level() -> dict[str, int]:
 
 
 @cache
-def _tokenizer(kind: type, path: str):
+def _pair(path_a: str, path_b: str) -> Pair:
     pa.set_cpu_count(1)
-    return kind(path)
+    return Pair(path_a, path_b)
 
 
 # Alignment in Arrow ----------------------------------------------------------
@@ -152,17 +187,15 @@ def _joined(tokens: pa.ListArray, pieces: pa.BinaryArray) -> pa.BinaryArray:
     return pc.binary_join(pa.ListArray.from_arrays(tokens.offsets, pc.take(pieces, tokens.flatten())), b"")
 
 
-def links_of(texts: list[bytes], a: ByteLevel, b: SentencePieces) -> pa.ListArray:
+def links_of(texts: list[bytes], pair: Pair) -> pa.ListArray:
     """The links of each text, in order."""
-    decoded = [t.decode("utf-8", "replace") for t in texts]
-    decoded = ["" if _BLANK in t else t for t in decoded]  # never given back by B
-    left, right = (_lists([i if t else b"" for t, i in zip(decoded, x.encode(decoded), strict=True)]) for x in (a, b))
+    left, right = pair.encode(texts)
     wanted = pa.array([b" " + t for t in texts], pa.binary())
-    whole = pc.and_(pc.equal(_joined(left, a.pieces), wanted), pc.equal(_joined(right, b.pieces), wanted))
+    whole = pc.and_(pc.equal(_joined(left, pair.a.pieces), wanted), pc.equal(_joined(right, pair.b.pieces), wanted))
     if not pc.all(whole).as_py():
         none = pa.array([], pa.int32())
         left, right = (pc.if_else(whole, x, pa.ListArray.from_arrays(pa.array([0, 0], pa.int32()), none)[0]) for x in (left, right))
-    places = _ends(left, a.pieces, "a").join(_ends(right, b.pieces, "b"), keys="doc_end", join_type="full outer", use_threads=False)
+    places = _ends(left, pair.a.pieces, "a").join(_ends(right, pair.b.pieces, "b"), keys="doc_end", join_type="full outer", use_threads=False)
     places = places.sort_by("doc_end").combine_chunks()
     a_id, b_id = (places.column(c).combine_chunks() for c in ("a", "b"))
     ends = pc.add(pc.is_valid(a_id).cast(pa.int64()), pc.shift_left(pc.is_valid(b_id).cast(pa.int64()), 1))
@@ -177,12 +210,12 @@ _ALIGNED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("links", pa.
 
 
 def _align(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[pa.RecordBatch]:
-    a, b = _tokenizer(ByteLevel, path_a), _tokenizer(SentencePieces, path_b)
+    pair = _pair(path_a, path_b)
     for batch in batches:
         raw = batch.column("raw").to_pylist()
         for lo, hi in chunks([len(t) for t in raw], _CHUNK_BYTES):
             own = batch.slice(lo, hi - lo)
-            links = links_of(raw[lo:hi], a, b)
+            links = links_of(raw[lo:hi], pair)
             yield pa.RecordBatch.from_arrays([own.column("row"), own.column("doc_id"), links.cast(_ALIGNED.field("links").type)], schema=_ALIGNED)
 
 

@@ -19,13 +19,12 @@ from sessionlens.llm.common import table
 
 from llm.conftest import ODD_TEXTS
 
-A = op11.ByteLevel(public_tokenizers.path(op11.TOKENIZER_A))
-B = op11.SentencePieces(public_tokenizers.path(op11.TOKENIZER_B))
+PAIR = op11.Pair(public_tokenizers.path(op11.TOKENIZER_A), public_tokenizers.path(op11.TOKENIZER_B))
 WHOLE_A = Tokenizer.from_file(public_tokenizers.path(op11.TOKENIZER_A))
 WHOLE_A.encode_special_tokens = True
 WHOLE_B = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(op11.TOKENIZER_B))
-PIECE_A, PIECE_B = A.pieces.to_pylist(), B.pieces.to_pylist()
-PARTS = ("ab", "the", " the", " ", "   ", "\n", "\t x", "'s", "1234", "é", "é", "你好", "\U0001f600", "՘", "\U0003fc3b", "\x00", "▁", "ﬁ", "<s>", "<0x41>", "<|endoftext|>", " ", "　")
+PIECE_A, PIECE_B = PAIR.a.pieces.to_pylist(), PAIR.b.pieces.to_pylist()
+PARTS = ("ab", "the", " the", " ", "   ", "\n", "\n\n x", " \n", "\t x", "\t  x", "'s", "1234", "é", "é", "你好", "\U0001f600", "՘", "\U0003fc3b", "\x00", "▁", "ﬁ", "<s>", "<0x41>", "<|endoftext|>", " ", "　")
 
 
 def plain(text):
@@ -80,11 +79,12 @@ def test_plain_walk_finds_overlaps():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(st.text(max_size=40), st.lists(st.sampled_from(PARTS), max_size=20).map("".join)), min_size=1, max_size=5))
 def test_words_encode_like_whole_texts(texts):
-    got = [np.frombuffer(i, "<i4").tolist() for i in A.encode(texts)]
-    assert got == [WHOLE_A.encode(" " + t, add_special_tokens=False).ids for t in texts]
-    plain_texts = [t for t in texts if t and "▁" not in t]
-    assert [np.frombuffer(i, "<i4").tolist() for i in B.encode(plain_texts)] == [WHOLE_B.encode(t) for t in plain_texts]
-    links = op11.links_of([t.encode() for t in texts], A, B).to_pylist()
+    assert PAIR.by_run
+    kept = [t for t in texts if t and "▁" not in t]
+    got_a, got_b = (ids.to_pylist() for ids in PAIR.encode([t.encode() for t in kept]))
+    assert got_a == [WHOLE_A.encode(" " + t, add_special_tokens=False).ids for t in kept]
+    assert got_b == [WHOLE_B.encode(t) for t in kept]
+    links = op11.links_of([t.encode() for t in texts], PAIR).to_pylist()
     for t, found in zip(texts, links, strict=True):
         a, b, want, _ = plain(t)
         assert [(x >> 32, x >> 2 & (1 << 30) - 1) for x in found] == [(a[i], b[j]) for i, j in want]
