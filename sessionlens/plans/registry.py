@@ -13,6 +13,7 @@ from sessionlens.plans import governance as GV
 from sessionlens.plans import lineage as LN
 from sessionlens.plans import monitors as MN
 from sessionlens.plans import reports as RP
+from sessionlens.plans.schema_history import schema_history
 from sessionlens.functions import (
     micros_to_ts,
     param_value,
@@ -157,21 +158,22 @@ def q_sessions_table(b: Build) -> DataFrame:
 
 
 def _landed(b: Build) -> DataFrame:
-    """S3: the export shards landed and read with VARIANT nested columns."""
-    path = table_path(b.spark, "landed_ndjson")
-    json_io.export_ndjson(b.raw, path)
-    return json_io.load_landed(b.spark, path)
+    """S3: the export shards landed as a table with VARIANT nested columns."""
+    shards, path = table_path(b.spark, "landed_ndjson"), table_path(b.spark, "landed_events")
+    json_io.export_ndjson(b.raw, shards)
+    json_io.write_landed(json_io.load_landed(b.spark, shards), path)
+    return json_io.read_landed(b.spark, path, b.params.start_day, b.params.end_day)
 
 
 @query("variant_paths")
 def q_variant_paths(b: Build) -> DataFrame:
-    """Landed VARIANT columns and typed path access."""
+    """Typed paths out of the landed table's VARIANT columns."""
     return json_io.variant_fields(_landed(b))
 
 
 @query("flatten_params_variant")
 def q_flatten_params_variant(b: Build) -> DataFrame:
-    """J2/F16 on landed VARIANT: lateral variant_explode + conditional max."""
+    """J2/F16 on landed VARIANT: params unnested and grouped inside the row."""
     return json_io.variant_params(_landed(b))
 
 
@@ -549,6 +551,13 @@ def q_field_drift(b: Build) -> DataFrame:
     return b.spark.createDataFrame(rows, "field string, declared string, observed string, status string")
 
 
+@query("schema_history")
+def q_schema_history(b: Build) -> DataFrame:
+    """Paths of the landed table with the days they were seen and what
+    changed."""
+    return schema_history(_landed(b))
+
+
 # ---------------------------------------------------------------- incremental load
 
 

@@ -16,7 +16,6 @@ from sessionlens.oracle_sql import oracle_sql
 
 SF = os.environ.get("SESSIONLENS_ORACLE_SF", "/root/testdata/sf0.001")
 NAMES = sorted(catalog.queries())
-WITHOUT_TWIN = {"field_drift"}  # the inferred schema of written files
 
 
 @pytest.fixture(scope="module")
@@ -25,10 +24,10 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(oracle_sql()) == set(NAMES) - WITHOUT_TWIN
+    assert set(oracle_sql()) == set(NAMES)
 
 
-@pytest.mark.parametrize("name", sorted(set(NAMES) - WITHOUT_TWIN))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_duckdb(spark, con, name):
     r = compare(spark, name, SF, con)
     assert r.get("ok"), r
