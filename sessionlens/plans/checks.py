@@ -185,8 +185,16 @@ def suite_frame(spark, suite: tuple[Check, ...]) -> DataFrame:
 
 
 def check_results(models: dict[str, DataFrame], suite: tuple[Check, ...], run_id: str,
-                  raw: DataFrame | None = None) -> DataFrame:
-    failures = check_failures(models, suite, raw)
+                  raw: DataFrame | None = None, measured: dict[str, int] | None = None) -> DataFrame:
+    """One row per check. Checks that a write has ``measured`` (plans/observed.py)
+    are taken as they are; the others run over the models."""
+    measured = measured or {}
+    open_suite = tuple(c for c in suite if c.name not in measured)
+    failures = check_failures(models, open_suite, raw) if open_suite else None
+    if measured:
+        spark = next(iter(models.values())).sparkSession
+        known = spark.createDataFrame(list(measured.items()), "check string, failures long")
+        failures = known if failures is None else failures.unionByName(known)
     # The suite table has one row per declared check: a bounded broadcast.
     specs = F.broadcast(suite_frame(failures.sparkSession, suite))
     joined = failures.join(specs, "check")

@@ -12,6 +12,7 @@ from sessionlens.plans import checks as CK
 from sessionlens.plans import governance as GV
 from sessionlens.plans import lineage as LN
 from sessionlens.plans import monitors as MN
+from sessionlens.plans import observed as OB
 from sessionlens.plans import reports as RP
 from sessionlens.plans.schema_history import schema_history
 from sessionlens.functions import (
@@ -442,10 +443,27 @@ def q_check_results(b: Build) -> DataFrame:
     return _checked(b)
 
 
+@query("write_checks")
+def q_write_checks(b: Build) -> DataFrame:
+    """Row counts and checks measured by the jobs that write the
+    models, without another scan."""
+    p = b.params
+    suite = CK.default_suite(p.flag_rate_max, p.volume_min, p.volume_max)
+    sessions_ = OB.write_measured(b.sessions, table_path(b.spark, "fct_sessions"), "fct_sessions", suite)
+    mat = Build(b.spark, b.sf_dir, p)
+    mat.sessions = mat.core = sessions_.table
+    written = [sessions_] + [
+        OB.write_measured(df, table_path(b.spark, name), name, suite) for name, df in mat.models().items() if name in OB.MEASURED and name != "fct_sessions"
+    ]
+    return OB.results(b.spark, written, suite)
+
+
 @query("flags_keep_rows")
 def q_flags_keep_rows(b: Build) -> DataFrame:
-    """Q9: the flags model keeps every session."""
-    return CK.flags_keep_rows(b.sessions, b.flags)
+    """Q9: the flags model keeps every session; both sides read one written
+    sessions table."""
+    mat = Build(b.spark, b.sf_dir, b.params, materialize_sessions=True)
+    return CK.flags_keep_rows(mat.sessions, mat.flags)
 
 
 @query("duplicate_param_keys")
@@ -524,14 +542,15 @@ def q_funnel_monotonic(b: Build) -> DataFrame:
 
 @query("daily_volume_anomaly")
 def q_daily_volume_anomaly(b: Build) -> DataFrame:
-    """D3: daily sessions vs. the trailing 14-day mean and deviation."""
+    """D3: daily sessions against the median and spread of their weekday."""
     return MN.daily_volume_anomaly(b.core, b.params.start_day, b.params.end_day)
 
 
 @query("freshness_check")
 def q_freshness_check(b: Build) -> DataFrame:
-    """Latest session start per day against the run time."""
-    return MN.freshness_check(b.core, MN.run_time_after(b.params.as_of))
+    """Age of the newest session at each day's end, against its history."""
+    p = b.params
+    return MN.freshness_check(b.core, p.start_day, p.end_day, MN.run_time_after(p.as_of))
 
 
 @query("schema_drift")
