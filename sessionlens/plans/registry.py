@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from sessionlens.plans import lineage as LN
 from sessionlens.plans import monitors as MN
 from sessionlens.plans import observed as OB
 from sessionlens.plans import reports as RP
+from sessionlens.plans.reconcile import reconcile_rows
+from sessionlens.plans.run_build import register_views
 from sessionlens.plans.schema_history import schema_history
 from sessionlens.functions import (
     micros_to_ts,
@@ -27,6 +32,7 @@ from sessionlens.config import PARAM_PAGE_LOCATION, PARAM_SESSION_ID, replace
 from sessionlens.runtime import materialize, table_path
 from sessionlens.schemas import CHECK_RESULT
 from sessionlens.sources import driver_tables, event_days, json_io
+from sessionlens.sources.publish import publish
 
 # ---------------------------------------------------------------- models (M1-M6)
 
@@ -139,7 +145,7 @@ def q_json_roundtrip(b: Build) -> DataFrame:
 @query("raw_row_count")
 def q_raw_row_count(b: Build) -> DataFrame:
     """Rows of the loaded table, counted after the load."""
-    return event_days.row_count(event_days.read_event_days(b.spark, _loaded(b, b.raw, "raw_events_counted")))
+    return event_days.row_count(event_days.read_event_days(b.spark, _loaded(b, b.raw, table_path(b.spark, "raw_events_counted"))))
 
 
 @query("preview_rows")
@@ -178,6 +184,26 @@ def q_flatten_params_variant(b: Build) -> DataFrame:
     return json_io.variant_params(_landed(b))
 
 
+@query("day_flags_view")
+def q_day_flags_view(b: Build) -> DataFrame:
+    """The staging and flags views, joined and grouped in SQL with named
+    parameters: events, sessions and flagged sessions for each day."""
+    models = Build(b.spark, b.sf_dir, b.params, materialize_sessions=True).models()
+    names = register_views(models, suffix=f"_{uuid.uuid4().hex[:8]}")
+    return b.spark.sql(
+        f"""
+        select f.session_date, e.events, f.sessions, f.flagged, f.flagged > :most_flagged as above
+        from (
+            select session_date, count(*) as sessions, count_if(has_dq_flag) as flagged
+            from {names["session_quality_flags"]} where session_date >= :first group by session_date
+        ) f join (
+            select event_date, count(*) as events from {names["stg_ga4__events"]} where event_date >= :first group by event_date
+        ) e on e.event_date = f.session_date
+        """,
+        args={"first": datetime.strptime(b.params.start_day, "%Y%m%d").date(), "most_flagged": 10},
+    )
+
+
 @query("param_lookup")
 def q_param_lookup(b: Build) -> DataFrame:
     """Keyed lookup in the params array."""
@@ -534,6 +560,15 @@ def q_build_reconciliation(b: Build) -> DataFrame:
     return MN.build_reconciliation(b.sessions, other)
 
 
+@query("reconcile_sessions")
+def q_reconcile_sessions(b: Build) -> DataFrame:
+    """D1, row by row: the sessions that differ between the two builds and the
+    columns in which they do."""
+    p = b.params
+    other = sessions.build_sessions(staging.flatten_params(b.raw, p.start_day, p.end_day))
+    return reconcile_rows(b.sessions, other, ["user_pseudo_id", "ga_session_id"])
+
+
 @query("funnel_monotonic")
 def q_funnel_monotonic(b: Build) -> DataFrame:
     """Funnel steps larger than the previous step."""

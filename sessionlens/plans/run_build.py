@@ -1,9 +1,11 @@
 """Build, test and report in one run (the reference's ``build`` command).
 
-Marts are written once as Parquet tables and read back; staging and
-observability models are registered as temp views (recomputed on read); the
-check suite then runs against the written tables, and the results, the
-owner-tagged alerts and the governance gate are written next to them. The
+Marts are written once as Parquet tables (a new version that replaces the old
+one when it is complete, see sources/publish.py) and read back; staging and
+observability models are registered as temp views (recomputed on read). Checks
+that the writes can measure are measured by them, the rest of the suite runs
+against the written tables; the results, the owner-tagged alerts and the
+governance gate are written next to them. The
 check-results table is partitioned by run id and appended to, so it keeps the
 history of runs.
 
@@ -20,15 +22,20 @@ from sessionlens.build import Build
 from sessionlens.config import DEFAULT, Params
 from sessionlens.plans import checks as CK
 from sessionlens.plans import governance as GV
+from sessionlens.plans import observed as OB
+from sessionlens.sources.publish import publish
 
 MARTS = ("fct_sessions", "funnel_conversion", "retention_cohorts", "rfm_segments")
 VIEWS = ("stg_ga4__events", "session_quality_flags")
 
 
-def register_views(models, names=VIEWS) -> None:
-    """Staging and observability models as temp views for SQL users."""
-    for name in names:
-        models[name].createOrReplaceTempView(name)
+def register_views(models, names=VIEWS, suffix: str = "") -> dict[str, str]:
+    """Staging and observability models as temp views for SQL users: model ->
+    view name. A ``suffix`` keeps builds of one session apart."""
+    views = {name: f"{name}{suffix}" for name in names}
+    for name, view in views.items():
+        models[name].createOrReplaceTempView(view)
+    return views
 
 
 def build_and_test(spark: SparkSession, sf_dir: str, out_dir: str, params: Params = DEFAULT) -> dict[str, DataFrame]:
@@ -36,17 +43,21 @@ def build_and_test(spark: SparkSession, sf_dir: str, out_dir: str, params: Param
     b = Build(spark, sf_dir, params)
     built = b.models()
     tables: dict[str, DataFrame] = {}
-    # Sessions first: every other mart is computed from the written table.
+    measured: dict[str, int] = {}
+    suite = CK.default_suite(params.flag_rate_max, params.volume_min, params.volume_max)
+    # Sessions first: every other mart is computed from the written table. A mart
+    # is written as a new version, which its readers get when it is complete.
     for name in MARTS:
         src = built[name] if name == "fct_sessions" else _from_sessions(b, tables["fct_sessions"], name)
-        GV.document(src, name).write.mode("overwrite").parquet(f"{out}/{name}")
-        tables[name] = spark.read.parquet(f"{out}/{name}")
+        found: list[OB.Written] = []
+        publish(spark, f"{out}/{name}", lambda p, src=src, name=name: found.append(OB.write_measured(GV.document(src, name), p, name, suite)))
+        tables[name] = found[0].table
+        measured |= found[0].failures
     flags = _from_sessions(b, tables["fct_sessions"], "session_quality_flags")
     models = {"stg_ga4__events": b.staged, "session_quality_flags": flags, **tables}
     register_views(models)
 
-    suite = CK.default_suite(params.flag_rate_max, params.volume_min, params.volume_max)
-    results = CK.check_results(models, suite, params.run_id, raw=b.raw)
+    results = CK.check_results(models, suite, params.run_id, raw=b.raw, measured=measured)
     # Dynamic overwrite replaces this run's partition only; history stays.
     results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(
         f"{out}/check_results"
