@@ -164,36 +164,52 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# Counts are of different texts throughout: a leaf's, a fixed token's at its
+# place, a template's, an equal line's.
 ORACLE_SQL = f"""
 with rows as (select row_number() over () as r, doc_id, text from documents),
 bodies as (
   select r, coalesce(doc_id, -9223372036854775808) as kid, coalesce(text, '') as body,
-         regexp_replace(translate(coalesce(text, ''), chr(9) || chr(13) || chr(12) || chr(11), '    '), '[^ \\n]*[0-9][^ \\n]*', '{ANY}', 'g') as mask
-  from rows),
-one as (select distinct kid, body, mask from bodies),
+         translate(coalesce(text, ''), chr(9) || chr(13) || chr(12) || chr(11), '    ') as plain from rows),
+one as (select distinct kid, body, plain, regexp_replace(plain, '[^ \\n]*[0-9][^ \\n]*', '{ANY}', 'g') as mask from bodies),
 cut as (select kid, body, unnest(string_split(mask, chr(10))) as raw, generate_subscripts(string_split(mask, chr(10)), 1) as place from one),
 lines as (
   select kid, body, place, trim(raw, ' ') as line, string_split(trim(raw, ' '), ' ') as tokens from cut
   where len(string_split(trim(raw, ' '), ' ')) >= {TOKENS}),
-support as (
-  select line, any_value(tokens) as tokens, count(distinct body) as texts,
-         any_value(len(tokens) || chr(10) || array_to_string(tokens[1:{LEAD}], ' ')) as leaf
-  from lines group by line),
-leaves as (select leaf from support group by leaf having sum(texts) >= {TEXTS}),
-distinct_lines as (select * from support semi join leaves using (leaf)),
-token as (select leaf, line, texts, unnest(tokens) as token, generate_subscripts(tokens, 1) as spot from distinct_lines),
-fixed as (select leaf, spot, token from token where token <> '{ANY}' group by leaf, spot, token having sum(texts) >= {TEXTS}),
+met as (
+  select line, body, any_value(tokens) as tokens, any_value(len(tokens) || chr(10) || array_to_string(tokens[1:{LEAD}], ' ')) as leaf
+  from lines group by line, body),
+leaves as (select leaf from met group by leaf having count(distinct body) >= {TEXTS}),
+near as (select * from met semi join leaves using (leaf)),
+token as (select leaf, line, body, unnest(tokens) as token, generate_subscripts(tokens, 1) as spot from near),
+fixed as (select leaf, spot, token from token where token <> '{ANY}' group by leaf, spot, token having count(distinct body) >= {TEXTS}),
 templates as (
-  select leaf, line, list(spot || ' ' || token order by spot) as template from token semi join fixed using (leaf, spot, token) group by leaf, line),
+  select leaf, line, list(spot || ' ' || token order by spot) as template
+  from (select distinct leaf, line, spot, token from token semi join fixed using (leaf, spot, token)) group by leaf, line),
 classes as (
-  select t.leaf, t.line, d.texts, t.template from templates t join distinct_lines d using (line) where len(t.template) >= greatest({FIXED} * len(list_filter(d.tokens, lambda x: x <> '{ANY}')), {LEAST_FIXED})),
-common as (select leaf, template from classes group by leaf, template having sum(texts) >= {TEXTS}),
+  select t.leaf, t.line, t.template from templates t join (select line, any_value(tokens) as tokens from near group by line) d using (line)
+  where len(t.template) >= greatest({FIXED} * len(list_filter(d.tokens, lambda x: x <> '{ANY}')), {LEAST_FIXED})),
+common as (
+  select c.leaf, c.template from classes c join near n using (leaf, line) group by c.leaf, c.template having count(distinct n.body) >= {TEXTS}),
+framed as (
+  select c.leaf || chr(10) || array_to_string(c.template, chr(10)) as class, l.kid, l.body, l.place
+  from classes c semi join common using (leaf, template) join lines l using (line)),
+whole as (
+  select kid, body, unnest(string_split(plain, chr(10))) as raw, generate_subscripts(string_split(plain, chr(10)), 1) as place from one),
+equals as (
+  select kid, body, place, trim(raw, ' ') as line, len(list_filter(string_split(trim(raw, ' '), ' '), lambda x: x <> '')) > {LONG} as long
+  from whole
+  where trim(raw, ' ') <> '' and (len(string_split(trim(raw, ' '), ' ')) < {TOKENS}
+     or len(list_filter(string_split(trim(raw, ' '), ' '), lambda x: x <> '')) > {LONG})),
+again as (
+  select line from equals group by line
+  having count(distinct body) >= case when any_value(long) then {LONG_TEXTS} else {SHORT_TEXTS} end),
 found as (
-  select c.leaf, c.template, l.kid, l.body, l.place from classes c semi join common using (leaf, template) join lines l using (line)),
-ranked as (select *, min(kid) over (partition by leaf, template) as lead_kid from found),
-firsts as (
-  select leaf, template, kid, body, min(place) as place from ranked where kid = lead_kid group by leaf, template, kid, body),
-drops as (select kid, body, place from found anti join firsts using (leaf, template, kid, body, place) group by kid, body, place),
+  select 't' || class as class, kid, body, place from framed
+  union all select 'e' || line, kid, body, place from equals semi join again using (line)),
+ranked as (select *, min(kid) over (partition by class) as lead_kid from found),
+firsts as (select class, kid, body, min(place) as place from ranked where kid = lead_kid group by class, kid, body),
+drops as (select kid, body, place from found anti join firsts using (class, kid, body, place) group by kid, body, place),
 lists as (select kid, body, list(place) as places from drops group by kid, body)
 select doc_id, case when places is null then text else array_to_string(
          list_filter(string_split(b.body, chr(10)), lambda x, i: not list_contains(places, i)), chr(10)) end as text,

@@ -189,7 +189,8 @@ def test_asked_again_with_other_values(spark, docs_of):
 def test_short_null_and_equal_items(spark, docs_of):
     items = ("five words make an item", "too short", None, "", "five words make an item", "1 2 3 4 5 6 7 8 9 10 11 12")
     texts = [(1, "here are five words make an item indeed"), (2, "too short"), (3, "9 9 9 9 9 9 9 9 9 9 9 9 9 9")]
-    assert set(flagged(spark, docs_of, texts, items)) == {(1, 0), (1, 4)}
+    # A short item is held by a text in which it is a whole line.
+    assert set(flagged(spark, docs_of, texts, items)) == {(1, 0), (1, 4), (2, 1)}
     assert flagged(spark, docs_of, [], items) == {} and flagged(spark, docs_of, texts, ()) == {}
 
 
@@ -198,8 +199,49 @@ def test_items_of_numbers_names_or_few_words(spark, docs_of):
     texts = [
         (1, f"a quiz: {items[0]} Think."), (2, "What is 38 * 48 + 12?"), (3, f"cities such as {items[1]} are capitals"),
         (4, "Lima, Quito, Cairo, Tunis, Rabat, Accra, Lagos, Dakar, Nairobi and Harare"), (5, "Please name three primes now"), (6, "name three other primes"),
+        (7, "A quiz\n  name three primes\nand more"), (8, "It begins. Name three primes! It ends."), (9, "Name three. Primes"), (None, "Name three primes"),
     ]
-    assert set(flagged(spark, docs_of, texts, items)) == {(1, 0), (3, 1), (5, 2)}
+    # The short item counts as a whole line or sentence only.
+    assert set(flagged(spark, docs_of, texts, items)) == {(1, 0), (3, 1), (7, 2), (8, 2), (None, 2)}
+    assert flagged(spark, docs_of, [(1, "well yes that is so"), (2, "Yes.")], ("Yes",)).keys() == {(2, 0)}
+
+
+def test_one_map_of_values_over_the_whole_item(spark, docs_of):
+    item = "If Tom has 5 apples and 12 pears so how many pieces of fruit does Tom have in all when Tom gives 3 of them to his friend Ben"
+    asked = item.replace("Tom", "Rosa").replace("Ben", "Karl")
+    texts = [
+        (1, asked.replace("5", "9").replace("12", "9")),  # two numbers fall together
+        (2, f"so {asked}".replace("Rosa", "Anna", 1).replace("does", "ever does")),  # Anna first, Rosa after an inserted word
+        (3, asked.replace("does", "ever does")), (4, asked.replace("Karl", "Rosa")),  # one name for two
+        (5, f"{asked} and again {item.replace('Tom', 'Anna')}"),
+    ]
+    got = flagged(spark, docs_of, texts, (item,))
+    assert {1, 3, 5} <= {d for d, _ in got} and (2, 0) not in got
+    assert got[1, 0][0] == got[1, 0][1]
+    if (4, 0) in got:  # only the part without the second name
+        assert got[4, 0][0] < got[4, 0][1]
+
+
+def test_recall_of_questions_asked_again(spark, docs_of):
+    """Generated questions, each asked again with other names, numbers and units
+    inside other text: at least nine of ten are found, other texts are not."""
+    rng = random.Random(8)
+    names, things, verbs, places = "Tom Anna Rosa Karl Ben Ida Max Eva".split(), "apples pears books coins stamps shells".split(), "buys sells finds loses".split(), "market station harbour school".split()
+    frame = "In the morning {a} {v} {x} {t} at the {p} and later {b} carries {y} {t} over {z} {u} to the old house. How many {t} do {a} and {b} have together when {a} gives {w} of them away?"
+
+    def filled(k, seed):
+        r, q = random.Random(k), random.Random(seed)
+        words = {"v": r.choice(verbs), "t": r.choice(things), "p": r.choice(places)}
+        a, b = q.sample(names, 2)
+        values = {"a": a, "b": b, "x": q.randrange(2, 90), "y": q.randrange(2, 90), "z": q.choice(["3", "4.5", "1,200", "17"]), "u": q.choice(["km", "miles", "feet"]), "w": q.randrange(2, 9)}
+        return frame.format(**words, **values)
+
+    items = [filled(k, f"item {k}") + f" {' '.join(rng.sample(things, 3))} number question {chr(97 + k)}" for k in range(20)]
+    texts = [(k, f"Some text before it. {filled(k, f'text {k}')} {items[k].split('?')[1].strip()} and after it.") for k in range(20)]
+    texts += [(100 + k, "words of another kind that ask for nothing " * 5) for k in range(5)]
+    got = flagged(spark, docs_of, texts, items)
+    assert sum((k, k) in got for k in range(20)) >= 18
+    assert not {d for d, _ in got if d >= 100} and all(got[k, k][2] for k in range(20) if (k, k) in got)
 
 
 def test_names_that_start_sentences_and_numbers_with_separators(spark, docs_of):
@@ -324,6 +366,7 @@ def test_equal_lines_recur_in_few_texts_if_long(spark, docs_of):
     assert [n for d, _, n in got if 100 <= d < 200] == [0] + [1] * 29
     assert all("rare words" in x and "\n\n" in x for d, x, _ in got if 100 < d < 129)
     assert [n for d, _, n in got if d >= 200] == [0, 0]
+    assert rows_of(["doc_id", "text", "lines_dropped"], got) == template_oracle(rows)
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -376,7 +419,7 @@ def test_pipeline_runs_on_odd_and_empty_tables(spark, docs_of, tmp_path):
 
 def test_registry_names_and_order():
     names = list(registry.queries())
-    assert [n for n in names if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert [n for n in names if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "line_dedup", "minhash_near_dedup", "benchmark_decontamination", "best_fit_packing",
     ]
