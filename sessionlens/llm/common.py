@@ -115,6 +115,20 @@ def counted(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+# Keys that hold a larger part of a join's rows than 1 / HEAVY (so at most HEAVY
+# of them) are joined by broadcast.
+HEAVY = 1024
+
+
+def joined(big: DataFrame, small: DataFrame, on: list[str], heavy: Column) -> DataFrame:
+    """Inner join with ``small``, which has one row for each key and at most
+    ``HEAVY`` rows that are ``heavy``; those are broadcast, so that a key with a
+    large part of ``big`` stays spread over its tasks."""
+    hot = F.broadcast(small.where(heavy))
+    rest = big.join(hot.select(*on), on, "left_anti").join(small.where(~heavy), on)
+    return big.join(hot, on).unionByName(rest)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Adds ``kid`` (the id, ``NO_ID`` for null), ``print`` (a hash of the
     text) and ``body`` (the text, empty for null): rows that agree in kid and

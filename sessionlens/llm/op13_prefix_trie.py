@@ -20,7 +20,7 @@ nodes that their owners bring along, the words of all distinct nodes below are
 the owned ends of the paths. So no level-by-level iteration is needed, however
 deep the trie is.
 
-Keys that hold over 1/``HEAVY`` of the rows of a join (at most ``HEAVY`` of
+Keys that hold over 1/``common.HEAVY`` of the rows of a join (at most ``HEAVY`` of
 them, by count) are joined by broadcast, the rest by shuffle; all groupings
 combine before the shuffle. The list of a node's ends is digested from written
 pieces of ``END_IDS`` ids: SHA-256 runs from left to right, so one task reads a
@@ -44,11 +44,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import prepare, record_batch, stored, table
+from sessionlens.llm.common import HEAVY, joined, prepare, record_batch, stored, table
 
 GROUP = 20  # conversations that share the first turns of the first of them
 MOST_SHARED = 3  # first turns that can be shared
-HEAVY = 1024
 END_IDS = 4096
 # Primes below 2^31 and a base for each of them.
 PRIMES = (2147483647, 2147483629, 2147483587, 2147483579)
@@ -218,15 +217,6 @@ def rebuilt(turns: DataFrame) -> DataFrame:
     return convs.withColumns(whole).select(*kept)
 
 
-def joined(big: DataFrame, small: DataFrame, on: list[str], heavy: Column) -> DataFrame:
-    """Inner join with ``small``, which has one row for each key and at most
-    ``HEAVY`` rows that are ``heavy``; those are broadcast, so that a key with a
-    large part of ``big`` stays spread over its tasks."""
-    hot = F.broadcast(small.where(heavy))
-    rest = big.join(hot.select(*on), on, "left_anti").join(small.where(~heavy), on)
-    return big.join(hot, on).unionByName(rest)
-
-
 def _prefixes(turns: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:
     """Every prefix of the chosen conversations, the empty one included: (rep,
     weight, depth, total, d, ka, kb, words up to it, words of its last turn)."""

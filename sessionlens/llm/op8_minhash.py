@@ -15,10 +15,14 @@ agree in a whole band share a bucket.
    band at most: pairs grow with members, not with their square.
 3. The rest: in a bucket whose members are still in several components, those
    outside its largest component are compared with all members of other
-   components, each pair in its first common band alone; a pair is made only
-   where sizes, sketches and, for small sets, the sets' 32-bit hashes allow the
-   threshold. Together with the stars this leaves no
-   pair of a bucket undecided that could join two components.
+   components; a pair is made only where sizes, sketches and, for small sets,
+   the sets' 32-bit hashes allow the threshold. Together with the stars this
+   leaves no pair of a bucket undecided that could join two components.
+
+Texts are read twice, once for signatures and once, for members of a bucket of
+two or more, for their full sets; the sets are kept for all steps. Ids that say
+which rows to read are broadcast if they are counted to be few; beyond that the
+join shuffles.
 
 The chance that a pair at the threshold shares no bucket is
 (1 - 0.85^5)^32 = 7e-9 (at 0.8: 3e-6); a pair below a sketch's bound is at the threshold with
@@ -49,7 +53,8 @@ SHARE = 85  # per cent
 STAGE_SHINGLE, STAGE_SHARE = 5, 80  # of the pipeline's stage
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
-SHORT_SET = 512  # shingles of a set that the last step compares as a whole
+SHORT_SET = 256  # shingles of a set that the last step compares as a whole
+CENTRE_MEMBERS = 512  # members that one task compares with a centre
 _TRIES = 2048
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
@@ -101,83 +106,92 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 _SIG = pa.schema([
     ("doc_id", pa.int64()), ("print", pa.int64()), ("n_shingles", pa.int64()), ("print_a", pa.int64()), ("print_b", pa.int64()),
-    ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int16())),
+    ("bands", pa.list_(pa.int64())),
 ])
-_SIG_DDL = "doc_id long, print long, n_shingles long, print_a long, print_b long, bands array<long>, sketch array<short>"
+_SIG_DDL = "doc_id long, print long, n_shingles long, print_a long, print_b long, bands array<long>"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, prints_a, prints_b, bands, sketches = [], [], [], [], []
+        n, prints_a, prints_b, bands = [], [], [], []
         for text in b.column("raw").to_pylist():
             s = shingle_set(text, size)
             n.append(len(s))
             prints_a.append(int(mix64(s + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)))
             prints_b.append(int(mix64(s ^ _WORD_FACTORS[63]).sum(dtype=np.uint64).view(np.int64)))
-            if len(s):
-                values = signature(s)
-                bands.append(band_keys(values).view(np.int64))
-                sketches.append((values & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16))
-            else:
-                bands.append(None)
-                sketches.append(None)
+            bands.append(band_keys(signature(s)).view(np.int64) if len(s) else None)
         yield record_batch({
-            "doc_id": b.column("doc_id"), "print": b.column("print"), "n_shingles": n, "print_a": prints_a, "print_b": prints_b, "bands": bands, "sketch": sketches,
+            "doc_id": b.column("doc_id"), "print": b.column("print"), "n_shingles": n, "print_a": prints_a, "print_b": prints_b, "bands": bands,
         }, _SIG)
 
 
-_SET = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+_SET = pa.schema([
+    ("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int16())), ("short", pa.list_(pa.int32())), ("shingles", pa.binary()),
+])
+_SET_DDL = "doc_id long, print long, n long, sketch array<short>, short array<int>, shingles binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = [shingle_set(text, size).astype("<u8").tobytes() for text in b.column("raw").to_pylist()]
-        yield record_batch({"doc_id": b.column("doc_id"), "shingles": out}, _SET)
-
-
-_SHORT = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("short", pa.list_(pa.int32()))])
-
-
-def _short_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Sets of ``SHORT_SET`` shingles at most, as 32-bit hashes; null above."""
+    """The whole set of each text, 16 bits of each bin's value, and sets of
+    ``SHORT_SET`` shingles at most as 32-bit hashes (null above)."""
     for b in batches:
         sets = [shingle_set(text, size) for text in b.column("raw").to_pylist()]
-        short = [s.astype(np.uint32).view(np.int32) if len(s) <= SHORT_SET else None for s in sets]
-        yield record_batch({"rep": b.column("doc_id"), "n": [len(s) for s in sets], "short": short}, _SHORT)
+        yield record_batch({
+            "doc_id": b.column("doc_id"), "print": b.column("print"), "n": [len(s) for s in sets],
+            "sketch": [(signature(s) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16) if len(s) else None for s in sets],
+            "short": [s.astype(np.uint32).view(np.int32) if len(s) <= SHORT_SET else None for s in sets],
+            "shingles": [s.astype("<u8").tobytes() for s in sets],
+        }, _SET)
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+def _alike(x: np.ndarray, y: np.ndarray, share: int) -> bool:
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(small):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int((large[at] == small).sum())
+    return 100 * common >= share * (len(small) + len(large) - common)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (a, part, member): a centre's sets, then its members'."""
+    centre, sets = None, []
     for batch in batches:
         a, b = [], []
-        for x, y, sx, sy in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b")), strict=True):
-            small, large = sorted((np.frombuffer(sx, "<u8"), np.frombuffer(sy, "<u8")), key=len)
-            if not len(small):
-                continue
-            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            common = int((large[at] == small).sum())
-            if 100 * common >= share * (len(small) + len(large) - common):
-                a.append(x)
-                b.append(y)
-        yield record_batch({"a": a, "b": b}, _PAIR)
+        for c, part, member, doc, raw in zip(*(batch.column(n).to_pylist() for n in ("a", "part", "member", "doc_id", "shingles")), strict=True):
+            own = np.frombuffer(raw, "<u8")
+            if (c, part) != centre:
+                centre, sets = (c, part), []
+            if not member:
+                sets.append(own)
+            elif any(_alike(own, s, share) for s in sets):
+                a.append(c)
+                b.append(doc)
+        if a:
+            yield record_batch({"a": a, "b": b}, _PAIR)
 
 
 def _close_sizes(x, y, share: int):
     return 100 * F.least(x, y) >= share * F.greatest(x, y)
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, size: int, share: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. Sets are built
-    from the texts of the paired documents alone."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").select("doc_id", "raw")
-    sets = stored(texts.mapInArrow(lambda it: _sets(it, size), "doc_id long, shingles binary"), "minhash-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(lambda it: _confirm(it, share), "a long, b long").distinct()
+def confirm(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
+    """The distinct pairs (a, b) whose full sets reach the threshold. A
+    member's set travels to its centre ``a`` once for each pair, a centre's own
+    set once for ``CENTRE_MEMBERS`` members, so that no centre is one task."""
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CENTRE_MEMBERS).cast("int").alias("parts"))
+    parts = counted(stored(parts, "minhash-parts"))
+    routed = counted(stored(pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), "b"), "minhash-routed"))
+    of = sets.select("doc_id", "shingles")
+    centres = of.join(parts.withColumnRenamed("a", "doc_id"), "doc_id").select(
+        F.col("doc_id").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), "doc_id", "shingles"
+    )
+    members = of.join(routed.withColumnRenamed("b", "doc_id"), "doc_id").select("a", "part", F.lit(True).alias("member"), "doc_id", "shingles")
+    dealt = centres.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", "member")
+    return dealt.mapInArrow(lambda it: _confirm(it, share), "a long, b long").distinct()
 
 
 def _sketch_bound(n, share: int):
@@ -199,26 +213,36 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     same = ["print_a", "print_b", "n_shingles"]
     usable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # Map-side aggregation makes a class of any size one row for each task.
-    smallest = usable.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    classes = stored(smallest, "minhash-classes")
-    # Of rows with the same id and the same set one is enough.
-    reps = stored(
-        usable.join(classes.withColumnRenamed("rep", "doc_id"), [*same, "doc_id"]).dropDuplicates([*same, "doc_id"])
-        .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sketch"), "minhash-representatives",
-    )
-    banded = reps.select("rep", F.explode("bands").alias("key"))
-    centres = banded.groupBy("key").agg(
-        F.min("rep").alias("low"), F.min(F.struct(F.xxhash64("rep", "key").alias("rank"), F.col("rep"))).alias("pick"), F.count("*").alias("members")
-    ).where("members > 1").select("key", "low", F.col("pick.rep").alias("centre"))
-    buckets = stored(banded.join(centres, "key"), "minhash-buckets")
-    size_of = stored(reps.groupBy("rep").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "minhash-sizes")
+    first = usable.groupBy(*same).agg(F.min(F.struct("doc_id", "print")).alias("first"))
+    classes = stored(first.select(*same, F.col("first.doc_id").alias("rep"), F.col("first.print").alias("rep_print")), "minhash-classes")
+    # Copies are told apart by ids; the representatives' bands stay where they
+    # are. (A representative's equal rows share its buckets as one member.)
+    ids = usable.select(*same, "doc_id", "print").distinct()
+    copies = ids.join(classes, same).where((F.col("doc_id") != F.col("rep")) | (F.col("print") != F.col("rep_print"))).select("doc_id", "print")
+    copies = counted(stored(copies, "minhash-copies"))
+    banded = usable.join(copies, ["doc_id", "print"], "left_anti").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
+    # A bucket is of use if it has two members: its smallest one is not its largest.
+    met = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", "low")
+    members = stored(banded.join(met, "key").distinct(), "minhash-members")
+    centres = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", "key").alias("rank"), F.col("rep"))).alias("pick"))
+    buckets = stored(members.join(centres.select("key", F.col("pick.rep").alias("centre")), "key"), "minhash-buckets")
+    # The full sets of the members, from their texts; both are read once.
+    of_class = classes.select(F.col("rep").alias("doc_id"), F.col("rep_print").alias("print"))
+    wanted = of_class.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").distinct()
+    wanted = counted(stored(wanted, "minhash-wanted"))
+    texts = rows.join(wanted, ["doc_id", "print"], "left_semi")
+    sets = texts.mapInArrow(lambda it: _sets(it, size), _SET_DDL)
+    if not usable.groupBy("doc_id", "print").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        sets = sets.groupBy("doc_id", "print").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "short", "shingles")])  # equal rows
+    sets = stored(sets, "minhash-sets")
+    size_of = stored(sets.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "minhash-sizes")
 
     def confirmed(edges: DataFrame, name: str) -> DataFrame:
         a, b = (size_of.select(F.col("rep").alias(x), F.struct("least_n", "most_n").alias(f"n_{x}")) for x in "ab")
         near = edges.distinct().join(a, "a").join(b, "b").where(
             (100 * F.col("n_a.most_n") >= share * F.col("n_b.least_n")) & (100 * F.col("n_b.most_n") >= share * F.col("n_a.least_n"))
         )
-        return stored(confirm(rows, stored(near.select("a", "b"), name), size, share), f"{name}-links")
+        return stored(confirm(sets, stored(near.select("a", "b"), name), share), f"{name}-links")
 
     # First with each bucket's smallest member: a large group mostly shares it
     # over all bands, so a member is compared a few times.
@@ -235,9 +259,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     if not more.isEmpty():
         links = links.unionByName(more)
         found = stored(components(links), "minhash-components")
-    rest = stored(_undecided(rows, reps, buckets, found, size, share), "minhash-rest")
+    rest = stored(_undecided(sets, buckets, found, share), "minhash-rest")
     if not rest.isEmpty():
-        more = stored(confirm(rows, rest, size, share), "minhash-more")
+        more = stored(confirm(sets, rest, share), "minhash-more")
         if not more.isEmpty():
             found = stored(components(links.unionByName(more)), "minhash-components")
     component = classes.join(found, classes["rep"] == found["node"], "left").select(*same, F.coalesce("label", "rep").alias("component"))
@@ -271,24 +295,17 @@ def _same_id(usable: DataFrame, classes: DataFrame, same: list[str]) -> DataFram
     return reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
 
 
-def _undecided(rows: DataFrame, reps: DataFrame, buckets: DataFrame, found: DataFrame, size: int, share: int) -> DataFrame:
+def _undecided(sets: DataFrame, buckets: DataFrame, found: DataFrame, share: int) -> DataFrame:
     """Pairs of a bucket in different components, neither its centre, at least
-    one outside the bucket's largest component; each in one bucket only."""
+    one outside the bucket's largest component."""
     member = buckets.drop("low").join(found, buckets["rep"] == found["node"], "left").select(
         "key", "rep", "centre", F.coalesce("label", "rep").alias("component")
     )
     groups = member.groupBy("key", "component").agg(F.count("*").alias("members"))
     core = groups.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("top")).where("parts > 1")
-    mixed = member.join(core.select("key", F.col("top.component").alias("core")), "key").where("rep != centre").join(reps, "rep")
-    mixed = stored(mixed, "minhash-mixed")
-    ids = mixed.select(F.col("rep").alias("id")).distinct()
-    short = rows.join(ids, rows["doc_id"] == ids["id"], "left_semi").select("doc_id", "raw").mapInArrow(
-        lambda it: _short_sets(it, size), "rep long, n long, short array<int>"
-    )
-    # An id with several sets of one size shows none of them.
-    short = short.groupBy("rep", "n").agg(F.min("short").alias("lo"), F.max("short").alias("hi"))
-    short = short.select("rep", "n", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("short"))
-    mixed = stored(mixed.join(short, ["rep", "n"], "left"), "minhash-mixed")
+    mixed = member.join(core.select("key", F.col("top.component").alias("core")), "key").where("rep != centre")
+    # The payload is attached once: an id's size, sketch and small set.
+    mixed = stored(mixed.join(sets.select(F.col("doc_id").alias("rep"), "n", "sketch", "short"), "rep"), "minhash-mixed")
     o = mixed.where("component != core").alias("o")
     m = mixed.alias("m")
     equal = F.size(F.filter(F.zip_with("o.sketch", "m.sketch", lambda x, y: x == y), lambda x: x))
@@ -296,14 +313,13 @@ def _undecided(rows: DataFrame, reps: DataFrame, buckets: DataFrame, found: Data
     # the common part look larger but for a collision inside a set: one spare).
     common = F.size(F.array_intersect("o.short", "m.short")) + 1
     alike = F.coalesce(100 * common >= share * (F.col("o.n") + F.col("m.n") - common), F.lit(True))
-    first_band = F.element_at(F.filter(F.zip_with("o.bands", "m.bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 1)
-    joined = o.join(m, (
+    joined_ = o.join(m, (
         (F.col("o.key") == F.col("m.key")) & (F.col("o.component") != F.col("m.component"))
         & ((F.col("m.component") == F.col("m.core")) | (F.col("o.rep") < F.col("m.rep")))
         & _close_sizes(F.col("o.n"), F.col("m.n"), share)
-        & (equal >= BINS * _sketch_bound(F.least("o.n", "m.n"), share)) & (first_band == F.col("o.key")) & alike
+        & (equal >= BINS * _sketch_bound(F.least("o.n", "m.n"), share)) & alike
     ))
-    return joined.select(F.least("o.rep", "m.rep").alias("a"), F.greatest("o.rep", "m.rep").alias("b")).distinct()
+    return joined_.select(F.least("o.rep", "m.rep").alias("a"), F.greatest("o.rep", "m.rep").alias("b")).distinct()
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
