@@ -2,9 +2,9 @@
 
 Purchasing sessions -> per user (shuffle on user, partial aggregation) ->
 three global quintiles. The quintiles are the one global ordering in the
-pipeline; all three are computed in one round by ``ntiles_distributed``
-(operators/ntile.py). Ties are broken by ``user_pseudo_id`` ascending so the
-tiles are deterministic.
+pipeline; their limits are found by counting (operators/quantiles.py), so a user
+is written once and never sorted but among ties. Ties are broken by
+``user_pseudo_id`` ascending so the tiles are deterministic.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sessionlens import config as C
 from sessionlens.functions import days_since, exact_sum
 from sessionlens.operators.ntile import ntile, ntiles_distributed
+from sessionlens.operators.quantiles import ntiles_by_counting
 
 
 def rfm_purchases(sessions: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def rfm_user(sessions: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def rfm_scored(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str = "distributed") -> DataFrame:
+def rfm_scored(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str = "counting") -> DataFrame:
     """Adds r_score (most recent = 5), f_score and m_score (highest = 5)."""
     users = rfm_user(sessions, as_of)
     tie = F.col("user_pseudo_id").asc()
@@ -47,7 +48,10 @@ def rfm_scored(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str =
         "f_score": [F.col("frequency").asc(), tie],
         "m_score": [F.col("monetary_usd").asc(), tie],
     }
-    if method == "distributed":
+    if method == "counting":
+        values = {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": F.col("monetary_usd")}
+        users = ntiles_by_counting(users, n_tiles, values, "user_pseudo_id")
+    elif method == "distributed":
         users = ntiles_distributed(users, n_tiles, specs, "user_pseudo_id")
     else:
         for out, order in specs.items():
@@ -73,5 +77,5 @@ def with_segment(scored: DataFrame) -> DataFrame:
     return scored.withColumn("segment", segment_of(F.col("r_score"), F.col("f_score")))
 
 
-def rfm_segments(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str = "distributed") -> DataFrame:
+def rfm_segments(sessions: DataFrame, as_of: str, n_tiles: int = 5, method: str = "counting") -> DataFrame:
     return with_segment(rfm_scored(sessions, as_of, n_tiles, method))

@@ -40,11 +40,20 @@ def test_sessions_hash_aggregate_over_events(build):
     assert "partial_count" in plan
 
 
-def test_rfm_has_no_single_partition_sort(spark):
-    df = E.queries()["rfm_scored"](spark, SF0001)
-    plan = plan_of(df)
-    # After the checkpointed sorts only the per-partition offsets (bounded)
-    # cross a single-partition exchange.
+def test_rfm_scores_are_a_projection_of_written_users(spark):
+    plan = plan_of(E.queries()["rfm_scored"](spark, SF0001))
+    # The limits of the tiles are known: no window, sort, join or shuffle is left.
+    assert "FileScan parquet" in plan
+    assert not [w for w in ("ntile(", "Window", "Sort", "Join", "Exchange", "Aggregate") if w in plan]
+
+
+def test_rfm_by_sorting_has_no_single_partition_sort(spark):
+    from sessionlens.config import Params
+    from sessionlens.catalog import queries
+
+    plan = plan_of(queries(Params(ntile_method="distributed"))["rfm_scored"](spark, SF0001))
+    # After the written sorts only the per-partition offsets (bounded) cross a
+    # single-partition exchange.
     assert "ntile(" not in plan
     assert "BroadcastExchange" in plan
 
