@@ -104,15 +104,23 @@ def record_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-# A side is broadcast only when it was counted and has no more rows than this;
-# beyond, the same join shuffles both sides.
+# A side is broadcast only when it was counted and has no more rows and, if it
+# holds lists, no more bytes than this; beyond, the same join shuffles both sides.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 NO_ID = -(1 << 63)
 
 
 def counted(df: DataFrame) -> DataFrame:
     """A stored table, marked for broadcast if it is small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    if df.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return df
+    lists = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct", "string", "binary")]
+    if lists:
+        held = df.select(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in lists]))).alias("n"))
+        if (held.agg(F.sum("n")).first()[0] or 0) > BROADCAST_BYTES:
+            return df
+    return F.broadcast(df)
 
 
 # Keys that hold a larger part of a join's rows than 1 / HEAVY (so at most HEAVY
@@ -122,8 +130,11 @@ HEAVY = 1024
 
 def joined(big: DataFrame, small: DataFrame, on: list[str], heavy: Column) -> DataFrame:
     """Inner join with ``small``, which has one row for each key and at most
-    ``HEAVY`` rows that are ``heavy``; those are broadcast, so that a key with a
-    large part of ``big`` stays spread over its tasks."""
+    ``HEAVY`` rows that are ``heavy``. A small side that is counted to be small is
+    broadcast; else its heavy rows are, so that a key with a large part of
+    ``big`` stays spread over its tasks, and the rest is joined by shuffle."""
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), on)
     hot = F.broadcast(small.where(heavy))
     rest = big.join(hot.select(*on), on, "left_anti").join(small.where(~heavy), on)
     return big.join(hot, on).unionByName(rest)

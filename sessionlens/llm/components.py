@@ -1,9 +1,10 @@
 """Connected components of a link table, as DataFrame rounds.
 
 Every round takes the smallest label among a node's neighbours and then the
-label of that label (path halving), so labels travel ever longer steps. Hubs and
-labels with a large part of the rows are joined by broadcast (few by count). Each
-round is checkpointed into the shared folder; nothing is collected but counts.
+label of that label (path halving), so labels travel ever longer steps. Labels
+of few nodes (by count) are broadcast; of many, those of hubs and of large
+components are (few by count), and the rest is joined by shuffle. Each round is
+checkpointed into the shared folder; nothing is collected but counts.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens import runtime
-from sessionlens.llm.common import HEAVY, joined
+from sessionlens.llm.common import BROADCAST_ROWS, HEAVY, joined
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,19 +23,28 @@ def components(links: DataFrame) -> DataFrame:
     links = links.where(F.col("a") != F.col("b")).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
     edges = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     met = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("degree")).checkpoint()
-    many = met.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0] / HEAVY
+    n, ends = met.agg(F.count("*"), F.coalesce(F.sum("degree"), F.lit(0))).first()
     degree = met.select(F.col("node").alias("b"), "degree")
     labels = met.select("node", F.least("node", "m").alias("label"))
     while True:
-        # The labels of a node's neighbours; a hub has a large part of the edges.
-        given = labels.withColumnRenamed("node", "b").join(degree, "b")
-        lowest = joined(edges, given, ["b"], F.col("degree") >= many).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        stepped = labels.join(lowest, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")).checkpoint()
+        # The labels of a node's neighbours and its own; a hub has a large part
+        # of the edges.
+        given = labels.select(F.col("node").alias("b"), "label")
+        if n <= BROADCAST_ROWS:
+            told = edges.join(F.broadcast(given), "b")
+        else:
+            told = joined(edges, given.join(degree, "b"), ["b"], F.col("degree") >= ends / HEAVY)
+        own = labels.select("node", "label", F.col("label").alias("old"))
+        told = told.select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("old")).unionByName(own)
+        stepped = told.groupBy("node").agg(F.min("label").alias("label"), F.max("old").alias("old")).checkpoint()
         # The label's own label; a large component's label has many rows.
-        held = stepped.groupBy("label").agg(F.count("*").alias("held"))
-        further = stepped.select(F.col("node").alias("label"), F.col("label").alias("further")).join(held, "label").checkpoint()
-        nodes = further.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0] / HEAVY
-        moved = joined(stepped, further, ["label"], F.col("held") >= nodes).select("node", "old", F.least("label", "further").alias("label")).checkpoint()
+        further = stepped.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        if n <= BROADCAST_ROWS:
+            moved = stepped.join(F.broadcast(further), "label")
+        else:
+            held = stepped.groupBy("label").agg(F.count("*").alias("held"))
+            moved = joined(stepped, further.join(held, "label"), ["label"], F.col("held") >= n / HEAVY)
+        moved = moved.select("node", "old", F.least("label", "further").alias("label")).checkpoint()
         labels = moved.select("node", "label")
         if moved.where(F.col("old") != F.col("label")).isEmpty():
             return labels

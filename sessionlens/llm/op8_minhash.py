@@ -15,7 +15,7 @@ agree in a whole band share a bucket.
    band at most: pairs grow with members, not with their square.
 3. The rest: in a bucket whose members are still in several components, those
    outside its largest component are compared with all members of other
-   components; a pair is made only where sizes, sketches and, for small sets,
+   components, each pair in its first common band alone; a pair is made only where sizes, sketches and, for small sets,
    the sets' 32-bit hashes allow the threshold. Together with the stars this
    leaves no pair of a bucket undecided that could join two components.
 
@@ -53,7 +53,7 @@ SHARE = 85  # per cent
 STAGE_SHINGLE, STAGE_SHARE = 5, 80  # of the pipeline's stage
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
-SHORT_SET = 256  # shingles of a set that the last step compares as a whole
+SHORT_SET = 512  # shingles of a set that the last step compares as a whole
 CENTRE_MEMBERS = 512  # members that one task compares with a centre
 _TRIES = 2048
 
@@ -126,19 +126,22 @@ def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
 
 
 _SET = pa.schema([
-    ("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int16())), ("short", pa.list_(pa.int32())), ("shingles", pa.binary()),
+    ("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int16())),
+    ("short", pa.list_(pa.int32())), ("shingles", pa.binary()),
 ])
-_SET_DDL = "doc_id long, print long, n long, sketch array<short>, short array<int>, shingles binary"
+_SET_DDL = "doc_id long, print long, n long, bands array<long>, sketch array<short>, short array<int>, shingles binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The whole set of each text, 16 bits of each bin's value, and sets of
-    ``SHORT_SET`` shingles at most as 32-bit hashes (null above)."""
+    """The whole set of each text, its band keys, 16 bits of each bin's value,
+    and sets of ``SHORT_SET`` shingles at most as 32-bit hashes (null above)."""
     for b in batches:
         sets = [shingle_set(text, size) for text in b.column("raw").to_pylist()]
+        bins = [signature(s) if len(s) else None for s in sets]
         yield record_batch({
             "doc_id": b.column("doc_id"), "print": b.column("print"), "n": [len(s) for s in sets],
-            "sketch": [(signature(s) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16) if len(s) else None for s in sets],
+            "bands": [None if v is None else band_keys(v).view(np.int64) for v in bins],
+            "sketch": [None if v is None else (v & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16) for v in bins],
             "short": [s.astype(np.uint32).view(np.int32) if len(s) <= SHORT_SET else None for s in sets],
             "shingles": [s.astype("<u8").tobytes() for s in sets],
         }, _SET)
@@ -213,27 +216,23 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     same = ["print_a", "print_b", "n_shingles"]
     usable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # Map-side aggregation makes a class of any size one row for each task.
-    first = usable.groupBy(*same).agg(F.min(F.struct("doc_id", "print")).alias("first"))
-    classes = stored(first.select(*same, F.col("first.doc_id").alias("rep"), F.col("first.print").alias("rep_print")), "minhash-classes")
+    classes = stored(usable.groupBy(*same).agg(F.min("doc_id").alias("rep")), "minhash-classes")
     # Copies are told apart by ids; the representatives' bands stay where they
-    # are. (A representative's equal rows share its buckets as one member.)
+    # are. (Several rows of a representative share its buckets as one member.)
     ids = usable.select(*same, "doc_id", "print").distinct()
-    copies = ids.join(classes, same).where((F.col("doc_id") != F.col("rep")) | (F.col("print") != F.col("rep_print"))).select("doc_id", "print")
-    copies = counted(stored(copies, "minhash-copies"))
+    copies = counted(stored(ids.join(classes, same).where("doc_id != rep").select("doc_id", "print"), "minhash-copies"))
     banded = usable.join(copies, ["doc_id", "print"], "left_anti").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
     # A bucket is of use if it has two members: its smallest one is not its largest.
     met = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", "low")
     members = stored(banded.join(met, "key").distinct(), "minhash-members")
-    centres = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", "key").alias("rank"), F.col("rep"))).alias("pick"))
-    buckets = stored(members.join(centres.select("key", F.col("pick.rep").alias("centre")), "key"), "minhash-buckets")
+    centres = members.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", "key")).alias("centre"))
+    buckets = stored(members.join(centres, "key"), "minhash-buckets")
     # The full sets of the members, from their texts; both are read once.
-    of_class = classes.select(F.col("rep").alias("doc_id"), F.col("rep_print").alias("print"))
-    wanted = of_class.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").distinct()
-    wanted = counted(stored(wanted, "minhash-wanted"))
-    texts = rows.join(wanted, ["doc_id", "print"], "left_semi")
+    wanted = counted(stored(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-wanted"))
+    texts = rows.join(wanted, "doc_id", "left_semi")
     sets = texts.mapInArrow(lambda it: _sets(it, size), _SET_DDL)
     if not usable.groupBy("doc_id", "print").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        sets = sets.groupBy("doc_id", "print").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "short", "shingles")])  # equal rows
+        sets = sets.groupBy("doc_id", "print").agg(*[F.first(c).alias(c) for c in ("n", "bands", "sketch", "short", "shingles")])  # equal rows
     sets = stored(sets, "minhash-sets")
     size_of = stored(sets.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "minhash-sizes")
 
@@ -297,7 +296,8 @@ def _same_id(usable: DataFrame, classes: DataFrame, same: list[str]) -> DataFram
 
 def _undecided(sets: DataFrame, buckets: DataFrame, found: DataFrame, share: int) -> DataFrame:
     """Pairs of a bucket in different components, neither its centre, at least
-    one outside the bucket's largest component."""
+    one outside the bucket's largest component; each pair in its first common
+    band alone."""
     member = buckets.drop("low").join(found, buckets["rep"] == found["node"], "left").select(
         "key", "rep", "centre", F.coalesce("label", "rep").alias("component")
     )
@@ -305,7 +305,7 @@ def _undecided(sets: DataFrame, buckets: DataFrame, found: DataFrame, share: int
     core = groups.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("top")).where("parts > 1")
     mixed = member.join(core.select("key", F.col("top.component").alias("core")), "key").where("rep != centre")
     # The payload is attached once: an id's size, sketch and small set.
-    mixed = stored(mixed.join(sets.select(F.col("doc_id").alias("rep"), "n", "sketch", "short"), "rep"), "minhash-mixed")
+    mixed = stored(mixed.join(sets.select(F.col("doc_id").alias("rep"), "n", "bands", "sketch", "short"), "rep"), "minhash-mixed")
     o = mixed.where("component != core").alias("o")
     m = mixed.alias("m")
     equal = F.size(F.filter(F.zip_with("o.sketch", "m.sketch", lambda x, y: x == y), lambda x: x))
@@ -313,11 +313,12 @@ def _undecided(sets: DataFrame, buckets: DataFrame, found: DataFrame, share: int
     # the common part look larger but for a collision inside a set: one spare).
     common = F.size(F.array_intersect("o.short", "m.short")) + 1
     alike = F.coalesce(100 * common >= share * (F.col("o.n") + F.col("m.n") - common), F.lit(True))
+    first_band = F.element_at(F.filter(F.zip_with("o.bands", "m.bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 1)
     joined_ = o.join(m, (
         (F.col("o.key") == F.col("m.key")) & (F.col("o.component") != F.col("m.component"))
         & ((F.col("m.component") == F.col("m.core")) | (F.col("o.rep") < F.col("m.rep")))
         & _close_sizes(F.col("o.n"), F.col("m.n"), share)
-        & (equal >= BINS * _sketch_bound(F.least("o.n", "m.n"), share)) & alike
+        & (equal >= BINS * _sketch_bound(F.least("o.n", "m.n"), share)) & (first_band == F.col("o.key")) & alike
     ))
     return joined_.select(F.least("o.rep", "m.rep").alias("a"), F.greatest("o.rep", "m.rep").alias("b")).distinct()
 
