@@ -15,7 +15,8 @@ score every row as a sparse dot product, in one projection of the documents.
 Defined results: a null or empty text scores by the intercept alone; no labels
 (or an empty table of them) give every text 0.5; a label that is null is no
 label; if an id has several labels, their mean decides (0.5 counts as 1); a
-null doc_id is never labelled; repeated rows are scored each; other columns
+null doc_id is never labelled; rows of one labelled id are one example in
+training (the text of the smallest hash) and are scored each; other columns
 pass by.
 """
 
@@ -174,19 +175,26 @@ def _train(group: pd.DataFrame) -> pd.DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights, the intercept last, from labelled rows outside the held-out fold."""
     prepare(docs.sparkSession)
-    sample = (
+    labelled = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .where(remainder("doc_id", FOLDS) != HELD_OUT)
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
         .withColumn("rank", F.xxhash64("doc_id"))
     )
-    # The lowest ranks; those that cannot be among them stay where they are.
-    share = min(1.0, 1.5 * SAMPLE_ROWS / max(1, labels.count()))
-    sample = sample.where(F.col("rank") <= int(share * ((1 << 64) - 1)) - (1 << 63) if share < 1 else F.lit(True))
-    sample = sample.orderBy("rank", "doc_id").limit(SAMPLE_ROWS)
-    sample = stored(sample, "quality-sample")
+    labelled = stored(labelled, "quality-labelled")
+    # The lowest ranks; those that cannot be among them stay where they are. The
+    # share is of the ids that can be chosen; should it leave too few, all are asked.
+    ids = labelled.count()
+    share = min(1.0, 1.5 * SAMPLE_ROWS / max(1, ids))
+    sample = labelled.where(F.col("rank") <= int(share * ((1 << 64) - 1)) - (1 << 63)) if share < 1 else labelled
+    sample = stored(sample.orderBy("rank", "doc_id").limit(SAMPLE_ROWS), "quality-sample")
+    if sample.count() < min(ids, SAMPLE_ROWS):
+        sample = stored(labelled.orderBy("rank", "doc_id").limit(SAMPLE_ROWS), "quality-sample")
     shards = max(1, sample.count() // SHARD_ROWS)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw")).join(F.broadcast(sample), "doc_id")
+    # An id is one example, however many rows it has: of its rows the text of
+    # the smallest hash teaches. Equal rows combine before the shuffle.
+    chosen = chosen.groupBy("doc_id", "rank", "label").agg(F.min_by("raw", F.xxhash64("raw")).alias("raw"))
     rows = chosen.select(F.pmod(F.xxhash64("rank"), F.lit(shards)).cast("int").alias("shard"), "rank", "label", "raw").mapInArrow(
         _featurise, "shard int, rank long, label int, slots binary, values binary"
     )

@@ -162,3 +162,23 @@ def test_fingerprints_on_the_tables(spark):
         got = op9.fingerprints(table(spark, SF001, "documents"), ranges).collect()
         check_fingerprints(rows, got)
     assert sum(r.near_edited > r.near_next for r in got) / len(got) > 0.97
+
+
+def test_quality_sample_is_full_whatever_else_the_labels_hold(spark, docs_of, monkeypatch):
+    """Null, held-out and repeated labels do not use up the sample."""
+    monkeypatch.setattr(op3, "SAMPLE_ROWS", 60)
+    seen = []
+    kept = op3.stored
+    monkeypatch.setattr(op3, "stored", lambda df, name: seen.append((name, kept(df, name))) or seen[-1][1])
+    docs = docs_of([(i, f"text number {i} of many") for i in range(400)])
+    rows = [(i, i % 2) for i in range(400)] * 30 + [(i, None) for i in range(5000)]
+    op3.fit(docs, spark.createDataFrame(rows, "doc_id long, quality int"))
+    assert [df.count() for name, df in seen if name == "quality-sample"][-1] == 60
+
+
+def test_an_id_is_one_example_in_training(spark, docs_of):
+    rows = [(i, f"{'good plain words here' if i % 2 else '### !!! 123'} number {i}") for i in range(1, 60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality int")
+    once = op3.fit(docs_of(rows), labels)
+    again = op3.fit(docs_of(rows + [rows[6]] * 3000 + [rows[11]] * 500), labels)
+    assert (once == again).all()
