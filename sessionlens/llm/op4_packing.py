@@ -36,8 +36,7 @@ END_ID = 1
 NEARLY = 32
 GROUP_ITEMS = 100_000
 GROUP_BYTES = 32 << 20
-MOST_ROUNDS = 12
-GAIN = 0.01  # a round that saves a smaller share of its bins is the last
+IDLE = 10_000  # a round that saves no more than one in so many open bins saves nothing
 
 PIECE = np.dtype([("doc", "<i8"), ("null", "u1"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")])
 _BIN = pa.schema([("sequence_id", pa.int64()), ("fill", pa.int32()), ("members", pa.binary())])
@@ -90,8 +89,8 @@ def pieces(texts: list[bytes], docs: list[int | None], path: str | None, end_id:
     return np.array(out, PIECE)
 
 
-def _local(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    base, made, held, count = TaskContext.get().partitionId() << 36, 0, [], 0
+def _local(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, capacity: int, group_items: int) -> Iterator[pa.RecordBatch]:
+    base, made, held, count = TaskContext.get().partitionId() << 32, 0, [], 0
 
     def pack() -> pa.RecordBatch:
         items = np.concatenate(held)
@@ -104,42 +103,75 @@ def _local(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, cap
         for lo, hi in chunks([len(t) for t in texts], 2 << 20):
             held.append(pieces(texts[lo:hi], ids[lo:hi], path, end_id, capacity))
             count += len(held[-1])
-        if count >= GROUP_ITEMS:
+        if count >= group_items:
             yield (out := pack())
             made, held, count = made + out.num_rows, [], 0
     if held:
         yield pack()
 
 
-def _merge(capacity: int, base: int):
+def _merge(capacity: int, round_: int):
+    """Numbers of a round's bins: 6 bits of the round, 32 of the group, 24 of
+    the bin (a group has fewer items); after round 63 they may meet those of
+    earlier rounds, so the bins finished by then would have to be numbered anew."""
+    if round_ > 63:
+        raise ValueError("more than 63 rounds of packing")
+
     def merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("sequence_id")
-        out = _bins(group["fill"].to_numpy(np.int64), group["members"].tolist(), base + (int(key[0]) << 36), capacity)
+        first = (round_ << 56) + (int(key[0]) << 24)
+        out = _bins(group["fill"].to_numpy(np.int64), group["members"].tolist(), first, capacity)
         return out.to_pandas()
 
     return merge
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+def _by_fill(open_bins: DataFrame, capacity: int, group_items: int, group_bytes: int) -> tuple[DataFrame, int]:
+    """``open_bins`` with ``group``: fills next to each other, and with them
+    their complements, fill groups up to the bounds; a fill with more is dealt
+    to several groups. From a histogram of at most ``capacity`` lines."""
+    near = F.least("fill", F.lit(capacity) - F.col("fill"))
+    lines = open_bins.groupBy(near.alias("near")).agg(F.count("*").alias("n"), F.sum(F.length("members")).alias("size")).orderBy("near").collect()
+    deal, group, n, size = [], 0, 0, 0
+    for line in lines:
+        parts = max(1, -(-line.n // group_items), -(-line.size // group_bytes))
+        if n and (parts > 1 or n + line.n > group_items or size + line.size > group_bytes):
+            group, n, size = group + 1, 0, 0
+        deal.append((line.near, group, parts))
+        n, size = n + line.n, size + line.size
+        if parts > 1:
+            group, n, size = group + parts, 0, 0
+    groups = group + (n > 0)
+    where = F.broadcast(open_bins.sparkSession.createDataFrame(deal, "near int, first int, parts int"))
+    dealt = open_bins.withColumn("near", near.cast("int")).join(where, "near")
+    return dealt.withColumn("group", F.col("first") + F.pmod(F.xxhash64("sequence_id"), F.col("parts"))).drop("near", "first", "parts"), groups
+
+
+def pack(
+    docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY, nearly: int = NEARLY,
+    group_items: int = GROUP_ITEMS, group_bytes: int = GROUP_BYTES,
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each
     piece of each row of ``docs``."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw"))
-    bins = stored(rows.mapInArrow(lambda it: _local(it, tokenizer, end_id, capacity), _BIN_DDL), "packing-0")
-    nearly = capacity - NEARLY
-    finished, groups = [], None
-    for k in range(1, MOST_ROUNDS + 1):
-        open_bins = bins.where(F.col("fill") < nearly)
+    bins = stored(rows.mapInArrow(lambda it: _local(it, tokenizer, end_id, capacity, group_items), _BIN_DDL), "packing-0")
+    full = capacity - nearly
+    finished, round_, idle, groups = [], 0, 0, None
+    while True:
+        open_bins = bins.where(F.col("fill") < full)
         n, size = open_bins.agg(F.count("*"), F.coalesce(F.sum(F.length("members")), F.lit(0))).first()
-        bound = max(1, -(-n // GROUP_ITEMS), -(-size // GROUP_BYTES))
-        if n <= 1 or groups == 1:
-            break
-        groups = bound
-        finished.append(bins.where(F.col("fill") >= nearly))
-        dealt = open_bins.withColumn("group", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)))
-        bins = stored(dealt.groupBy("group").applyInPandas(_merge(capacity, k << 58), _BIN_DDL), f"packing-{k}")
-        if groups > 1 and bins.count() > n * (1 - GAIN):
+        if n <= 1 or groups == 1 or idle == 2:
             break
+        round_ += 1
+        groups = max(1, -(-n // group_items), -(-size // group_bytes))
+        if groups > 1 and round_ % 2 == 0:
+            dealt, groups = _by_fill(open_bins, capacity, group_items, group_bytes)
+        else:
+            dealt = open_bins.withColumn("group", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)))
+        finished.append(bins.where(F.col("fill") >= full))
+        bins = stored(dealt.groupBy("group").applyInPandas(_merge(capacity, round_), _BIN_DDL), f"packing-{round_}")
+        idle = idle + 1 if n - bins.count() <= n // IDLE else 0
     for done in finished:
         bins = bins.unionByName(done)
     return bins.select("sequence_id", "members").mapInArrow(

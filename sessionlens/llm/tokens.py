@@ -16,8 +16,8 @@ import public_tokenizers
 from sessionlens.llm.common import chunks
 
 TOKENIZER = "word_bpe_49k.json"
-GENERATION_WORDS = 200_000  # words that a generation of the cache holds
-GENERATION_BYTES = 16 << 20
+GENERATION_WORDS = 500_000  # words that a generation of the cache holds
+GENERATION_BYTES = 32 << 20
 _CHUNK_BYTES = 2 << 20
 _SLICE_WORDS = 8192  # words that the library encodes at once
 

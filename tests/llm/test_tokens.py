@@ -137,10 +137,28 @@ def test_packing_query_on_the_tables(spark):
     check_packing(rows, op4.query(spark, SF0001).collect(), 4096, 1, 1.02)
 
 
-def test_packing_in_many_groups(spark, docs_of, monkeypatch):
-    monkeypatch.setattr(op4, "GROUP_ITEMS", 16)
-    rows = [(i, "word " * (i * 37 % 90)) for i in range(400)]
-    check_packing(rows, op4.pack(docs_of(rows).repartition(4), capacity=100).collect(), 100, 1, 1.15)
+def test_packing_in_many_groups(spark, docs_of):
+    """Small groups in many rounds need at most 1 per cent more sequences than
+    one group that holds everything."""
+    rng = np.random.default_rng(11)
+    sizes = np.concatenate([rng.integers(1, 2040, 700), rng.integers(900, 1150, 500), rng.integers(1, 60, 300)])
+    rows = [(i, "word " * int(n)) for i, n in enumerate(sizes)]
+    docs = docs_of(rows).repartition(6)
+    few = op4.pack(docs, capacity=2048, nearly=2, group_items=60).collect()
+    check_packing(rows, few, 2048, 1, 1.1)
+    whole = op4.pack(docs, capacity=2048, nearly=2).collect()
+    assert len({r.sequence_id for r in few}) <= 1.01 * len({r.sequence_id for r in whole})
+
+
+def test_complements_meet_in_one_group(spark):
+    bins = [(i, f, bytes(10)) for i, f in enumerate([30] * 50 + [70] * 50 + [49] * 500 + [51] * 3 + [5, 95])]
+    dealt, groups = op4._by_fill(spark.createDataFrame(bins, "sequence_id long, fill int, members binary"), 100, 120, 1 << 20)
+    got = defaultdict(list)
+    for r in dealt.collect():
+        got[r.group].append(r.fill)
+    assert set(got) == set(range(groups)) and sum(map(len, got.values())) == len(bins)
+    assert sorted(next(g for g in got.values() if 30 in g)) == [5] + [30] * 50 + [70] * 50 + [95]
+    assert sum(49 in g for g in got.values()) >= 4 and all(len(g) <= 170 for g in got.values())
 
 
 @settings(max_examples=60, deadline=None)
