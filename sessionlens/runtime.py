@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,14 +83,26 @@ def written_tables() -> list[str]:
     return list(_WRITTEN)
 
 
-def drop_tables(spark: SparkSession) -> None:
-    """Delete the materialised tables, once nothing reads them any more (the
-    end of a build). Folders of other sessions are never touched."""
-    while _WRITTEN:
+def drop_tables(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the materialised tables but the first ``keep``, once nothing reads
+    them any more (the end of a build). Folders of other sessions are never
+    touched."""
+    while len(_WRITTEN) > keep:
         path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that queries write inside the block are deleted at its end; what
+    the block returns has to be written or collected by then."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        drop_tables(spark, keep=before)
+
+
 # Settings for the cluster target (~100 TB of raw events, ~1000 executors).
 # AQE sizes shuffle partitions from map-output statistics, so the initial
 # partition count only has to be high enough for the largest shuffle (the

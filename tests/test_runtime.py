@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sessionlens import runtime
 from sessionlens.runtime import CLUSTER_SETTINGS, configure, materialize, shared_dir, table_path
 
 
@@ -28,3 +29,16 @@ def test_materialize_round_trip(spark):
 def test_cluster_settings_never_guess_broadcasts():
     assert CLUSTER_SETTINGS["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert CLUSTER_SETTINGS["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_tables_of_a_scope_go_at_its_end(spark):
+    import os
+
+    kept = runtime.materialize(spark.range(3), "outside")
+    outside = runtime.written_tables()[-1]
+    with runtime.table_scope(spark):
+        inside = runtime.materialize(spark.range(4), "inside")
+        path = runtime.written_tables()[-1].removeprefix("file:")
+        assert inside.count() == 4 and os.path.isdir(path)
+    assert not os.path.exists(path)
+    assert runtime.written_tables()[-1] == outside and kept.count() == 3
