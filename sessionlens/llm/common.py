@@ -91,13 +91,21 @@ def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as the cluster's file system names it, with its scheme: a path
+    without one means the default file system, not a machine's disk."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """Arrow's file system for a path or URI of the shared folder."""
+    """Arrow's file system for a qualified path. A scheme that Arrow does not
+    know is refused; nothing is ever taken for a local path by default."""
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    if "://" not in path:
+        raise ValueError(f"{path!r} names no file system that Arrow knows")
+    return pafs.FileSystem.from_uri(path)
 
 
 def record_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:

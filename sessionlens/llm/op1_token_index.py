@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sessionlens import runtime
-from sessionlens.llm.common import chunks, filesystem, mix64, prepare, raw_text, record_batch, stored, table
+from sessionlens.llm.common import chunks, filesystem, mix64, prepare, qualified, raw_text, record_batch, stored, table
 from sessionlens.llm.tokens import encoder
 
 MAGIC = b"TIDX0001"
@@ -217,6 +217,7 @@ def write_index(docs: DataFrame, folder: str, tokenizer: str | None = None, end_
     with a row for each shard in key order: ``shard`` (from 0), its file, its
     first and last key, and ``base``, the ids of all shards before it."""
     prepare(docs.sparkSession)
+    folder = qualified(docs.sparkSession, folder)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("raw"), F.col("raw")]
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw"))
@@ -255,6 +256,7 @@ def read_index(manifest: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, copy) of every stored document,
     each found through its shard's index; a task a shard (``READERS`` at most
     at once)."""
+    folder = qualified(manifest.sparkSession, folder)
     n = max(1, min(manifest.count(), READERS))
     rows = manifest.select("name", "base", (F.col("shard") % n).cast("int").alias("reader")).repartitionById(n, "reader")
     return rows.select("name", "base").mapInArrow(
@@ -265,6 +267,7 @@ def read_index(manifest: DataFrame, folder: str) -> DataFrame:
 def fetch(manifest: DataFrame, folder: str, doc_ids: Iterable[int]) -> dict[int, np.ndarray | None]:
     """The ids of a few documents (their first copy; None: not stored)."""
     out: dict[int, np.ndarray | None] = {}
+    folder = qualified(manifest.sparkSession, folder)
     for doc in doc_ids:
         own = manifest.where((F.col("first_doc") <= doc) & (F.col("last_doc") >= doc) | (F.col("first_null") == 1)).orderBy("shard")
         out[doc] = None

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF0001
 from sessionlens import runtime
+from sessionlens.llm import common
 from sessionlens.llm import op1_token_index as op1
 from sessionlens.llm import op4_packing as op4
 from sessionlens.llm import op6_token_counts as op6
@@ -96,6 +97,14 @@ def test_index_query_on_the_tables(spark):
         at += len(ids)
 
 
+def test_paths_without_a_known_file_system_are_refused(spark, tmp_path):
+    assert common.qualified(spark, str(tmp_path)).startswith("file:/")
+    assert common.filesystem(common.qualified(spark, str(tmp_path)))[1] == str(tmp_path)
+    for path in ("dbfs:/x/y", "/a/plain/path", "nosuch://x/y"):
+        with pytest.raises((ValueError, OSError)):
+            common.filesystem(path)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.sets(st.integers(0, 2**64 - 1), max_size=400))
 def test_perfect_hash_is_one_to_one(keys):
