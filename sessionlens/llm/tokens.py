@@ -20,6 +20,7 @@ GENERATION_WORDS = 500_000  # words that a generation of the cache holds
 GENERATION_BYTES = 32 << 20
 _CHUNK_BYTES = 2 << 20
 _SLICE_WORDS = 8192  # words that the library encodes at once
+_JOINED_WORDS = 512  # words that are joined to one text
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -31,6 +32,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
+        self.separator = special[-1] if special else None
         # Two generations: a word that is met again moves to the young one, and
         # when that is full it becomes the old one, whose other words go.
         self.young: dict[bytes, bytes] = {}
@@ -50,10 +53,34 @@ class WordEncoder:
                 self.held += len(w)
         for a in range(0, len(new), _SLICE_WORDS):
             part = new[a : a + _SLICE_WORDS]
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.young.update(zip(part, (np.array(e.ids, self.dtype).tobytes() for e in encoded), strict=True))
+            self.young.update(zip(part, self._encode_words(part), strict=True))
             self.held += sum(map(len, part))
 
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_words(self, part: list[bytes]) -> list[bytes]:
+        """The ids of each word. Words are joined by a special token, at which
+        the library cuts a text, and the ids are cut at its id again: fewer and
+        longer calls. Where the cuts are not one less than the words (a word
+        holds the token itself), words are encoded one by one."""
+        words = [w.decode("utf-8", "replace") for w in part]
+        if self.separator is None:
+            return self._one_by_one(words)
+        groups = [words[a : a + _JOINED_WORDS] for a in range(0, len(words), _JOINED_WORDS)]
+        encoded = self.tokenizer.encode_batch_fast([self.separator.join(g) for g in groups], add_special_tokens=False)
+        mark, width = self.tokenizer.token_to_id(self.separator), self.dtype.itemsize
+        out: list[bytes] = []
+        for group, e in zip(groups, encoded, strict=True):
+            ids = np.array(e.ids, self.dtype)
+            cuts = np.flatnonzero(ids == mark) * width
+            if len(cuts) != len(group) - 1 or any(self.separator in w for w in group):
+                out += self._one_by_one(group)
+                continue
+            raw = ids.tobytes()
+            out += [raw[i:j] for i, j in zip([0, *(cuts + width).tolist()], [*cuts.tolist(), len(raw)], strict=True)]
+        return out
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian ``dtype``."""
         out: list[bytes] = []

@@ -35,8 +35,11 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(max_size=40), max_size=6))
+TRICKY = ("<|endoftext|>", "<|endoftext|", "a<|endoftext|>b", "<|", "|>", "<|startoftext|>", "\xa0", "x\xa0", "\u3000y", "don't", "i'll", "3.5", "é", "ÉÈ", "word", "\x00", "ﬁ", "你好")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=40), st.lists(st.sampled_from(TRICKY), max_size=12).map(" ".join)), max_size=6))
 def test_words_encode_like_whole_texts(texts):
     enc = WordEncoder(PATH)
     got = [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode([t.encode("utf-8", "replace") for t in texts])]
