@@ -105,3 +105,18 @@ def test_no_conversations(spark):
 def test_whole_table(spark):
     df = table(spark, SF0001, "conversations")
     assert sorted(map(tuple, op13.query(spark, SF0001).collect())) == brute([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
+
+
+def test_large_sides_are_joined_by_shuffle(spark, monkeypatch):
+    """Beyond the broadcast limit heavy keys are broadcast and the rest shuffled,
+    with the same result."""
+    from sessionlens.llm import common
+    from sessionlens.llm import components as components_
+
+    for module, name, value in ((common, "BROADCAST_ROWS", 0), (components_, "BROADCAST_ROWS", 0), (op13, "HEAVY", 20), (components_, "HEAVY", 8)):
+        monkeypatch.setattr(module, name, value)
+    rows = random_rows(5, 40) + [(c, t, "user", "the same") for c in range(200, 240) for t in range(3)]
+    assert built(spark.createDataFrame(rows, TURNS)) == brute(rows)
+    links = [(i, i + 1) for i in range(100, 130)] + [(5, i) for i in range(10, 60)]
+    got = {r.node: r.label for r in components_.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(100, 131)}, 5: 5, **{i: 5 for i in range(10, 60)}}
