@@ -70,11 +70,18 @@ def canonical_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(named), f"[^\\p{{L}}\\p{{N}}{MARK}]+"), "")
 
 
+def separated(text: Column) -> Column:
+    """Whether a number of the text may have a separator."""
+    return text.rlike("[0-9][.,][0-9]")
+
+
 def marked_words(text: Column) -> Column:
     """Words of the second reading, in which a capitalised word that the first
     reading takes literally has the type letter s. Digits with single dots or
     commas between them are one number."""
-    plain = F.regexp_replace(F.translate(text, f"{MARK}{INNER}", "  "), "(?<=[0-9])[.,](?=[0-9])", INNER)
+    # Replacements that a text has no use for are not tried on it.
+    plain = F.replace(F.replace(text, F.lit(MARK), F.lit(" ")), F.lit(INNER), F.lit(" "))
+    plain = F.when(separated(text), F.regexp_replace(plain, "(?<=[0-9])[.,](?=[0-9])", INNER)).otherwise(plain)
     numbered = F.regexp_replace(plain, f"[0-9]+(?:{INNER}[0-9]+)*", f"{MARK}d$0")
     units = F.regexp_replace(numbered, f"(?i)({MARK}d[0-9{INNER}]+) ?({'|'.join(UNITS)})(?![\\p{{L}}\\p{{N}}])", f"$1 {MARK}u$2")
     named = F.regexp_replace(units, r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{Ll}+", f"{MARK}n$0")
@@ -230,7 +237,7 @@ def _long(docs: DataFrame, wanted: DataFrame, kinds: list[tuple[int, int]], shar
     used = sorted({k for _, k in kinds})
     # One cut into words serves both readings unless a number has separators.
     texts = keyed(docs).select("kid", "print", "body", marked_words(body).alias("marked"))
-    first = F.when(body.rlike("[0-9][.,][0-9]"), canonical_words(body)).otherwise(F.col("marked"))
+    first = F.when(separated(body), canonical_words(body)).otherwise(F.col("marked"))
     texts = texts.select("kid", "print", "marked", first.alias("first"))
     hashed = texts.select("kid", "print", *[word_hashes(F.col("marked" if k == SECOND else "first"), k).alias(f"hashes_{k}") for k in used])
     each = F.concat(*[window_hashes(f"hashes_{k}", w, k) for w, k in kinds])
