@@ -66,7 +66,7 @@ def canonical_words(text: Column) -> Column:
     """Words in order; a placeholder is ``MARK``, its type letter and its value."""
     numbered = F.regexp_replace(text, "[0-9]+", f"{MARK}d$0")
     units = F.regexp_replace(numbered, f"(?i)({MARK}d[0-9]+) ?({'|'.join(UNITS)})(?![\\p{{L}}\\p{{N}}])", f"$1 {MARK}u$2")
-    named = F.regexp_replace(units, r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{Ll}+", f"{MARK}n$0")
+    named = F.regexp_replace(units, r"\p{Lu}(?<=[\p{L}\p{N},;:] \p{Lu})\p{Ll}+", f"{MARK}n$0")
     return F.array_remove(F.split(F.lower(named), f"[^\\p{{L}}\\p{{N}}{MARK}]+"), "")
 
 
@@ -84,9 +84,11 @@ def marked_words(text: Column) -> Column:
     plain = F.when(separated(text), F.regexp_replace(plain, "(?<=[0-9])[.,](?=[0-9])", INNER)).otherwise(plain)
     numbered = F.regexp_replace(plain, f"[0-9]+(?:{INNER}[0-9]+)*", f"{MARK}d$0")
     units = F.regexp_replace(numbered, f"(?i)({MARK}d[0-9{INNER}]+) ?({'|'.join(UNITS)})(?![\\p{{L}}\\p{{N}}])", f"$1 {MARK}u$2")
-    named = F.regexp_replace(units, r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{Ll}+", f"{MARK}n$0")
-    starts = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}{MARK}])\p{{Lu}}\p{{Ll}}+", f"{MARK}s$0")
-    return F.array_remove(F.split(F.lower(starts), f"[^\\p{{L}}\\p{{N}}{MARK}{INNER}]+"), "")
+    # The rarer sign comes first and is looked back from: a look back at every
+    # place of the text costs most of the reading.
+    capitals = F.regexp_replace(units, rf"\p{{Lu}}(?<![\p{{L}}\p{{N}}{MARK}]\p{{Lu}})\p{{Ll}}+", f"{MARK}s$0")
+    named = F.regexp_replace(capitals, rf"{MARK}s(?<=[\p{{L}}\p{{N}},;:] {MARK}s)", f"{MARK}n")
+    return F.array_remove(F.split(F.lower(named), f"[^\\p{{L}}\\p{{N}}{MARK}{INNER}]+"), "")
 
 
 def whole_words(text: Column) -> Column:
@@ -121,10 +123,21 @@ def _salted(hashes: Column, kind: int) -> Column:
     return F.xxhash64(hashes) if kind == TEMPLATE else F.xxhash64(hashes, F.lit(kind))
 
 
-def window_hashes(hashes: str, width: int, kind: int = TEMPLATE) -> Column:
-    """The hash of each window of ``width`` words, from the hashes of a column
-    of words, in order."""
-    return F.transform(_starts(hashes, width), lambda i: _salted(F.slice(hashes, i, width), kind))
+def window_hashes(hashed: DataFrame, kinds: list[tuple[int, int]]) -> DataFrame:
+    """(kid, print, hash): the hash of each window of each (width, kind), from
+    the hashes of a text's words in ``hashes_<kind>``. A row for each place is
+    made first: the hash of a window is then generated code over a few longs,
+    the same value as that of the slice, which would be interpreted."""
+    sizes = [F.size(f"hashes_{k}") - (w - 1) for w, k in kinds]
+    places = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+    placed = hashed.select("*", F.explode(F.when(places > 0, F.sequence(F.lit(0), places - 1))).alias("place"))
+
+    def window(width: int, kind: int) -> Column:
+        held = [F.get(f"hashes_{kind}", F.col("place") + i) for i in range(width)]
+        salt = [] if kind == TEMPLATE else [F.lit(kind)]
+        return F.when(F.col("place") + width <= F.size(f"hashes_{kind}"), F.xxhash64(*held, *salt))
+
+    return placed.select("kid", "print", F.explode(F.array(*[window(w, k) for w, k in kinds])).alias("hash")).where(F.col("hash").isNotNull())
 
 
 def _slots(window: Column) -> Column:
@@ -240,8 +253,7 @@ def _long(docs: DataFrame, wanted: DataFrame, kinds: list[tuple[int, int]], shar
     first = F.when(separated(body), canonical_words(body)).otherwise(F.col("marked"))
     texts = texts.select("kid", "print", "marked", first.alias("first"))
     hashed = texts.select("kid", "print", *[word_hashes(F.col("marked" if k == SECOND else "first"), k).alias(f"hashes_{k}") for k in used])
-    each = F.concat(*[window_hashes(f"hashes_{k}", w, k) for w, k in kinds])
-    found = hashed.select("kid", "print", F.explode(each).alias("hash"))
+    found = window_hashes(hashed, kinds)
     sought = wanted.groupBy("item", "second", "hash", "kind").agg(F.count("*").alias("copies"), F.max("windows").alias("windows"), F.max("templates").alias("templates"))
     hits = found.join(counted(stored(sought, "decontamination-sought")), "hash").groupBy("kid", "print", "item", "second", "hash", "kind").agg(
         F.max("copies").alias("copies"), F.max("windows").alias("windows"), F.max("templates").alias("templates")

@@ -164,6 +164,30 @@ def test_canonical_words(spark):
         assert [w if isinstance(w, str) else op5.MARK + w[0] + w[1] for w in plain_words(texts[r.i])] == r.w
 
 
+def test_window_hashes_of_places(spark):
+    """Hashes made place by place are those of the windows as arrays."""
+    rows = spark.createDataFrame([(1, 0, [5, 6, 7, 8], [1, 2, 3]), (2, 0, [], [9]), (3, 0, [4], []), (4, 0, [3, 3, 3], [3, 3, 3])], "kid long, print long, hashes_0 array<long>, hashes_2 array<long>")
+    kinds = [(3, 0), (2, 2), (1, 0)]
+    got = sorted(tuple(r) for r in op5.window_hashes(rows, kinds).select("kid", "hash").collect())
+
+    def whole(width, kind):
+        return F.transform(op5._starts(f"hashes_{kind}", width), lambda i: op5._salted(F.slice(f"hashes_{kind}", i, width), kind))
+
+    cut = [whole(w, k) for w, k in kinds]
+    assert got == sorted(tuple(r) for r in rows.select("kid", F.explode(F.concat(*cut)).alias("hash")).collect()) and len(got) == 15
+
+
+def test_capitals_inside_and_at_the_start(spark):
+    """Capitalised words in the second reading, beside letters and other signs."""
+    texts = {
+        "Then Ann, Bob: Éva met 5 Km off. New York City-Hall McDonald (Tom) x\nAda": "sthen nann nbob néva met d5 ukm off snew nyork ncity shall nmcdonald stom x sada",
+        "A Bc 3Dx 1.5 kg 2 İx": "a nbc d3dx d1\u00025 ukg d2 ni x",
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", op5.marked_words(F.col("t")).alias("w")).collect()
+    for r in rows:
+        assert " ".join(w.replace(op5.MARK, "") for w in r.w) == " ".join(texts[r.t].split()), r.w
+
+
 ITEM = "If Tom buys 5 apples and 12 pears for 30 dollars at the market how many pieces of fruit does Tom have in his basket"
 
 
