@@ -50,6 +50,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return runtime.materialize(df, f"llm-{name}")
 
 
+# A shuffle has as many partitions as the session says, whatever it holds; a
+# table of few rows is not written by more tasks than its rows need.
+PART_ROWS = 2_000
+LEAST_PARTS = 12
+
+
+def parts_of(rows: int) -> int:
+    """The number of partitions for ``coalesce``, which only lowers it."""
+    return max(LEAST_PARTS, -(-rows // PART_ROWS))
+
+
 def raw_text(col: str = "text") -> Column:
     """The text's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")

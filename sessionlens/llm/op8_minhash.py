@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import ascii_words, counted, keyed, mix64, prepare, record_batch, stored, table, whole_rows
+from sessionlens.llm.common import ascii_words, counted, keyed, mix64, parts_of, prepare, record_batch, stored, table, whole_rows
 from sessionlens.llm.components import components
 
 SHINGLE = 3
@@ -54,7 +54,7 @@ STAGE_SHINGLE, STAGE_SHARE = 5, 80  # of the pipeline's stage
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 SHORT_SET = 512  # shingles of a set that the last step compares as a whole
-CENTRE_MEMBERS = 512  # members that one task compares with a centre
+CENTRE_MEMBERS = 512  # members that one task compares with a centre, and of a block
 _TRIES = 2048
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
@@ -182,28 +182,30 @@ def _close_sizes(x, y, share: int):
 
 
 def confirm(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
-    """The distinct pairs (a, b) whose full sets reach the threshold. A
-    member's set travels to its centre ``a`` once for each pair, a centre's own
-    set once for ``CENTRE_MEMBERS`` members, so that no centre is one task."""
+    """The distinct pairs (a, b) whose full sets reach the threshold; ``pairs``
+    are stored. A member's set travels to its centre ``a`` once for each pair,
+    a centre's own set once for ``CENTRE_MEMBERS`` members, so that no centre is
+    one task."""
+    few = parts_of(2 * pairs.count())
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CENTRE_MEMBERS).cast("int").alias("parts"))
-    parts = counted(stored(parts, "minhash-parts"))
-    routed = counted(stored(pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), "b"), "minhash-routed"))
+    parts = counted(stored(parts.coalesce(few), "minhash-parts"))
+    routed = counted(stored(pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), "b").coalesce(few), "minhash-routed"))
     of = sets.select("doc_id", "shingles")
     centres = of.join(parts.withColumnRenamed("a", "doc_id"), "doc_id").select(
         F.col("doc_id").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), "doc_id", "shingles"
     )
     members = of.join(routed.withColumnRenamed("b", "doc_id"), "doc_id").select("a", "part", F.lit(True).alias("member"), "doc_id", "shingles")
-    dealt = centres.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", "member")
+    dealt = centres.unionByName(members).repartition("a", "part").coalesce(few).sortWithinPartitions("a", "part", "member")
     return dealt.mapInArrow(lambda it: _confirm(it, share), "a long, b long").distinct()
 
 
-def _sketch_bound(n, share: int):
+def _sketch_bound(n: np.ndarray, share: int) -> np.ndarray:
     """The smallest share of equal bins that a set of ``n`` shingles at the
     threshold can be expected to show: 6.5 standard deviations under it, on as
     many independent bins as such a set fills."""
-    filled = BINS * (1 - F.exp(-n / BINS))
+    filled = BINS * (1 - np.exp(-n / BINS))
     p = share / 100
-    return p - 6.5 * F.sqrt(F.lit(p * (1 - p)) / filled)
+    return p - 6.5 * np.sqrt(p * (1 - p) / filled)
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) -> DataFrame:
@@ -213,41 +215,46 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     prepare(docs.sparkSession)
     rows = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "print", F.col("body").cast("binary").alias("raw"))
     signed = stored(rows.mapInArrow(lambda it: _signatures(it, size), _SIG_DDL), "minhash-signatures")
+    few = parts_of(signed.count())
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return stored(df.coalesce(few), name)
+
     same = ["print_a", "print_b", "n_shingles"]
     usable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # Map-side aggregation makes a class of any size one row for each task.
-    classes = stored(usable.groupBy(*same).agg(F.min("doc_id").alias("rep")), "minhash-classes")
+    classes = written(usable.groupBy(*same).agg(F.min("doc_id").alias("rep")), "minhash-classes")
     # Copies are told apart by ids; the representatives' bands stay where they
     # are. (Several rows of a representative share its buckets as one member.)
     ids = usable.select(*same, "doc_id", "print").distinct()
-    copies = counted(stored(ids.join(classes, same).where("doc_id != rep").select("doc_id", "print"), "minhash-copies"))
+    copies = counted(written(ids.join(classes, same).where("doc_id != rep").select("doc_id", "print"), "minhash-copies"))
     banded = usable.join(copies, ["doc_id", "print"], "left_anti").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
     # A bucket is of use if it has two members: its smallest one is not its largest.
     met = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", "low")
-    members = stored(banded.join(met, "key").distinct(), "minhash-members")
+    members = written(banded.join(met, "key").distinct(), "minhash-members")
     centres = members.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", "key")).alias("centre"))
-    buckets = stored(members.join(centres, "key"), "minhash-buckets")
+    buckets = written(members.join(centres, "key"), "minhash-buckets")
     # The full sets of the members, from their texts; both are read once.
-    wanted = counted(stored(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-wanted"))
+    wanted = counted(written(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-wanted"))
     texts = rows.join(wanted, "doc_id", "left_semi")
     sets = texts.mapInArrow(lambda it: _sets(it, size), _SET_DDL)
     if not usable.groupBy("doc_id", "print").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         sets = sets.groupBy("doc_id", "print").agg(*[F.first(c).alias(c) for c in ("n", "bands", "sketch", "short", "shingles")])  # equal rows
-    sets = stored(sets, "minhash-sets")
-    size_of = stored(sets.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "minhash-sizes")
+    sets = written(sets, "minhash-sets")
+    size_of = written(sets.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "minhash-sizes")
 
     def confirmed(edges: DataFrame, name: str) -> DataFrame:
         a, b = (size_of.select(F.col("rep").alias(x), F.struct("least_n", "most_n").alias(f"n_{x}")) for x in "ab")
         near = edges.distinct().join(a, "a").join(b, "b").where(
             (100 * F.col("n_a.most_n") >= share * F.col("n_b.least_n")) & (100 * F.col("n_b.most_n") >= share * F.col("n_a.least_n"))
         )
-        return stored(confirm(sets, stored(near.select("a", "b"), name), share), f"{name}-links")
+        return written(confirm(sets, written(near.select("a", "b"), name), share), f"{name}-links")
 
     # First with each bucket's smallest member: a large group mostly shares it
     # over all bands, so a member is compared a few times.
     star = confirmed(buckets.where("rep != low").select(F.col("low").alias("a"), F.col("rep").alias("b")), "minhash-first")
-    links = stored(star.unionByName(_same_id(usable, classes, same)), "minhash-links")
-    found = stored(components(links), "minhash-components")
+    links = written(star.unionByName(_same_id(usable, classes, same)), "minhash-links")
+    found = written(components(links), "minhash-components")
     # Then with a member that a hash picks in each bucket, where the two are
     # not in one component yet.
     of_rep, of_centre = (found.select(F.col("node").alias(n), F.col("label").alias(f"of_{n}")) for n in ("rep", "centre"))
@@ -257,12 +264,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) ->
     more = confirmed(apart.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")), "minhash-second")
     if not more.isEmpty():
         links = links.unionByName(more)
-        found = stored(components(links), "minhash-components")
-    rest = stored(_undecided(sets, buckets, found, share), "minhash-rest")
+        found = written(components(links), "minhash-components")
+    rest = written(_undecided(sets, buckets, found, share, few), "minhash-rest")
     if not rest.isEmpty():
-        more = stored(confirm(sets, rest, share), "minhash-more")
+        more = written(confirm(sets, rest, share), "minhash-more")
         if not more.isEmpty():
-            found = stored(components(links.unionByName(more)), "minhash-components")
+            found = written(components(links.unionByName(more)), "minhash-components")
     component = classes.join(found, classes["rep"] == found["node"], "left").select(*same, F.coalesce("label", "rep").alias("component"))
     out = signed.join(component, same, "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -294,33 +301,92 @@ def _same_id(usable: DataFrame, classes: DataFrame, same: list[str]) -> DataFram
     return reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
 
 
-def _undecided(sets: DataFrame, buckets: DataFrame, found: DataFrame, share: int) -> DataFrame:
+class _Block:
+    """Members of a bucket outside its largest component, that others of the
+    bucket are compared with."""
+
+    def __init__(self, rows: list[dict], share: int):
+        self.share, self.key, self.core = share, rows[0]["key"], rows[0]["core"]
+        self.rep, self.component, self.n = (np.array([r[c] for r in rows], np.int64) for c in ("rep", "component", "n"))
+        self.bands = np.array([r["bands"] for r in rows], np.int64)
+        self.sketch = np.array([r["sketch"] for r in rows], np.int16)
+        self.long = np.array([r["short"] is None for r in rows])
+        short = [np.unique(np.array(r["short"] or [], np.int32)) for r in rows]
+        values, owner = np.concatenate(short), np.repeat(np.arange(len(rows)), [len(x) for x in short])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], owner[order]
+
+    def common(self, short: list[int]) -> np.ndarray:
+        """How many of these hashes each small set of the block holds."""
+        own = np.unique(np.array(short, np.int32))
+        low, high = np.searchsorted(self.values, own, "left"), np.searchsorted(self.values, own, "right")
+        held = high - low
+        at = np.repeat(low - (np.cumsum(held) - held), held) + np.arange(held.sum())
+        return np.bincount(self.owner[at], minlength=len(self.rep))
+
+    def near(self, m: dict) -> np.ndarray:
+        """The members of the block that may be linked with ``m``; a pair that
+        shares several bands is made in the first alone."""
+        n, share = m["n"], self.share
+        able = (self.component != m["component"]) & ((m["component"] == self.core) | (self.rep < m["rep"]))
+        able &= 100 * np.minimum(self.n, n) >= share * np.maximum(self.n, n)
+        at = np.flatnonzero(able)
+        bands = np.array(m["bands"], np.int64)
+        same = self.bands[at] == bands
+        at = at[same.any(axis=1) & (bands[same.argmax(axis=1)] == self.key)]
+        equal = (self.sketch[at] == np.array(m["sketch"], np.int16)).sum(axis=1)
+        at = at[equal >= BINS * _sketch_bound(np.minimum(self.n[at], n), share)]
+        if len(at) and m["short"] is not None:
+            # Of small sets the whole set is at hand (32-bit hashes, which can
+            # only make the common part look larger but for a collision inside
+            # a set: one spare).
+            common = self.common(m["short"])[at] + 1
+            at = at[self.long[at] | (100 * common >= share * (self.n[at] + n - common))]
+        return at
+
+
+def _compare(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, block, member): a block, then all of its bucket."""
+    at, rows, block = None, [], None
+    for batch in batches:
+        a, b = [], []
+        for r in batch.to_pylist():
+            if (r["key"], r["block"]) != at:
+                at, rows, block = (r["key"], r["block"]), [], None
+            if not r["member"]:
+                rows.append(r)
+                continue
+            if not rows:
+                continue
+            block = block or _Block(rows, share)
+            other = block.rep[block.near(r)]
+            a.append(np.minimum(other, r["rep"]))
+            b.append(np.maximum(other, r["rep"]))
+        if a:
+            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+            yield record_batch({"a": pairs[:, 0], "b": pairs[:, 1]}, _PAIR)
+
+
+def _undecided(sets: DataFrame, buckets: DataFrame, found: DataFrame, share: int, few: int) -> DataFrame:
     """Pairs of a bucket in different components, neither its centre, at least
     one outside the bucket's largest component; each pair in its first common
-    band alone."""
+    band alone. The members outside are dealt into blocks of about
+    ``CENTRE_MEMBERS``, and each block meets the whole bucket in one task."""
     member = buckets.drop("low").join(found, buckets["rep"] == found["node"], "left").select(
         "key", "rep", "centre", F.coalesce("label", "rep").alias("component")
     )
     groups = member.groupBy("key", "component").agg(F.count("*").alias("members"))
     core = groups.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("top")).where("parts > 1")
-    mixed = member.join(core.select("key", F.col("top.component").alias("core")), "key").where("rep != centre")
-    # The payload is attached once: an id's size, sketch and small set.
-    mixed = stored(mixed.join(sets.select(F.col("doc_id").alias("rep"), "n", "bands", "sketch", "short"), "rep"), "minhash-mixed")
-    o = mixed.where("component != core").alias("o")
-    m = mixed.alias("m")
-    equal = F.size(F.filter(F.zip_with("o.sketch", "m.sketch", lambda x, y: x == y), lambda x: x))
-    # Of small sets the whole set is at hand (32-bit hashes, which can only make
-    # the common part look larger but for a collision inside a set: one spare).
-    common = F.size(F.array_intersect("o.short", "m.short")) + 1
-    alike = F.coalesce(100 * common >= share * (F.col("o.n") + F.col("m.n") - common), F.lit(True))
-    first_band = F.element_at(F.filter(F.zip_with("o.bands", "m.bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 1)
-    joined_ = o.join(m, (
-        (F.col("o.key") == F.col("m.key")) & (F.col("o.component") != F.col("m.component"))
-        & ((F.col("m.component") == F.col("m.core")) | (F.col("o.rep") < F.col("m.rep")))
-        & _close_sizes(F.col("o.n"), F.col("m.n"), share)
-        & (equal >= BINS * _sketch_bound(F.least("o.n", "m.n"), share)) & (first_band == F.col("o.key")) & alike
-    ))
-    return joined_.select(F.least("o.rep", "m.rep").alias("a"), F.greatest("o.rep", "m.rep").alias("b")).distinct()
+    mixed = member.join(core.select("key", F.col("top.component").alias("core")), "key").where("rep != centre").drop("centre")
+    mixed = stored(mixed.coalesce(few), "minhash-mixed")
+    blocks = mixed.where("component != core").groupBy("key").agg(F.ceil(F.count("*") / CENTRE_MEMBERS).cast("int").alias("blocks"))
+    placed = mixed.join(counted(stored(blocks.coalesce(few), "minhash-blocks")), "key")
+    outside = placed.where("component != core").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("member", F.lit(False))
+    every = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("member", F.lit(True))
+    # The payload is attached once: an id's size, bands, sketch and small set.
+    both = outside.unionByName(every).drop("blocks").join(sets.select(F.col("doc_id").alias("rep"), "n", "bands", "sketch", "short"), "rep")
+    dealt = both.repartition("key", "block").coalesce(few).sortWithinPartitions("key", "block", "member")
+    return dealt.mapInArrow(lambda it: _compare(it, share), "a long, b long").distinct()
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import os
 import random
 import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import SF001, SF0001
 from oracle_compare import compare, duck, rows_of
+from sessionlens.llm import common
 from sessionlens.llm import op3_quality as op3
 from sessionlens.llm import op4_packing as op4
 from sessionlens.llm import op5_decontamination as op5
@@ -113,6 +116,65 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_few_links_are_few_tasks(spark):
+    """Tables of few rows are not cut into as many files as a shuffle has
+    partitions."""
+    settings = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        links = spark.createDataFrame([(i, i + 1) for i in range(0, 60, 2)] + [(1, 3)], "a long, b long")
+        labels = components(links)
+        assert labels.rdd.getNumPartitions() <= common.LEAST_PARTS
+        got = {r.node: r.label for r in labels.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 if i < 4 else i - i % 2 for i in range(61) if i < 60}
+
+
+def test_blocks_are_compared_like_single_pairs():
+    """Members of a bucket in blocks of any cut: each pair in its first common
+    band, in different components, of like sizes and sets."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    rows = []
+    for i in range(40):
+        s = base[np.sort(rng.choice(len(base), len(base) - int(rng.integers(0, 60)), replace=False))]
+        v = op8.signature(s)
+        rows.append({
+            "key": 0, "rep": i, "component": i % 7, "core": 0, "n": len(s), "bands": op8.band_keys(v).view(np.int64).tolist(),
+            "sketch": (v & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16).tolist(), "short": s.astype(np.uint32).view(np.int32).tolist() if i % 5 else None,
+        })
+    found = 0
+    for share in (80, 85):
+        for key in {b for r in rows for b in r["bands"]}:
+            bucket = [r | {"key": key} for r in rows if key in r["bands"]]
+            outside = [r for r in bucket if r["component"]]
+            expected = set()
+            for o in outside:
+                for m in bucket:
+                    if o["component"] == m["component"] or (m["component"] and m["rep"] <= o["rep"]):
+                        continue
+                    few, many = sorted((o["n"], m["n"]))
+                    filled = op8.BINS * (1 - math.exp(-few / op8.BINS))
+                    bound = share / 100 - 6.5 * math.sqrt(share / 100 * (1 - share / 100) / filled)
+                    first = next(x for x, y in zip(o["bands"], m["bands"], strict=True) if x == y)
+                    held = None if None in (o["short"], m["short"]) else len(set(o["short"]) & set(m["short"])) + 1
+                    if 100 * few >= share * many and first == key and sum(x == y for x, y in zip(o["sketch"], m["sketch"], strict=True)) >= op8.BINS * bound:
+                        if held is None or 100 * held >= share * (few + many - held):
+                            expected.add((min(o["rep"], m["rep"]), max(o["rep"], m["rep"])))
+            got = set()
+            for cut in ([outside[::2], outside[1::2]] if len(outside) > 1 else [outside] if outside else []):
+                block = op8._Block(cut, share)
+                for m in bucket:
+                    got |= {(min(x, m["rep"]), max(x, m["rep"])) for x in block.rep[block.near(m)].tolist()}
+            assert got == expected
+            found += len(got)
+    assert found > 20
+
+
 def test_one_of_each_group_stays(spark, docs_of):
     text = "one two three four five six seven eight"
     rows = [(4, text), (2, text), (2, text), (2, "something else entirely in these five words"), (8, ""), (8, ""), (9, None), (None, text), (1, "")]
