@@ -69,6 +69,14 @@ def duplicate_param_keys(raw: DataFrame, keys: tuple[str, ...] = (C.PARAM_SESSIO
     return counted.where(cond)
 
 
+def duplicate_param_key_events(raw: DataFrame, keys: tuple[str, ...] = (C.PARAM_SESSION_ID, C.PARAM_PAGE_LOCATION)) -> DataFrame:
+    """The number of rows of ``duplicate_param_keys``, as ``failures``. The
+    condition is counted in the aggregate, where Spark computes the params of
+    an event once; a filter on it computes them anew for each use."""
+    most = F.greatest(F.lit(0), *[param_key_count(k) for k in keys])
+    return raw.agg(F.count_if(most > 1).alias("failures"))
+
+
 def _largest(key: str, slot: str) -> Column:
     """The largest value of a key's slot in one event's params: what a
     conditional max over the event's exploded params gives."""

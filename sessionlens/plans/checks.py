@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens import config as C
+from sessionlens.operators.staging import duplicate_param_key_events, duplicate_param_keys
 from sessionlens.schemas import CHECK_RESULT
 
 
@@ -108,8 +109,6 @@ def violations(df: DataFrame, check: Check, raw: DataFrame | None = None) -> Dat
     if check.kind == "volume":
         return volume_violations(df, int(check.low), int(check.high))
     if check.kind == "duplicate_keys":
-        from sessionlens.operators.staging import duplicate_param_keys
-
         return duplicate_param_keys(raw if raw is not None else df)
     raise ValueError(f"unknown check kind {check.kind!r}")
 
@@ -159,6 +158,9 @@ def check_failures(models: dict[str, DataFrame], suite: tuple[Check, ...], raw:
     for ch in suite:
         if ch.kind in _ONE_PASS:
             one_pass.setdefault(ch.model, []).append(ch)
+        elif ch.kind == "duplicate_keys":
+            counted = duplicate_param_key_events(raw if raw is not None else models[ch.model])
+            parts.append(counted.select(F.lit(ch.name).alias("check"), "failures"))
         else:
             parts.append(_one(violations(models[ch.model], ch, raw), ch.name))
     for model, chs in one_pass.items():

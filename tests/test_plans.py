@@ -89,3 +89,17 @@ def test_reconciliation_builds_each_side_once(spark):
 def test_marts_without_attributes_shuffle_sessions_once(build):
     plan = plan_of(build.core)
     assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
+
+
+def test_duplicate_keys_check_computes_the_params_once(spark, build):
+    # A filter on the counts computes an event's params anew for each use; an
+    # aggregate shares them.
+    from sessionlens.operators.staging import duplicate_param_keys
+    from sessionlens.plans import checks as CK
+
+    suite = tuple(c for c in CK.default_suite() if c.kind == "duplicate_keys")
+    out = CK.check_failures({}, suite, build.raw)
+    filters = [line for line in plan_of(out).splitlines() if "Filter " in line]
+    assert not [f for f in filters if "array_remove" in f]
+    assert out.first().failures == duplicate_param_keys(build.raw).count() > 0
+    assert CK.check_failures({}, suite, build.raw.limit(0)).first().failures == 0
