@@ -7,8 +7,11 @@ are opened and grouped by key. So two equal builds exchange digests only, and a
 few differing keys cost a few buckets, whatever the size of the tables.
 
 Keys may be null or repeat: rows of a key are compared as a multiset, column by
-column. Hashes have 64 bits and are added in decimal(38); a difference could
-only hide behind sums that are equal by chance.
+column. Hashes have 64 bits and are added in decimal(38), those of the right
+side with a minus; a difference could only hide behind a sum that is zero by
+chance. The opened rows are grouped in as many tasks as their number asks for
+(the digest lines know it), so a task holds ``TASK_ROWS`` or so of them,
+however many buckets differ.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from sessionlens.runtime import materialize
 
 BUCKETS = 1 << 16
 COARSE = 256
+TASK_ROWS = 250_000  # opened rows that a task groups, about 0.5 KB each
 
 
 def _sum_of(value: Column) -> Column:
@@ -59,7 +63,7 @@ def differing_buckets(left: DataFrame, right: DataFrame) -> DataFrame | None:
     return unequal(left.where(inside), right.where(inside))
 
 
-def reconcile_rows(left: DataFrame, right: DataFrame, key: list[str], buckets: int = BUCKETS) -> DataFrame:
+def reconcile_rows(left: DataFrame, right: DataFrame, key: list[str], buckets: int = BUCKETS, task_rows: int = TASK_ROWS) -> DataFrame:
     """One row for each key whose rows differ: the key, its rows on each side,
     'only left', 'only right' or 'changed', and the columns that differ. Both
     sides have the same columns."""
@@ -74,11 +78,14 @@ def reconcile_rows(left: DataFrame, right: DataFrame, key: list[str], buckets: i
     else:
         wanted = F.broadcast(materialize(wanted, "reconcile_buckets"))  # at most ``buckets`` lines
         opened = sides[0].join(wanted, "bucket", "left_semi").unionByName(sides[1].join(wanted, "bucket", "left_semi"))
-    # One partially aggregated grouping: counts and a digest per column and side.
+        rows = sum(line.join(wanted, "bucket", "left_semi").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] for line in lines)
+        # A stated number is not lowered to fewer, larger tasks by the shuffle's bytes.
+        opened = opened.repartition(-(-rows // task_rows) or 1, *key)
+    # Counts of both sides, and a digest per column: the left side's less the right's.
     on = [F.col("side") == i for i in (0, 1)]
-    sums = [_sum_of(F.when(s, _hash(c))).alias(f"{c}_{i}") for c in others for i, s in enumerate(on)]
+    sums = [F.sum(F.when(on[0], h).otherwise(-h)).alias(f"{c}_d") for c in others for h in (_hash(c).cast("decimal(20,0)"),)]
     held = opened.groupBy(*key).agg(*[F.count_if(s).alias(n) for s, n in zip(on, ("in_left", "in_right"), strict=True)], *sums)
-    parted = F.array_compact(F.array(*[F.when(~F.col(f"{c}_0").eqNullSafe(F.col(f"{c}_1")), F.lit(c)) for c in others]))
+    parted = F.array_compact(F.array(*[F.when(F.col(f"{c}_d") != 0, F.lit(c)) for c in others]))
     held = held.withColumn("differing", parted).where((F.col("in_left") != F.col("in_right")) | (F.size("differing") > 0))
     change = F.when(F.col("in_right") == 0, "only left").when(F.col("in_left") == 0, "only right").otherwise("changed")
     listed = F.when(change == "changed", F.array_join(F.array_sort("differing"), ", ")).otherwise("")

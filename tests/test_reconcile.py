@@ -56,6 +56,17 @@ def test_equal_builds_exchange_digests_only(spark):
     assert digests.columns == ["bucket", "rows", "digest"]
 
 
+def test_opened_rows_are_grouped_in_tasks_of_bounded_size(spark):
+    # Every bucket differs: the tasks grow in number, not in size, and are not
+    # merged by the few bytes that are shuffled.
+    left = spark.range(4000).selectExpr("id as k", "cast(id % 7 as string) as s", "cast(id as double) as v", "id % 2 = 0 as f")
+    right = left.withColumn("v", left.v + 1)
+    got = RC.reconcile_rows(left, right, ["k", "s"], task_rows=500)
+    sizes = got.rdd.glom().map(len).collect()
+    assert len(sizes) == 16 and sum(sizes) == 4000 and max(sizes) < 500
+    assert {r.differing for r in got.collect()} == {"v"}
+
+
 def test_columns_have_to_agree(spark):
     with pytest.raises(ValueError, match="columns differ"):
         RC.reconcile_rows(spark.range(1), spark.range(1).withColumnRenamed("id", "other"), ["id"])
