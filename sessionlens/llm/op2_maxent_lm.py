@@ -1,6 +1,6 @@
 """LM scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-    P(word | context) = P(class | context) * P(word | class)
+    P(word | context) = P(class | context) * P(member | class, context) * P(word | member)
 
 Classes: the ``SINGLES`` commonest words are a class each; all other words
 fall into classes by tier (the ``TIER`` commonest, the rest) and a hash of
@@ -8,18 +8,24 @@ their last two bytes; the end of a text is a class; and a word equal to the
 one before it is in the class "again", which holds that word alone. P(class |
 context) is a softmax over the sum of three hashed features' weights: the
 previous word, the word before it (a skip), and the pair of their classes with
-whether the last was a repetition. P(word | class) is the word's share of the
-class, one added to each word's count and one unknown word a class.
+whether the last was a repetition. The words of a class of many are ``MEMBERS``
+members: one word each, or two, among the ``TIER`` commonest, and else the words
+of a hash. P(member | class, context) is a second softmax over the same three
+features, each hashed together with the class. P(word | member) is the word's
+share of the member, one added to each word's count and one unknown word a
+member outside the tier.
 
 Training reads every training text. A first pass sums how often each feature
 met each class and sets the weights from these sums; then, for one feature
 after the other, a pass sums the model's expectation of the same quantities
 and the feature's weights move by the difference (their gradient) over the
-mean of both. Tasks send a row of sums for each feature row, which Spark adds
-by key; the driver sees one number for each weight (``ROWS`` x ``CLASSES``, a
-fixed bound), and tasks get weights and the ``TOP`` commonest words (a fixed
-bound as well). Texts are split once and kept as one class and one slot a
-token, three bytes, for all these passes.
+mean of both. The members' weights start from their shares of the class and take
+one step of iterative scaling: a third (there are three features) of the
+logarithm of what the data holds over what the shares expect. Tasks send a row of sums for each feature row, which Spark adds
+by key; the driver sees one number for each weight (``ROWS`` x ``CLASSES`` and
+3 x ``INSIDE`` x ``WIDTH``, fixed bounds), and tasks get weights and the ``TOP`` commonest words (a fixed
+bound as well). Texts are split once and kept as one class, one member and one
+slot a token, four bytes, for all these passes.
 
 Counts of all words are exact and distributed. Words outside the commonest
 ``TOP`` meet their count in a join on the word, one row for each text and
@@ -28,7 +34,7 @@ only held-out texts repeat.
 
 Defined results: null text is empty (its one token is the end); a word that
 training lacks has count 0; with no training text every count is 0 and the
-score is the unknown word's share of its class; a null doc_id counts as the
+score is the unknown word's share of its class and member; a null doc_id counts as the
 empty text for the fold; repeated rows are learnt from and scored each; an
 empty table gives no rows; other columns are left out.
 """
@@ -55,9 +61,14 @@ AGAIN, END = SINGLES + 2 * SUFFIXES, SINGLES + 2 * SUFFIXES + 1
 CLASSES = END + 1
 SLOTS = 4096  # rows of weights for each of the three features
 ROWS = 3 * SLOTS
+KINDS = 2 * SUFFIXES  # classes of more than one word
+MEMBERS = 128  # of each of them
+INSIDE = 4096  # rows of weights inside the classes for each of the three features
+WIDTH = MEMBERS + KINDS  # what is summed for such a row: members and classes met
 ROUNDS = 1  # of steps on each of the three features in turn
 MOST_WEIGHT = 20.0
 PRIOR = 4.0  # pseudo-count that draws a feature's weights to the class shares
+MEMBER_PRIOR = 16.0  # the same inside a class, where a row meets more kinds of words
 SCALE = 1 << 16  # expectations are summed as integers, so order does not matter
 FLUSH_WORDS = 300_000
 _TOKENS = 1 << 12
@@ -68,6 +79,16 @@ def suffix(word: bytes) -> int:
     return crc32(word[-2:]) % SUFFIXES
 
 
+def member(word: bytes) -> int:
+    """Of a word outside the tier."""
+    return crc32(word) >> 8 & (MEMBERS - 1)
+
+
+def leaf(word: bytes) -> int:
+    """Class and member in one number, of a word outside the tier."""
+    return suffix(word) * MEMBERS + member(word)
+
+
 # --- counts --------------------------------------------------------------------------------------------
 
 _COUNT = pa.schema([("word", pa.binary()), ("n", pa.int64())])
@@ -91,46 +112,50 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("raw").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-_SHARE = pa.schema([("class", pa.int32()), ("words", pa.int64()), ("tokens", pa.int64())])
+_SHARE = pa.schema([("leaf", pa.int32()), ("words", pa.int64()), ("tokens", pa.int64())])
 
 
 def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, tokens = np.zeros(SUFFIXES, np.int64), np.zeros(SUFFIXES, np.int64)
+    size = SUFFIXES * MEMBERS
+    words, tokens = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for b in batches:
-        own = np.fromiter(map(suffix, b.column("word").to_pylist()), np.int64, b.num_rows)
-        words += np.bincount(own, minlength=SUFFIXES)
-        tokens += np.bincount(own, np.array(b.column("c")), minlength=SUFFIXES).astype(np.int64)
-    yield record_batch({"class": np.arange(SUFFIXES), "words": words, "tokens": tokens}, _SHARE)
+        own = np.fromiter(map(leaf, b.column("word").to_pylist()), np.int64, b.num_rows)
+        words += np.bincount(own, minlength=size)
+        tokens += np.bincount(own, np.array(b.column("c")), minlength=size).astype(np.int64)
+    yield record_batch({"leaf": np.arange(size), "words": words, "tokens": tokens}, _SHARE)
 
 
 # --- vocabulary and model ------------------------------------------------------------------------------
 
 class _Numbers(dict):
-    """Word -> number; a word that is not listed gets its suffix's number."""
+    """Word -> number; a word that is not listed gets its leaf's number."""
 
     rest = 0
 
     def __missing__(self, word: bytes) -> int:
-        return self.rest + suffix(word)
+        return self.rest + leaf(word)
 
 
 class Vocabulary:
-    """The commonest words: their class, feature slot and count. Any other
-    word has the number ``len(top) + 1 + suffix``; number 0 is the start of a
-    text, ``end`` its end."""
+    """The commonest words: their class, member, feature slot and count. Any
+    other word has the number ``len(top) + 1 + leaf``; number 0 is the start of
+    a text, ``end`` its end."""
 
     def __init__(self, top: list[tuple[bytes, int]], tail: np.ndarray, n_tokens: int, n_words: int):
         """``top``: words by falling count, without the end; ``tail``: rows
-        (words, tokens) of the words outside the tier, for each suffix."""
+        (words, tokens) of the words outside the tier, for each leaf."""
         self.n_tokens, self.n_words = n_tokens, n_words
         ends = sum(c for w, c in top if w == _END_WORD)
         top = [(w, c) for w, c in top if w != _END_WORD]
         n = len(top)
         self.number = _Numbers({w: i + 1 for i, (w, _) in enumerate(top)})
         self.number.rest = self.first_rare = n + 1
-        self.end = n + 1 + SUFFIXES
+        self.end = n + 1 + SUFFIXES * MEMBERS
         size = self.end + 1
-        self.of_class, self.slot = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        self.of_class, self.slot, self.of_member = (np.zeros(size, np.int64) for _ in range(3))
+        # Words and tokens of each member; a class's words of the tier take turns.
+        self.mass = np.zeros((KINDS, MEMBERS))
+        turn = np.zeros(CLASSES, np.int64)
         count = np.zeros(size)
         words, tokens = np.zeros(CLASSES), np.zeros(CLASSES)
         for i, (w, c) in enumerate(top):
@@ -140,11 +165,20 @@ class Vocabulary:
             if i < TIER:
                 words[k] += 1
                 tokens[k] += c
-        for s in range(SUFFIXES):
-            self.of_class[n + 1 + s] = SINGLES + SUFFIXES + s
-            self.slot[n + 1 + s] = 1 + s
-        words[SINGLES + SUFFIXES : SINGLES + 2 * SUFFIXES] += tail[:, 0]
-        tokens[SINGLES + SUFFIXES : SINGLES + 2 * SUFFIXES] += tail[:, 1]
+                if i >= SINGLES:
+                    self.of_member[i + 1] = turn[k] % MEMBERS
+                    turn[k] += 1
+                    self.mass[k - SINGLES, self.of_member[i + 1]] += c + 1
+            else:
+                self.of_member[i + 1] = member(w)
+        rare = np.arange(SUFFIXES * MEMBERS)
+        self.of_class[n + 1 + rare] = SINGLES + SUFFIXES + rare // MEMBERS
+        self.of_member[n + 1 + rare] = rare % MEMBERS
+        self.slot[n + 1 + rare] = 1 + rare // MEMBERS
+        self.mass[SUFFIXES:] = tail.sum(axis=1).reshape(SUFFIXES, MEMBERS) + 1  # one unknown word each
+        # The unknown word that every class has is one of them.
+        words[SINGLES + SUFFIXES : SINGLES + 2 * SUFFIXES] += tail[:, 0].reshape(SUFFIXES, MEMBERS).sum(axis=1) + MEMBERS - 1
+        tokens[SINGLES + SUFFIXES : SINGLES + 2 * SUFFIXES] += tail[:, 1].reshape(SUFFIXES, MEMBERS).sum(axis=1)
         self.of_class[self.end], count[self.end] = END, ends
         whole = np.log10(np.maximum(tokens + words + 1, 1))
         self.known = count > 0
@@ -159,24 +193,24 @@ class Vocabulary:
 
 _TOKENS_SCHEMA = pa.schema([
     ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_top", pa.int64()),
-    ("base_top", pa.float64()), ("inner_top", pa.float64()), ("kinds", pa.binary()), ("slots", pa.binary()),
+    ("base_top", pa.float64()), ("inner_top", pa.float64()), ("kinds", pa.binary()), ("members", pa.binary()), ("slots", pa.binary()),
     ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("fresh", pa.int64())]))),
 ])
 _TOKENS_DDL = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_top long, base_top double, inner_top double, kinds binary, "
-    "slots binary, rare array<struct<word: binary, n: bigint, fresh: bigint>>"
+    "members binary, slots binary, rare array<struct<word: binary, n: bigint, fresh: bigint>>"
 )
 
 
 def _read(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
     """What training and scoring need of each text, so it is split once: the
-    class (one byte) and slot (two bytes) of each token, sums over its words
+    class and member (one byte each) and slot (two bytes) of each token, sums over its words
     among the commonest, and its other words."""
     vocab, row = held.value, TaskContext.get().partitionId() << 40
     for b in batches:
         texts = b.column("raw").to_pylist()
         for lo, hi in chunks([len(t) for t in texts], 1 << 20):
-            out = {n: [] for n in ("n_tokens", "kinds", "slots", "n_top", "base_top", "inner_top")}
+            out = {n: [] for n in ("n_tokens", "kinds", "members", "slots", "n_top", "base_top", "inner_top")}
             rare_words, rare_n, rare_fresh, ends = [], [], [], [0]
             for text in texts[lo:hi]:
                 words = ascii_words(text)
@@ -190,6 +224,7 @@ def _read(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
                 kind[again] = AGAIN
                 out["n_tokens"].append(n + 1)
                 out["kinds"].append(kind.astype(np.uint8).tobytes())
+                out["members"].append(vocab.of_member[at].astype(np.uint8).tobytes())
                 out["slots"].append(vocab.slot[at].astype("<u2").tobytes())
                 out["n_top"].append(int(vocab.known[at].sum()))
                 out["base_top"].append(float(vocab.base[at].sum()))
@@ -269,6 +304,92 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
+def inside(kind: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which tokens are of a class of many words; their class among these and
+    the rows of the three features together with it."""
+    at = np.flatnonzero((kind >= SINGLES) & (kind < SINGLES + KINDS))
+    own = kind[at] - SINGLES
+    block = np.arange(3)
+    feature = (rows[at] - block * SLOTS) * KINDS + own[:, None] + 1
+    return at, own, (feature * 0x9E3779B1 >> 11) % INSIDE + block * INSIDE
+
+
+class Inside:
+    """Weights of the members of each class of many words."""
+
+    def __init__(self, mass: np.ndarray, met: np.ndarray):
+        """From the members' masses and the sums of members and classes that
+        each feature row met."""
+        total = mass.sum(axis=1, keepdims=True)
+        share = np.divide(mass, total, out=np.zeros_like(mass), where=total > 0)
+        self.log_share = np.log(np.maximum(share, 1e-26)).astype(np.float32)  # no word: no weight
+        expected = met[:, MEMBERS:] @ share
+        row = np.maximum(met[:, MEMBERS:].sum(axis=1, keepdims=True), 1)
+        prior = MEMBER_PRIOR * expected / row
+        some = expected > 0
+        ratio = np.divide(met[:, :MEMBERS] + prior, expected + prior, out=np.ones_like(expected), where=some)
+        self.weights = (np.clip(np.log(np.maximum(ratio, 1e-9)), -MOST_WEIGHT, MOST_WEIGHT) / 3).astype(np.float32)
+
+    def scores(self, own: np.ndarray, rows: np.ndarray, out: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """The exponentials of each member's sum of weights, into ``out``."""
+        n = len(rows)
+        z, t = out[:n], part[:n]
+        np.take(self.log_share, own, axis=0, out=z, mode="clip")
+        for k in range(3):
+            np.take(self.weights, rows[:, k], axis=0, out=t, mode="clip")
+            z += t
+        return np.exp(z, out=z)
+
+    def gain(self, kind: np.ndarray, member: np.ndarray, rows: np.ndarray, out: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """For each token log10 of its member's probability over the member's
+        share of the class; 0 for a class of one word."""
+        gain = np.zeros(len(kind))
+        at, own, rows = inside(kind, rows)
+        mine = member[at]
+        for a in range(0, len(at), _TOKENS):
+            z = self.scores(own[a : a + _TOKENS], rows[a : a + _TOKENS], out, part)
+            m = mine[a : a + _TOKENS]
+            p = z[np.arange(len(z)), m] / (z @ _MEMBER_ONES)
+            gain[at[a : a + _TOKENS]] = np.log10(np.maximum(p, 1e-38)) - self.log_share[own[a : a + _TOKENS], m] / np.log(10)
+        return gain
+
+
+_MEMBER_ONES = np.ones(MEMBERS, np.float32)
+_INSIDE_COLUMNS = [f"c{i}" for i in range(WIDTH)]
+_INSIDE_SUM = pa.schema([("slot", pa.int32())] + [(c, pa.int64()) for c in _INSIDE_COLUMNS])
+_INSIDE_DDL = "slot int, " + ", ".join(f"{c} long" for c in _INSIDE_COLUMNS)
+
+
+def _inside_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each feature row inside the classes met each member and class."""
+    total = np.zeros((3 * INSIDE, WIDTH), np.int64)
+    for b in batches:
+        kinds, members, slots = (b.column(n).to_pylist() for n in ("kinds", "members", "slots"))
+        for lo, hi in chunks([len(k) for k in kinds], 1 << 18):
+            kind, rows = contexts(kinds[lo:hi], slots[lo:hi])
+            at, own, rows = inside(kind, rows)
+            mine = np.frombuffer(b"".join(members[lo:hi]), np.uint8)[at]
+            for k in range(3):
+                block = total[k * INSIDE : (k + 1) * INSIDE]
+                first = (rows[:, k] - k * INSIDE) * WIDTH
+                met = np.concatenate([first + mine, first + (MEMBERS + own)])
+                block += np.bincount(met, minlength=INSIDE * WIDTH).reshape(INSIDE, WIDTH)
+    at = np.flatnonzero(total.any(axis=1))
+    yield record_batch({"slot": at} | {c: total[at, i] for i, c in enumerate(_INSIDE_COLUMNS)}, _INSIDE_SUM)
+
+
+def train_inside(tokens: DataFrame, vocab: Vocabulary) -> Inside:
+    """The members' weights from the texts in ``tokens`` that are not held out."""
+    rows = tokens.where(~F.col("held_out")).select("kinds", "members", "slots").mapInArrow(_inside_sums, _INSIDE_DDL)
+    got = rows.groupBy("slot").agg(*[F.sum(c).alias(c) for c in _INSIDE_COLUMNS]).toArrow()  # 3 x INSIDE rows at most
+    met = np.zeros((3 * INSIDE, WIDTH))
+    if got.num_rows:
+        at = np.array(got.column("slot"))
+        for i, c in enumerate(_INSIDE_COLUMNS):
+            met[at, i] = np.array(got.column(c))
+    return Inside(vocab.mass, met)
+
+
 _COLUMNS = [f"c{i}" for i in range(CLASSES)]
 _SUM = pa.schema([("slot", pa.int32())] + [(c, pa.int64()) for c in _COLUMNS])
 _SUM_DDL = "slot int, " + ", ".join(f"{c} long" for c in _COLUMNS)
@@ -337,12 +458,12 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     top.sort(key=lambda x: (-x[1], x[0]))
     if n_words > len(top) and all(w != _END_WORD for w, _ in top):
         top += [(_END_WORD, r["c"]) for r in counts.where(F.length("word") == 0).collect()]
-    tail = np.zeros((SUFFIXES, 2))
-    shares = counts.where(F.length("word") > 0).select("word", "c").mapInArrow(_shares, "class int, words long, tokens long")
-    for r in shares.groupBy("class").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect():
-        tail[r["class"]] = r["words"], r["tokens"]
+    tail = np.zeros((SUFFIXES * MEMBERS, 2))
+    shares = counts.where(F.length("word") > 0).select("word", "c").mapInArrow(_shares, "leaf int, words long, tokens long")
+    for r in shares.groupBy("leaf").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect():
+        tail[r["leaf"]] = r["words"], r["tokens"]
     for w, c in [(w, c) for w, c in top if w != _END_WORD][:TIER]:  # not of the tail
-        tail[suffix(w)] -= 1, c
+        tail[leaf(w)] -= 1, c
     return Vocabulary(top, tail, n_tokens, n_words)
 
 
@@ -372,28 +493,32 @@ _SCORED = pa.schema([
 _SCORED_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_top long, base_top double, score_top double"
 
 
-def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+    model, members_of = held.value
     out, part = (np.empty((_TOKENS, CLASSES), np.float32) for _ in range(2))
+    room = [np.empty((_TOKENS, MEMBERS), np.float32) for _ in range(2)]
     for b in batches:
-        kinds, slots = b.column("kinds").to_pylist(), b.column("slots").to_pylist()
+        kinds, members, slots = (b.column(n).to_pylist() for n in ("kinds", "members", "slots"))
         found = []
         for lo, hi in chunks([len(k) for k in kinds], 1 << 18):
             kind, rows = contexts(kinds[lo:hi], slots[lo:hi])
             p = np.empty(len(kind))
             for a in range(0, len(kind), _TOKENS):
-                z = model.value.scores(rows[a : a + _TOKENS], out, part)
+                z = model.scores(rows[a : a + _TOKENS], out, part)
                 p[a : a + _TOKENS] = z[np.arange(len(z)), kind[a : a + _TOKENS]] / (z @ _ONES)
             sizes = np.array([len(k) for k in kinds[lo:hi]])
-            found.append(np.add.reduceat(np.log10(np.maximum(p, 1e-38)), np.cumsum(sizes) - sizes))
+            each = np.log10(np.maximum(p, 1e-38))
+            each += members_of.gain(kind, np.frombuffer(b"".join(members[lo:hi]), np.uint8), rows, *room)
+            found.append(np.add.reduceat(each, np.cumsum(sizes) - sizes))
         score = np.concatenate(found) + np.array(b.column("inner_top")) if found else []
         columns = {n: b.column(n) for n in ("row", "doc_id", "held_out", "n_tokens", "n_top", "base_top")}
         yield record_batch(columns | {"score_top": score}, _SCORED)
 
 
-def score(tokens: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
+def score(tokens: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, members_of: Inside) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for each text of ``tokens``."""
-    weights = tokens.sparkSession.sparkContext.broadcast(model)
+    weights = tokens.sparkSession.sparkContext.broadcast((model, members_of))
     scored = tokens.drop("rare").mapInArrow(lambda it: _score(it, weights), _SCORED_DDL)
     rare = tokens.select("row", F.inline("rare")).join(counts, "word")
     gain = F.log10(F.col("c") + 1)
@@ -420,7 +545,7 @@ def scored_texts(docs: DataFrame) -> DataFrame:
     counts = stored(word_counts(rows.where(~F.col("held_out"))), "lm-counts")
     vocab = vocabulary(counts)
     tokens = read_tokens(rows, vocab)
-    return score(tokens, counts, vocab, train(tokens))
+    return score(tokens, counts, vocab, train(tokens), train_inside(tokens, vocab))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

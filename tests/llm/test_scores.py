@@ -77,6 +77,43 @@ def test_lm_of_odd_rows(spark, docs_of):
     assert lm(docs_of([])) == []
 
 
+def test_lm_context_chooses_inside_a_class(spark, docs_of):
+    # Two words of one class and count, each after its own word: the class is
+    # the same, so only the choice inside it tells them apart.
+    singles = " ".join(f"w{i:02d}" for i in range(op2.SINGLES)) + " "
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    assert op2.suffix(b"kaza") == op2.suffix(b"roza")
+    ids = ids[: len(ids) // 2 * 2]
+    rows = [(i, singles * 3 + ("left kaza" if n % 2 else "right roza")) for n, i in enumerate(ids)]
+    rows += [(held[0], "left kaza"), (held[1], "left roza"), (held[2], "right roza"), (held[3], "right kaza")]
+    got = {r.doc_id: r.score for r in lm(docs_of(rows)) if r.held_out}
+    assert got[held[0]] > got[held[1]] + 0.3 and got[held[2]] > got[held[3]] + 0.3
+
+
+def test_lm_members_are_a_distribution(spark):
+    docs = table(spark, SF0001, "documents").select("doc_id", F.lit(False).alias("held_out"), op2.raw_text().alias("raw"))
+    vocab = op2.vocabulary(op2.stored(op2.word_counts(docs), "test-lm-members"))
+    tokens = op2.read_tokens(docs, vocab)
+    inside = op2.train_inside(tokens, vocab)
+    random = np.random.default_rng(3)
+    rows = random.integers(0, op2.INSIDE, (60, 3)) + np.arange(3) * op2.INSIDE
+    own = random.integers(0, op2.KINDS, 60)
+    room = [np.empty((60, op2.MEMBERS), np.float32) for _ in range(2)]
+    p = inside.scores(own, rows, *room).astype(float)
+    assert np.isfinite(p).all() and (p.sum(axis=1) > 0).all()
+    # The shares of a class's members sum to one, and its words with those of
+    # its members: what the class's share of a word is made of.
+    shares = np.exp(inside.log_share.astype(float))
+    assert np.allclose(shares[vocab.mass.sum(axis=1) > 0].sum(axis=1), 1, atol=1e-4)
+    for k in range(op2.SUFFIXES, op2.KINDS):
+        words = np.flatnonzero(vocab.of_class[1 : vocab.first_rare] == op2.SINGLES + k) + 1
+        words = words[vocab.known[words]]
+        mine = np.bincount(vocab.of_member[words], 10 ** vocab.base[words], minlength=op2.MEMBERS)
+        assert np.allclose(mine + 1, vocab.mass[k])  # all words are listed here
+        assert (10 ** vocab.inner[words]).sum() + op2.MEMBERS / vocab.mass[k].sum() == pytest.approx(1)
+
+
 def test_quality_on_held_out_rows(spark):
     got = op3.query(spark, SF001).join(table(spark, SF001, "labels"), "doc_id").collect()
     out = [r for r in got if r.held_out]
