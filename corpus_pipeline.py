@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from sessionlens.llm import op3_quality, op4_packing, op5_decontamination, op8_minhash, op10_line_templates
 from sessionlens.llm.common import stored, table
 
+PACKING_WORDS = 100_000
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op3_quality.accepted(docs, table(spark, sf_dir, "labels"))
@@ -36,7 +38,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op4_packing.pack(docs)
+    # Executors that have run all the stages have little room left: fewer words
+    # are kept, and more are encoded again.
+    return op4_packing.pack(docs, words=PACKING_WORDS)
 
 
 STAGES = [

@@ -29,11 +29,12 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from sessionlens.llm.common import prepare, raw_text, record_batch, remainder, stored, table
+from sessionlens.llm.common import chunks, prepare, raw_text, record_batch, release, remainder, stored, table
 
 SLOTS = 1 << 18
 SAMPLE_ROWS = 20_000
@@ -44,6 +45,7 @@ FOLDS, HELD_OUT = 5, 0
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.005, 0.02
 CACHE_UNITS = 200_000
 CACHE_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 _UNITS = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\x00-\x20A-Za-z0-9\x80-\xff]+")
 _SHAPES = 16
@@ -124,16 +126,22 @@ _SAMPLE = pa.schema([("shard", pa.int32()), ("rank", pa.int64()), ("label", pa.i
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of a text are several times its size, so they leave in
+    batches of about ``CHUNK_BYTES`` of text."""
+    release()
     known = _Units()
     for b in batches:
-        slots, values = [], []
-        for t in b.column("raw").to_pylist():
-            at, x = features(t, known)
-            slots.append(at.astype("<i4").tobytes())
-            values.append(x.astype("<f4").tobytes())
-            if known.full():
-                known = _Units()
-        yield record_batch({"shard": b.column("shard"), "rank": b.column("rank"), "label": b.column("label"), "slots": slots, "values": values}, _SAMPLE)
+        texts = b.column("raw")
+        for lo, hi in chunks(pc.binary_length(texts).to_pylist(), CHUNK_BYTES):
+            slots, values = [], []
+            for t in texts.slice(lo, hi - lo).to_pylist():
+                at, x = features(t, known)
+                slots.append(at.astype("<i4").tobytes())
+                values.append(x.astype("<f4").tobytes())
+                if known.full():
+                    known = _Units()
+            own = b.slice(lo, hi - lo)
+            yield record_batch({"shard": own.column("shard"), "rank": own.column("rank"), "label": own.column("label"), "slots": slots, "values": values}, _SAMPLE)
 
 
 class Ftrl:
@@ -158,16 +166,16 @@ class Ftrl:
 
 
 def _train(group: pd.DataFrame) -> pd.DataFrame:
+    release()
     group = group.sort_values(["rank", "label"])
-    rows = [
-        (np.frombuffer(s, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(float), int(y))
-        for s, v, y in zip(group["slots"], group["values"], group["label"], strict=True)
-    ]
+    # Views of the part's bytes; a row is widened when it is its turn.
+    rows = [(np.frombuffer(s, "<i4"), np.frombuffer(v, "<f4"), int(y)) for s, v, y in zip(group["slots"], group["values"], group["label"], strict=True)]
     model = Ftrl()
     order = np.random.default_rng(7)
     for _ in range(max(LEAST_EPOCHS, min(MOST_EPOCHS, UPDATES // len(rows)))):
         for i in order.permutation(len(rows)):
-            model.update(*rows[i])
+            at, x, label = rows[i]
+            model.update(at.astype(np.int64), x.astype(float), label)
     w = model.weights(np.arange(SLOTS + 1))
     return pd.DataFrame({"rows": [len(rows)], "weights": [w.astype("<f8").tobytes()]})
 
@@ -214,11 +222,12 @@ def margin(text: bytes, weights: np.ndarray, known: _Units) -> float:
 
 
 def _score(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
+    release()
     known = _Units()
     for b in batches:
         z = []
-        for t in b.column("raw").to_pylist():
-            z.append(margin(t, weights.value, known))
+        for raw in b.column("raw"):  # one text at a time beside the batch
+            z.append(margin(raw.as_py(), weights.value, known))
             if known.full():
                 known = _Units()
         p = 1 / (1 + np.exp(-np.clip(np.array(z), -500, 500)))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.llm.common import chunks, prepare, raw_text, record_batch, stored, table
-from sessionlens.llm.tokens import encoder
+from sessionlens.llm.tokens import GENERATION_WORDS, WordEncoder, encoder
 
 CAPACITY = 4096
 END_ID = 1
@@ -77,9 +77,8 @@ def _bins(sizes: np.ndarray, members: list[bytes], first_id: int, capacity: int)
     }, _BIN)
 
 
-def pieces(texts: list[bytes], docs: list[int | None], path: str | None, end_id: int, capacity: int) -> np.ndarray:
+def pieces(texts: list[bytes], docs: list[int | None], enc: WordEncoder, end_id: int, capacity: int) -> np.ndarray:
     """The pieces of each document, cut only where it is longer than a sequence."""
-    enc = encoder(path)
     out = []
     for doc, payload in zip(docs, enc.encode(texts), strict=True):
         ids = np.append(np.frombuffer(payload, enc.dtype).astype("<u4"), np.uint32(end_id))
@@ -89,7 +88,10 @@ def pieces(texts: list[bytes], docs: list[int | None], path: str | None, end_id:
     return np.array(out, PIECE)
 
 
-def _local(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, capacity: int, group_items: int) -> Iterator[pa.RecordBatch]:
+def _local(
+    batches: Iterator[pa.RecordBatch], path: str | None, words: int, end_id: int, capacity: int, group_items: int
+) -> Iterator[pa.RecordBatch]:
+    enc = encoder(path, words)
     base, made, held, count = TaskContext.get().partitionId() << 32, 0, [], 0
 
     def pack() -> pa.RecordBatch:
@@ -101,7 +103,7 @@ def _local(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, cap
     for b in batches:
         ids, texts = b.column("doc_id").to_pylist(), b.column("raw").to_pylist()
         for lo, hi in chunks([len(t) for t in texts], 2 << 20):
-            held.append(pieces(texts[lo:hi], ids[lo:hi], path, end_id, capacity))
+            held.append(pieces(texts[lo:hi], ids[lo:hi], enc, end_id, capacity))
             count += len(held[-1])
         if count >= group_items:
             yield (out := pack())
@@ -149,13 +151,13 @@ def _by_fill(open_bins: DataFrame, capacity: int, group_items: int, group_bytes:
 
 def pack(
     docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY, nearly: int = NEARLY,
-    group_items: int = GROUP_ITEMS, group_bytes: int = GROUP_BYTES,
+    group_items: int = GROUP_ITEMS, group_bytes: int = GROUP_BYTES, words: int = GENERATION_WORDS,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each
-    piece of each row of ``docs``."""
+    piece of each row of ``docs``; ``words`` is what an encoder keeps."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw"))
-    bins = stored(rows.mapInArrow(lambda it: _local(it, tokenizer, end_id, capacity, group_items), _BIN_DDL), "packing-0")
+    bins = stored(rows.mapInArrow(lambda it: _local(it, tokenizer, words, end_id, capacity, group_items), _BIN_DDL), "packing-0")
     full = capacity - nearly
     finished, round_, idle, groups = [], 0, 0, None
     while True:

@@ -13,17 +13,15 @@ import os
 import numpy as np
 import public_tokenizers
 
-from sessionlens.llm.common import chunks
+from sessionlens.llm.common import chunks, kept, release
 
 TOKENIZER = "word_bpe_49k.json"
 GENERATION_WORDS = 500_000  # words that a generation of the cache holds
 GENERATION_BYTES = 32 << 20
-_CHUNK_BYTES = 2 << 20
+_CHUNK_BYTES = 1 << 18
 _SLICE_WORDS = 8192  # words that the library encodes at once
 _JOINED_WORDS = 512  # words that are joined to one text
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
 
 class WordEncoder:
     def __init__(self, path: str):
@@ -38,10 +36,10 @@ class WordEncoder:
         # when that is full it becomes the old one, whose other words go.
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.held = 0
+        self.held, self.most = 0, GENERATION_WORDS
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.young) > GENERATION_WORDS or self.held > GENERATION_BYTES:
+        if len(self.young) > self.most or self.held > GENERATION_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         new = []
         for w in words.difference(self.young):
@@ -92,9 +90,12 @@ class WordEncoder:
         return out
 
 
-def encoder(path: str | None = None) -> WordEncoder:
-    """The worker's encoder for a tokenizer file."""
+def encoder(path: str | None = None, most: int = GENERATION_WORDS) -> WordEncoder:
+    """The worker's encoder for a tokenizer file, which keeps about ``most``
+    words a generation. What other operators kept in the worker goes."""
     path = path or public_tokenizers.path(TOKENIZER)
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    name = f"words {path}"
+    release(name)
+    enc = kept(name, lambda: WordEncoder(path))
+    enc.most = most
+    return enc

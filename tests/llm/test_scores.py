@@ -140,6 +140,27 @@ def test_quality_score_is_a_sparse_dot_product(spark, docs_of):
         assert r.score == pytest.approx(1 / (1 + math.exp(-(sum(w[i] * v for i, v in zip(at, x)) + w[-1]))), abs=1e-12)
 
 
+def test_quality_features_leave_in_small_batches(monkeypatch):
+    # Features are several times a text's size: a batch of texts is cut, and
+    # what earlier operators kept in the worker is given back first.
+    import pyarrow as pa
+
+    from sessionlens.llm import common, tokens
+
+    tokens.encoder()
+    assert common._KEPT
+    texts = [(f"word{i} " * 3000).encode() for i in range(40)] + [b""]
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"shard": [0] * n, "rank": list(range(n)), "label": [1] * n, "raw": texts})
+    monkeypatch.setattr(op3, "CHUNK_BYTES", 1 << 16)
+    got = list(op3._featurise(iter([batch])))
+    assert not common._KEPT
+    assert len(got) > 10 and [r for b in got for r in b.column("rank").to_pylist()] == list(range(n))
+    at, x = op3.features(texts[7], op3._Units())
+    row = [r for b in got for r in b.to_pylist()][7]
+    assert row["slots"] == at.astype("<i4").tobytes() and row["values"] == x.astype("<f4").tobytes()
+
+
 def test_quality_without_labels(spark, docs_of):
     none = spark.createDataFrame([(3, None), (None, 1)], "doc_id long, quality int")
     w = op3.fit(docs_of(ODD_TEXTS), none)
