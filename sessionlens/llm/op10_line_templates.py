@@ -19,9 +19,11 @@ all but the first are dropped. Blank lines are left alone.
 Texts, not rows, are counted: a text that was copied a thousand times is one
 text, so copies alone make nothing recur.
 
-Only DataFrame functions. Lines are first reduced to (leaf, masked line, text)
-and counted with map-side aggregation; only lines of recurring leaves, each
-distinct one once, are taken apart into tokens. The lines to drop come back as
+Only DataFrame functions. Texts are cut into lines once, which are written with
+the hashes of their leaf and of themselves; all later steps read what they need
+of that table. Lines are first reduced to (leaf, masked line, text) and counted
+with map-side aggregation; only lines of recurring leaves, each distinct one
+once, are taken apart into tokens. The lines to drop come back as
 a list of places for each document (a document's own lines at most).
 
 Defined results: null text stays null and empty text empty; a text that loses
@@ -53,29 +55,58 @@ ANY = "<*>"
 def spaced(text: Column) -> Column:
     """The text with white space but line ends as spaces."""
     for c in "\t\r\f\u000b":  # byte by byte, where translate works on characters
-        text = F.replace(text, F.lit(c), F.lit(" "))
+        # Looking for a byte is several times cheaper than replacing none.
+        text = F.when(F.contains(text, F.lit(c)), F.replace(text, F.lit(c), F.lit(" "))).otherwise(text)
     return text
 
 
-def masked(text: Column) -> Column:
-    """``spaced``, and tokens with a digit as variable fields."""
-    return F.regexp_replace(spaced(text), r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", ANY)
+# From where the last match ended: whole tokens without a digit, kept; then one
+# with a digit. Each character is looked at once.
+FIELD = r"\G((?:[^ 0123456789]*[ ])*+)[^ 0123456789]*[0123456789][^ ]*"
+
+
+def masked(line: Column) -> Column:
+    """A line's tokens with a digit as variable fields."""
+    return F.when(line.rlike("[0123456789]"), F.regexp_replace(line, FIELD, f"$1{ANY}")).otherwise(line)
 
 
 def _tokens(line: Column) -> Column:
     return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
-def template_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
-    """(kid, print, place) of every line of a recurring template but its first."""
+def text_lines(docs: DataFrame) -> DataFrame:
+    """(kid, print, place, tokens, line, mask) of every line that is not blank,
+    trimmed; ``mask``, the masked line, only of lines that a template can take."""
     # Rows that agree in kid and print need no removal: texts are counted, and
     # the places to drop are sets.
-    rows = keyed(docs).select("kid", "print", masked(F.col("body")).alias("body"))
+    rows = keyed(docs).select("kid", "print", spaced(F.col("body")).alias("body"))
     lines = rows.select("kid", "print", F.posexplode(F.split("body", "\n")).alias("place", "line"))
-    lines = lines.select("kid", "print", "place", F.trim("line").alias("line")).where(_tokens(F.col("line")) >= TOKENS)
-    leaf = F.xxhash64(_tokens(F.col("line")), F.substring_index("line", " ", LEAD))
-    lines = lines.select("kid", "print", "place", leaf.alias("leaf"), F.xxhash64("line").alias("own"), "line")
-    seen = lines.groupBy("leaf", "own", "print").agg(F.count("*").alias("n"))
+    lines = lines.select("kid", "print", "place", F.trim("line").alias("line")).where(F.col("line") != "")
+    lines = lines.select("kid", "print", "place", "line", _tokens(F.col("line")).alias("tokens"))
+    return lines.select("*", F.when(F.col("tokens") >= TOKENS, masked(F.col("line"))).alias("mask"))
+
+
+def prepared(docs: DataFrame) -> DataFrame:
+    """The lines of ``docs`` as both kinds of recurrence read them, taken apart
+    once: kid, print and place; leaf, own and line (masked) where a template can
+    take the line, else null; class where the line may recur as it is, else
+    null, and long."""
+    line, tokens, mask = F.col("line"), F.col("tokens"), F.col("mask")
+    # Tokens count runs of spaces, too; only the words of a long line do not.
+    long = (tokens > LONG) & (~F.contains(line, F.lit("  ")) | (F.size(F.array_remove(F.split(line, " "), "")) > LONG))
+    leaf = F.xxhash64(tokens, F.substring_index(mask, " ", LEAD))
+    return text_lines(docs).select(
+        "kid", "print", "place",
+        F.when(mask.isNotNull(), leaf).alias("leaf"), F.when(mask.isNotNull(), F.xxhash64(mask)).alias("own"), mask.alias("line"),
+        F.when((tokens < TOKENS) | long, F.xxhash64(line)).alias("class"), (tokens > LONG).alias("long"),
+    )
+
+
+def template_lines(lines: DataFrame, texts: int = TEXTS) -> DataFrame:
+    """(kid, print, place) of every line of a recurring template but its first,
+    from the stored ``prepared`` lines."""
+    lines = lines.where(F.col("leaf").isNotNull()).select("kid", "print", "place", "leaf", "own", "line")
+    seen = lines.select("leaf", "own", "print").distinct()
     support = stored(seen.groupBy("leaf", "own").agg(F.count("*").alias("texts")), "lines-support")
     # At least as many as the leaf's different texts; ``_in_texts`` counts these.
     leaves = stored(support.groupBy("leaf").agg(F.sum("texts").alias("texts")).where(F.col("texts") >= texts).select("leaf"), "lines-leaves")
@@ -119,17 +150,10 @@ def _but_first(found: DataFrame, name: str) -> DataFrame:
     return found.join(counted(stored(first, name)), "class").where(F.struct("kid", "print", "place") != F.col("first")).select("kid", "print", "place")
 
 
-def equal_lines(docs: DataFrame) -> DataFrame:
+def equal_lines(lines: DataFrame) -> DataFrame:
     """(kid, print, place) of every line but the first of the long and the
-    short lines that recur as they are."""
-    rows = keyed(docs).select("kid", "print", spaced(F.col("body")).alias("body"))
-    lines = rows.select("kid", "print", F.posexplode(F.split("body", "\n")).alias("place", "line"))
-    lines = lines.select("kid", "print", "place", F.trim("line").alias("line"))
-    # Tokens count runs of spaces, too; only the words of a long line do not.
-    long = (_tokens(F.col("line")) > LONG) & (~F.contains("line", F.lit("  ")) | (F.size(F.array_remove(F.split("line", " "), "")) > LONG))
-    short = (F.col("line") != "") & (_tokens(F.col("line")) < TOKENS)
-    lines = lines.where(short | long).select("kid", "print", "place", F.xxhash64("line").alias("class"), (_tokens(F.col("line")) > LONG).alias("long"))
-    lines = stored(lines, "lines-equal")
+    short lines that recur as they are, from the stored ``prepared`` lines."""
+    lines = lines.where(F.col("class").isNotNull()).select("kid", "print", "place", "class", "long")
     met = lines.select("class", "long", "print").distinct().groupBy("class", "long").agg(F.count("*").alias("texts"))
     chosen = stored(met.where(F.col("texts") >= F.when(F.col("long"), LONG_TEXTS).otherwise(SHORT_TEXTS)).select("class"), "lines-equal-chosen")
     found = stored(lines.drop("long").join(counted(chosen), "class"), "lines-equal-found")
@@ -139,7 +163,8 @@ def equal_lines(docs: DataFrame) -> DataFrame:
 def drop_lines(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     """The rows and columns of ``docs`` with the lines of recurring templates
     and recurring equal lines dropped from ``text``, and ``lines_dropped``."""
-    out = template_lines(docs, texts).unionByName(equal_lines(docs)).groupBy("kid", "print").agg(F.collect_set("place").alias("places"))
+    lines = stored(prepared(docs), "lines")
+    out = template_lines(lines, texts).unionByName(equal_lines(lines)).groupBy("kid", "print").agg(F.collect_set("place").alias("places"))
     out = counted(stored(out, "lines-dropped"))
     rows = whole_rows(docs).join(out, ["kid", "print"], "left")
     left = F.filter(F.split(F.col("row.text"), "\n"), lambda line, i: ~F.array_contains("places", i))

@@ -455,6 +455,29 @@ def test_equal_lines_recur_in_few_texts_if_long(spark, docs_of):
     assert rows_of(["doc_id", "text", "lines_dropped"], got) == template_oracle(rows)
 
 
+def test_lines_are_cut_from_their_texts_once(docs_of, monkeypatch):
+    plans = []
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept_stored(df, name)
+
+    kept_stored = op10.stored
+    monkeypatch.setattr(op10, "stored", stored)
+    op10.drop_lines(docs_of([(i, f"text {i}\nMix three spoons of {w}\nok") for i, w in enumerate("abcdefghijkl")], extra=False)).count()
+    assert len(plans) > 5 and sum("text#" in p for p in plans) == 1
+
+
+def test_variable_fields_are_whole_tokens_with_a_digit(spark):
+    rng = random.Random(11)
+    lines = ["", "7", " 7", "7 ", "a7", "a 7b c", "a  1 ", "\u0663 x", "\U0001f6005 y", "no field", "1 2 3", "x" * 50_000 + " 1", "w " * 50_000 + "w1 w"]
+    lines += ["".join(rng.choice("ab 19é") for _ in range(rng.randrange(30))) for _ in range(500)]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select("line", op10.masked(F.col("line")).alias("mask")).collect()
+    assert len(got) == len(lines)
+    for r in got:
+        assert r.mask == " ".join(op10.ANY if any(c in "0123456789" for c in t) else t for t in r.line.split(" "))
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_queries_match_duckdb(spark, name):
     r = compare(spark, name, SF001, duck(SF001))
