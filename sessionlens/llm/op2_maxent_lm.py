@@ -25,7 +25,10 @@ logarithm of what the data holds over what the shares expect. Tasks send a row o
 by key; the driver sees one number for each weight (``ROWS`` x ``CLASSES`` and
 3 x ``INSIDE`` x ``WIDTH``, fixed bounds), and tasks get weights and the ``TOP`` commonest words (a fixed
 bound as well). Texts are split once and kept as one class, one member and one
-slot a token, four bytes, for all these passes.
+slot a token, four bytes, for all these passes. Arrow splits and numbers the
+words of many texts at a time, so only distinct words become Python objects; and
+the exponentials of the weights are kept, whose products the softmaxes sum, so
+no exponential is taken for a token.
 
 Counts of all words are exact and distributed. Words outside the commonest
 ``TOP`` meet their count in a join on the word, one row for each text and
@@ -41,18 +44,17 @@ empty table gives no rows; other columns are left out.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from operator import eq
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import ascii_words, chunks, prepare, raw_text, record_batch, remainder, stored, table
+from sessionlens.llm.common import chunks, prepare, raw_text, record_batch, remainder, stored, table
 
 FOLDS, HELD_OUT = 7, 2
 TOP = 1 << 17
@@ -70,7 +72,7 @@ MOST_WEIGHT = 20.0
 PRIOR = 4.0  # pseudo-count that draws a feature's weights to the class shares
 MEMBER_PRIOR = 16.0  # the same inside a class, where a row meets more kinds of words
 SCALE = 1 << 16  # expectations are summed as integers, so order does not matter
-FLUSH_WORDS = 300_000
+FLUSH_BYTES = 32 << 20  # of words that are counted together
 _TOKENS = 1 << 12
 _END_WORD = b""
 
@@ -94,17 +96,38 @@ def leaf(word: bytes) -> int:
 _COUNT = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (binary) as ``ascii_words`` cuts them, one after
+    the other, and how many each text has. Arrow's ASCII functions look at bytes
+    only, valid UTF-8 or not."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    lists = pc.ascii_split_whitespace(trimmed)
+    words, sizes = lists.flatten(), np.array(pc.list_value_length(lists), np.int64)
+    empty = np.array(pc.binary_length(trimmed)) == 0  # cut into one empty word
+    if empty.any():
+        sizes[empty] = 0
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+    return words, sizes
+
+
+def _counted(words: list[pa.Array], texts: int) -> pa.RecordBatch:
+    found = pc.value_counts(pa.chunked_array(words, pa.string()))
+    word = pa.concat_arrays([found.field("values").view(pa.binary()), pa.array([_END_WORD], pa.binary())])
+    return record_batch({"word": word, "n": pa.concat_arrays([found.field("counts"), pa.array([texts], pa.int64())])}, _COUNT)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[bytes] = Counter()
+    held, texts, size = [], 0, 0
     for b in batches:
-        for text in b.column("raw").to_pylist():
-            seen.update(ascii_words(text))
-            seen[_END_WORD] += 1
-            if len(seen) > FLUSH_WORDS:
-                yield record_batch({"word": list(seen.keys()), "n": list(seen.values())}, _COUNT)
-                seen = Counter()
-    if seen:
-        yield record_batch({"word": list(seen.keys()), "n": list(seen.values())}, _COUNT)
+        words, sizes = split(b.column("raw"))
+        held.append(words)
+        texts += len(sizes)
+        size += words.nbytes
+        if size > FLUSH_BYTES:
+            yield _counted(held, texts)
+            held, texts, size = [], 0, 0
+    if texts:
+        yield _counted(held, texts)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -187,8 +210,8 @@ class Vocabulary:
         alone = (self.of_class < SINGLES) | (self.of_class == END)
         self.inner[alone] = 0.0
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, words.to_numpy(zero_copy_only=False)), np.int64, len(words))
 
 
 _TOKENS_SCHEMA = pa.schema([
@@ -202,48 +225,54 @@ _TOKENS_DDL = (
 )
 
 
+def _bytes(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The values of all texts, up to each text's end, as one binary a text."""
+    at = (np.concatenate([[0], ends]) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(values)])
+
+
 def _read(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
     """What training and scoring need of each text, so it is split once: the
     class and member (one byte each) and slot (two bytes) of each token, sums over its words
     among the commonest, and its other words."""
     vocab, row = held.value, TaskContext.get().partitionId() << 40
+    kind_of, member_of, slot_of = vocab.of_class.astype(np.uint8), vocab.of_member.astype(np.uint8), vocab.slot.astype("<u2")
     for b in batches:
-        texts = b.column("raw").to_pylist()
-        for lo, hi in chunks([len(t) for t in texts], 1 << 20):
-            out = {n: [] for n in ("n_tokens", "kinds", "members", "slots", "n_top", "base_top", "inner_top")}
-            rare_words, rare_n, rare_fresh, ends = [], [], [], [0]
-            for text in texts[lo:hi]:
-                words = ascii_words(text)
-                n = len(words)
-                at = np.empty(n + 1, np.int64)
-                at[:n] = vocab.numbers(words)
-                at[n] = vocab.end
-                again = np.zeros(n + 1, bool)
-                again[1:n] = np.fromiter(map(eq, words[1:], words), bool, max(0, n - 1))
-                kind = vocab.of_class[at]
-                kind[again] = AGAIN
-                out["n_tokens"].append(n + 1)
-                out["kinds"].append(kind.astype(np.uint8).tobytes())
-                out["members"].append(vocab.of_member[at].astype(np.uint8).tobytes())
-                out["slots"].append(vocab.slot[at].astype("<u2").tobytes())
-                out["n_top"].append(int(vocab.known[at].sum()))
-                out["base_top"].append(float(vocab.base[at].sum()))
-                out["inner_top"].append(float(vocab.inner[at][~again].sum()))
-                places = np.flatnonzero((at >= vocab.first_rare) & (at < vocab.end))
-                if len(places):
-                    seen = Counter([words[i] for i in places.tolist()])
-                    repeated = Counter([words[i] for i in places[again[places]].tolist()])
-                    rare_words += seen.keys()
-                    rare_n += seen.values()
-                    rare_fresh += [c - repeated[w] for w, c in seen.items()] if repeated else seen.values()
-                ends.append(len(rare_words))
+        for lo, hi in chunks(pc.binary_length(b.column("raw")).to_pylist(), 1 << 20):
+            size = hi - lo
+            words, sizes = split(b.column("raw").slice(lo, size))
+            coded = words.dictionary_encode()
+            distinct = coded.dictionary.view(pa.binary())
+            ends = np.cumsum(sizes + 1)
+            begin = ends - sizes - 1
+            # Which of the distinct words each token is; an end is none of them.
+            which = np.full(ends[-1], -1, np.int32)
+            is_word = np.ones(len(which), bool)
+            is_word[ends - 1] = False
+            which[is_word] = np.array(coded.indices)
+            at = np.append(vocab.numbers(distinct), vocab.end)[which]
+            again = np.zeros(len(which), bool)
+            again[1:] = (which[1:] == which[:-1]) & is_word[1:]
+            kind = kind_of[at]
+            kind[again] = AGAIN
+            inner = vocab.inner[at]
+            inner[again] = 0.0
+            # Words outside the commonest, one row for each text and word.
+            places = np.flatnonzero((at >= vocab.first_rare) & (at < vocab.end))
+            text = np.searchsorted(ends, places, side="right")
+            pairs, own, n = np.unique(text * len(distinct) + which[places], return_inverse=True, return_counts=True)
+            repeated = np.bincount(own[again[places]], minlength=len(pairs))
+            text, word = np.divmod(pairs, max(1, len(distinct)))
             rare = pa.StructArray.from_arrays(
-                [pa.array(rare_words, pa.binary()), pa.array(rare_n, pa.int64()), pa.array(rare_fresh, pa.int64())], ["word", "n", "fresh"]
+                [distinct.take(pa.array(word)), pa.array(n, pa.int64()), pa.array(n - repeated, pa.int64())], ["word", "n", "fresh"]
             )
-            size = hi - lo
-            columns = out | {
+            until = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=size))]).astype(np.int32)
+            columns = {
                 "row": np.arange(row, row + size), "doc_id": b.column("doc_id").slice(lo, size), "held_out": b.column("held_out").slice(lo, size),
-                "rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare),
+                "n_tokens": sizes + 1, "n_top": np.add.reduceat(vocab.known[at].astype(np.int64), begin),
+                "base_top": np.add.reduceat(vocab.base[at], begin), "inner_top": np.add.reduceat(inner, begin),
+                "kinds": _bytes(kind, ends), "members": _bytes(member_of[at], ends), "slots": _bytes(slot_of[at], ends),
+                "rare": pa.ListArray.from_arrays(pa.array(until), rare),
             }
             yield record_batch(columns, _TOKENS_SCHEMA)
             row += size
@@ -278,6 +307,8 @@ class Model:
         self.bias = np.log(share).astype(np.float32)
         row = met.sum(axis=1, keepdims=True)
         self.weights = (np.log((met + PRIOR * share) / ((row + PRIOR) * share)) / 3).astype(np.float32)
+        self.factors = np.exp(self.weights)
+        self.factors[2 * SLOTS :] = np.exp(self.weights[2 * SLOTS :] + self.bias)  # a token has one row of each feature
 
     def step(self, block: int, expected: np.ndarray) -> None:
         """Moves the weights of one feature along their gradient, scaled by
@@ -286,18 +317,19 @@ class Model:
         met = self.met[own]
         w = self.weights[own] + (met - expected) / ((met + expected) / 2 + PRIOR)
         self.weights[own] = np.clip(w, -MOST_WEIGHT, MOST_WEIGHT)
+        self.factors[own] = np.exp(self.weights[own] + self.bias if block == 2 else self.weights[own])
 
     def scores(self, rows: np.ndarray, out: np.ndarray, part: np.ndarray) -> np.ndarray:
-        """The exponentials of each class's sum of weights, into ``out``. Sums
-        are under 3 * ``MOST_WEIGHT``, so they need no shift."""
+        """The exponentials of each class's sum of weights, into ``out``, as
+        the product of theirs. Sums are under 3 * ``MOST_WEIGHT``, so they need no
+        shift."""
         n = len(rows)
         z, t = out[:n], part[:n]
-        np.take(self.weights, rows[:, 0], axis=0, out=z, mode="clip")
+        np.take(self.factors, rows[:, 0], axis=0, out=z, mode="clip")
         for k in (1, 2):
-            np.take(self.weights, rows[:, k], axis=0, out=t, mode="clip")
-            z += t
-        z += self.bias
-        return np.exp(z, out=z)
+            np.take(self.factors, rows[:, k], axis=0, out=t, mode="clip")
+            z *= t
+        return z
 
     def probabilities(self, rows: np.ndarray) -> np.ndarray:
         z = self.scores(rows, *(np.empty((len(rows), CLASSES), np.float32) for _ in range(2)))
@@ -328,17 +360,19 @@ class Inside:
         prior = MEMBER_PRIOR * expected / row
         some = expected > 0
         ratio = np.divide(met[:, :MEMBERS] + prior, expected + prior, out=np.ones_like(expected), where=some)
-        self.weights = (np.clip(np.log(np.maximum(ratio, 1e-9)), -MOST_WEIGHT, MOST_WEIGHT) / 3).astype(np.float32)
+        weights = (np.clip(np.log(np.maximum(ratio, 1e-9)), -MOST_WEIGHT, MOST_WEIGHT) / 3).astype(np.float32)
+        self.share, self.factors = np.exp(self.log_share), np.exp(weights)
 
     def scores(self, own: np.ndarray, rows: np.ndarray, out: np.ndarray, part: np.ndarray) -> np.ndarray:
-        """The exponentials of each member's sum of weights, into ``out``."""
+        """The exponentials of each member's sum of weights, into ``out``, as
+        the product of theirs and the member's share."""
         n = len(rows)
         z, t = out[:n], part[:n]
-        np.take(self.log_share, own, axis=0, out=z, mode="clip")
+        np.take(self.share, own, axis=0, out=z, mode="clip")
         for k in range(3):
-            np.take(self.weights, rows[:, k], axis=0, out=t, mode="clip")
-            z += t
-        return np.exp(z, out=z)
+            np.take(self.factors, rows[:, k], axis=0, out=t, mode="clip")
+            z *= t
+        return z
 
     def gain(self, kind: np.ndarray, member: np.ndarray, rows: np.ndarray, out: np.ndarray, part: np.ndarray) -> np.ndarray:
         """For each token log10 of its member's probability over the member's

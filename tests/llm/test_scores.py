@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +115,81 @@ def test_lm_members_are_a_distribution(spark):
         assert (10 ** vocab.inner[words]).sum() + op2.MEMBERS / vocab.mass[k].sum() == pytest.approx(1)
 
 
+def test_lm_splits_as_words_are_defined():
+    texts = [b"", b" ", b" a  B ", b"\x0ba\x1cb\x0c C\n\n", b"\xff\xfeA B\xc0 \xa0x", b"A\x00B c\r", "É\u00a0Éa b\u2003c \u0085d".encode(), b"\t\n"]
+    whole = pa.array([b"cut off", *texts, b"cut off"], pa.binary())
+    words, sizes = op2.split(whole.slice(1, len(texts)))
+    assert words.view(pa.binary()).to_pylist() == [w for t in texts for w in t.lower().split()]
+    assert sizes.tolist() == [len(t.lower().split()) for t in texts]
+    words, sizes = op2.split(pa.array([], pa.binary()))
+    assert len(words) == len(sizes) == 0
+
+
+def test_lm_counts_words_of_any_number_of_batches(monkeypatch):
+    monkeypatch.setattr(op2, "FLUSH_BYTES", 100)
+    texts = [b"a b A", b"", b"c \xff a"] * 40
+    batches = [pa.record_batch({"raw": pa.array(texts[a : a + 7], pa.binary())}) for a in range(0, len(texts), 7)]
+    got = Counter()
+    for b in op2._count(iter([*batches, batches[0].slice(0, 0)])):
+        got.update(dict(zip(b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True)))
+    assert got == Counter(w for t in texts for w in [*t.lower().split(), b""])
+    assert not list(op2._count(iter([])))
+
+
+def test_lm_looks_up_distinct_words_only(monkeypatch):
+    looked_up = []
+
+    class Counting(op2.Vocabulary):
+        def numbers(self, words):
+            looked_up.append(len(words))
+            return super().numbers(words)
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)  # noqa: N815
+
+    class Held:
+        value = Counting([(b"a", 50), (b"", 40), (b"b", 30)], np.zeros((op2.SUFFIXES * op2.MEMBERS, 2)), 120, 3)
+
+    monkeypatch.setattr(op2, "TaskContext", Task)
+    texts = [b"a a B x", b"", b"x x y a x", b"  ", b"b"] * 30
+    ids = list(range(len(texts)))
+    batch = pa.record_batch({"doc_id": pa.array(ids), "held_out": pa.array([False] * len(ids)), "raw": pa.array(texts, pa.binary())})
+    rows = pa.Table.from_batches(op2._read(iter([batch]), Held)).to_pylist()
+    assert sum(looked_up) == 4
+    assert [r["row"] for r in rows] == [(3 << 40) + i for i in ids] and [r["doc_id"] for r in rows] == ids
+    vocab = Held.value
+    for text, row in zip(texts, rows, strict=True):
+        words = text.lower().split()
+        at = [vocab.number[w] for w in words] + [vocab.end]
+        again = [i > 0 and i < len(words) and words[i] == words[i - 1] for i in range(len(at))]
+        kinds = [op2.AGAIN if g else vocab.of_class[a] for a, g in zip(at, again, strict=True)]
+        assert list(row["kinds"]) == kinds and row["n_tokens"] == len(at)
+        assert list(row["members"]) == vocab.of_member[at].tolist()
+        assert np.frombuffer(row["slots"], "<u2").tolist() == vocab.slot[at].tolist()
+        assert row["n_top"] == sum(vocab.known[at]) and row["base_top"] == pytest.approx(sum(vocab.base[at]))
+        assert row["inner_top"] == pytest.approx(sum(vocab.inner[a] for a, g in zip(at, again, strict=True) if not g))
+        rare = Counter(w for w in words if w in (b"x", b"y"))
+        fresh = Counter(w for w, g in zip(words, again[:-1], strict=True) if w in (b"x", b"y") and not g)
+        assert {r["word"]: (r["n"], r["fresh"]) for r in row["rare"]} == {w: (n, fresh[w]) for w, n in rare.items()}
+
+
+def test_lm_takes_no_exponential_for_a_token(monkeypatch):
+    random = np.random.default_rng(5)
+    model = op2.Model(random.integers(0, 9, (op2.ROWS, op2.CLASSES)).astype(float))
+    for block in range(3):
+        model.step(block, random.random((op2.SLOTS, op2.CLASSES)) * 9)
+    inside = op2.Inside(random.random((op2.KINDS, op2.MEMBERS)) * 50, random.integers(0, 9, (3 * op2.INSIDE, op2.WIDTH)).astype(float))
+    rows = random.integers(0, op2.SLOTS, (40, 3)) + np.arange(3) * op2.SLOTS
+    own = random.integers(0, op2.KINDS, 40)
+    plain = np.exp(model.weights.astype(float)[rows].sum(axis=1) + model.bias)
+    monkeypatch.setattr(op2.np, "exp", None)
+    p = model.probabilities(rows)
+    assert np.allclose(p, plain / plain.sum(axis=1, keepdims=True), rtol=1e-5)
+    z = inside.scores(own, rows, *(np.empty((40, op2.MEMBERS), np.float32) for _ in range(2)))
+    assert np.isfinite(z).all() and (z > 0).all()
+
+
 def test_quality_on_held_out_rows(spark):
     got = op3.query(spark, SF001).join(table(spark, SF001, "labels"), "doc_id").collect()
     out = [r for r in got if r.held_out]
