@@ -21,8 +21,8 @@ after the other, a pass sums the model's expectation of the same quantities
 and the feature's weights move by the difference (their gradient) over the
 mean of both. The members' weights start from their shares of the class and take
 one step of iterative scaling: a third (there are three features) of the
-logarithm of what the data holds over what the shares expect. Tasks send a row of sums for each feature row, which Spark adds
-by key; the driver sees one number for each weight (``ROWS`` x ``CLASSES`` and
+logarithm of what the data holds over what the shares expect. Tasks send a row of sums for each feature row, which Spark deals
+by key to the tasks that add them; the driver sees one number for each weight (``ROWS`` x ``CLASSES`` and
 3 x ``INSIDE`` x ``WIDTH``, fixed bounds), and tasks get weights and the ``TOP`` commonest words (a fixed
 bound as well). Texts are split once and kept as one class, one member and one
 slot a token, four bytes, for all these passes. Arrow splits and numbers the
@@ -389,9 +389,36 @@ class Inside:
 
 
 _MEMBER_ONES = np.ones(MEMBERS, np.float32)
-_INSIDE_COLUMNS = [f"c{i}" for i in range(WIDTH)]
-_INSIDE_SUM = pa.schema([("slot", pa.int32())] + [(c, pa.int64()) for c in _INSIDE_COLUMNS])
-_INSIDE_DDL = "slot int, " + ", ".join(f"{c} long" for c in _INSIDE_COLUMNS)
+_SUM = pa.schema([("slot", pa.int32()), ("cells", pa.binary())])
+_SUM_DDL = "slot int, cells binary"
+
+
+def _sum_rows(total: np.ndarray) -> pa.RecordBatch:
+    """The rows of a table of sums that are not empty, each as one binary."""
+    at = np.flatnonzero(total.any(axis=1))
+    cells = np.ascontiguousarray(total[at], "<i8")
+    return record_batch({"slot": at, "cells": _bytes(cells.ravel(), np.arange(1, len(at) + 1) * total.shape[1])}, _SUM)
+
+
+def _add_rows(total: np.ndarray, b: pa.RecordBatch | pa.Table) -> None:
+    for slot, cells in zip(b.column("slot").to_pylist(), b.column("cells").to_pylist(), strict=True):
+        total[slot] += np.frombuffer(cells, "<i8")
+
+
+def _add(batches: Iterator[pa.RecordBatch], height: int, width: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros((height, width), np.int64)
+    for b in batches:
+        _add_rows(total, b)
+    yield _sum_rows(total)
+
+
+def _summed(rows: DataFrame, height: int, width: int) -> np.ndarray:
+    """The tasks' rows of sums, dealt by their number (under ``height``), added
+    and collected: ``height`` rows at most."""
+    got = rows.repartition("slot").mapInArrow(lambda it: _add(it, height, width), _SUM_DDL).toArrow()
+    out = np.zeros((height, width), np.int64)
+    _add_rows(out, got)
+    return out.astype(np.float64)
 
 
 def _inside_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,25 +435,16 @@ def _inside_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = (rows[:, k] - k * INSIDE) * WIDTH
                 met = np.concatenate([first + mine, first + (MEMBERS + own)])
                 block += np.bincount(met, minlength=INSIDE * WIDTH).reshape(INSIDE, WIDTH)
-    at = np.flatnonzero(total.any(axis=1))
-    yield record_batch({"slot": at} | {c: total[at, i] for i, c in enumerate(_INSIDE_COLUMNS)}, _INSIDE_SUM)
+    yield _sum_rows(total)
 
 
 def train_inside(tokens: DataFrame, vocab: Vocabulary) -> Inside:
     """The members' weights from the texts in ``tokens`` that are not held out."""
-    rows = tokens.where(~F.col("held_out")).select("kinds", "members", "slots").mapInArrow(_inside_sums, _INSIDE_DDL)
-    got = rows.groupBy("slot").agg(*[F.sum(c).alias(c) for c in _INSIDE_COLUMNS]).toArrow()  # 3 x INSIDE rows at most
-    met = np.zeros((3 * INSIDE, WIDTH))
-    if got.num_rows:
-        at = np.array(got.column("slot"))
-        for i, c in enumerate(_INSIDE_COLUMNS):
-            met[at, i] = np.array(got.column(c))
+    rows = tokens.where(~F.col("held_out")).select("kinds", "members", "slots").mapInArrow(_inside_sums, _SUM_DDL)
+    met = _summed(rows, 3 * INSIDE, WIDTH)
     return Inside(vocab.mass, met)
 
 
-_COLUMNS = [f"c{i}" for i in range(CLASSES)]
-_SUM = pa.schema([("slot", pa.int32())] + [(c, pa.int64()) for c in _COLUMNS])
-_SUM_DDL = "slot int, " + ", ".join(f"{c} long" for c in _COLUMNS)
 _ONES = np.ones(CLASSES, np.float32)
 
 
@@ -457,16 +475,12 @@ def _sums(batches: Iterator[pa.RecordBatch], model, block: int) -> Iterator[pa.R
                 total[mine[first]] += np.add.reduceat(z, first, axis=0)
     if model is not None:
         total = np.rint(total * SCALE).astype(np.int64)
-    at = np.flatnonzero(total.any(axis=1))
-    yield record_batch({"slot": at} | {c: total[at, i] for i, c in enumerate(_COLUMNS)}, _SUM)
+    yield _sum_rows(total)
 
 
 def _gather(tokens: DataFrame, model, block: int = 0) -> np.ndarray:
     rows = tokens.where(~F.col("held_out")).select("kinds", "slots").mapInArrow(lambda it: _sums(it, model, block), _SUM_DDL)
-    got = rows.groupBy("slot").agg(*[F.sum(c).alias(c) for c in _COLUMNS]).toArrow()  # ROWS rows at most
-    out = np.zeros((ROWS if model is None else SLOTS, CLASSES))
-    if got.num_rows:
-        out[np.array(got.column("slot"))] = np.stack([np.array(got.column(c)) for c in _COLUMNS], axis=1)
+    out = _summed(rows, ROWS if model is None else SLOTS, CLASSES)
     return out / (1 if model is None else SCALE)
 
 

@@ -174,6 +174,17 @@ def test_lm_looks_up_distinct_words_only(monkeypatch):
         assert {r["word"]: (r["n"], r["fresh"]) for r in row["rare"]} == {w: (n, fresh[w]) for w, n in rare.items()}
 
 
+def test_lm_adds_the_sums_of_tasks():
+    sums = np.random.default_rng(7).integers(-(1 << 60), 1 << 60, (3, 50, 5)) // 3
+    sums[:, ::4] = 0
+    rows = [op2._sum_rows(x) for x in [*sums, np.zeros((50, 5), np.int64)]]
+    assert rows[3].num_rows == 0 and 0 not in rows[0].column("slot").to_pylist()
+    (added,) = op2._add(iter(rows), 50, 5)
+    out = np.zeros((50, 5), np.int64)
+    op2._add_rows(out, added)
+    assert (out == sums.sum(axis=0)).all()
+
+
 def test_lm_takes_no_exponential_for_a_token(monkeypatch):
     random = np.random.default_rng(5)
     model = op2.Model(random.integers(0, 9, (op2.ROWS, op2.CLASSES)).astype(float))
